@@ -61,10 +61,11 @@ def series_nodes(dim_series: DataFrame) -> tuple[DataFrame, DataFrame]:
             "source_id", "bea_table_name", "node_key", "node_label", "node_level",
             F.when(F.col("parent_key").isNotNull(),
                    node_id(F.col("source_id"), F.col("bea_table_name"), F.col("parent_key"))).alias("parent_node_id"),
+            F.col("parent_key").alias("parent_node_key"),
         )
     )
     bridge = exploded.select(
-        "series_id",
+        "series_id", "node_key",
         node_id(F.col("source_id"), F.col("bea_table_name"), F.col("node_key")).alias("node_id"),
         F.col("node_level").alias("path_ordinal"),
         "is_leaf",

@@ -77,3 +77,169 @@ def q_obt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2-V7: share-weighted price view (flagship)."""
     return lake.weighted(spark, sf_dir)
+
+
+@register("yoy", O.YOY_SQL)
+def q_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8 (self-join form): exact year-over-year change."""
+    return V.yoy_view(lake.obt(spark, sf_dir))
+
+
+@register("yoy_window", O.YOY_SQL)
+def q_yoy_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8 (range-frame form): same result with one exchange."""
+    return V.yoy_view_window(lake.obt(spark, sf_dir))
+
+
+@register("per_capita", O.per_capita_sql(True))
+def q_per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9: per-capita values over the population dataset (T-14 fix)."""
+    return V.per_capita_view(lake.obt(spark, sf_dir))
+
+
+@register("per_capita_all_census", O.per_capita_sql(False))
+def q_per_capita_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9 with the original join to every Census row (fan-out kept)."""
+    return V.per_capita_view(lake.obt(spark, sf_dir), population_dataset_id=None)
+
+
+@register("federal_to_stategov_gdp", O.ratio_sql(
+    f"source_name = 'CENSUS' AND dataset_id = '{L.FEDERAL_TO_STATEGOV_DATASET}'",
+    "federal_stategov_receipts_dollars", "federal_stategov_to_gdp_ratio", "federal_stategov_vintage_tag"))
+def q_fed_stategov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Federal-to-state-government receipts over GDP."""
+    return V.federal_to_stategov_gdp(lake.obt(spark, sf_dir))
+
+
+@register("federal_to_persons_gdp", O.ratio_sql(
+    f"source_name = 'BEA' AND dataset_id = '{L.FEDERAL_TO_PERSONS_DATASET}' "
+    f"AND line_code = '{L.FEDERAL_TO_PERSONS_LINE}'",
+    "federal_to_persons_receipts_dollars", "federal_to_persons_to_gdp_ratio", "federal_to_persons_vintage_tag"))
+def q_fed_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Federal-to-persons receipts over GDP."""
+    return V.federal_to_persons_gdp(lake.obt(spark, sf_dir))
+
+
+@register("subset_level_without_ca", O.SUBSET_LEVEL_SQL)
+def q_subset_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-normalised level of a subset of states (all but CA), per year and category."""
+    return V.subset_level(lake.weighted(spark, sf_dir), keep=F.col("state_abbrev") != "CA")
+
+
+# --- Study -------------------------------------------------------------------
+from econ_lake.operators import analysis as A  # noqa: E402
+
+_S = "WITH " + O.STUDY_CTES
+
+
+@register("latest_year", _S + " SELECT latest_year FROM latest")
+def q_latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: latest year of the weighted view."""
+    return A.latest_year(lake.weighted(spark, sf_dir))
+
+
+@register("latest_year_rows", _S + " SELECT * FROM lrows")
+def q_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: latest-year slice."""
+    return A.latest_year_rows(lake.weighted(spark, sf_dir))
+
+
+@register("state_trend_rows", _S + " SELECT * FROM trend")
+def q_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: five-year trend rows of the target states."""
+    return A.trend_rows(lake.weighted(spark, sf_dir))
+
+
+@register("share_sums", _S + f" SELECT year, category, {O.stable_sum('pce_share')} AS share_sum "
+          "FROM wview GROUP BY year, category")
+def q_share_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: share sum per (year, category)."""
+    return A.share_sums(lake.weighted(spark, sf_dir))
+
+
+@register("share_sum_gate", _S + f""" SELECT year, category, share_sum,
+  coalesce(abs(share_sum - 1.0) <= {L.SHARE_SUM_TOLERANCE}, false) AS ok
+  FROM (SELECT year, category, {O.stable_sum('pce_share')} AS share_sum FROM wview GROUP BY year, category)""")
+def q_share_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share-sum gate report (ok = within 1e-8 of one)."""
+    return A.share_sum_report(lake.weighted(spark, sf_dir))
+
+
+@register("scenarios_sql_form", _S + " SELECT * FROM sql_form")
+def q_scen_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exclusion scenarios (ratio-minus-one percent), with display ranks."""
+    return A.scenarios_sql_form(lake.weighted(spark, sf_dir))
+
+
+@register("scenarios_frame_form", _S + " SELECT * FROM frame_form")
+def q_scen_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exclusion scenarios (difference-over-national percent)."""
+    return A.scenarios_frame_form(lake.weighted(spark, sf_dir))
+
+
+@register("scenario_reconciliation", _S + f""" SELECT column_name, max_delta, unmatched,
+  coalesce(max_delta, 0.0) <= {L.SCENARIO_MATH_TOLERANCE} AND unmatched = 0 AS ok FROM (
+  {" UNION ALL ".join(f"SELECT '{c}' AS column_name, max(abs(a.{c} - b.{c})) AS max_delta, "
+                      f"count(*) FILTER (WHERE (a.{c} IS NULL) <> (b.{c} IS NULL)) AS unmatched "
+                      f"FROM frame_form a FULL OUTER JOIN sql_form b USING (category, scenario)"
+                      for c in ("rpp_level", "difference_from_national", "pct_change_from_national", "share_sum"))})""")
+def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two scenario formulas agree within 1e-4."""
+    return A.scenario_reconciliation(lake.weighted(spark, sf_dir))
+
+
+@register("completeness_gate", _S + """ SELECT state_abbrev, category, count(DISTINCT year) AS distinct_years,
+  count(DISTINCT year) = 5 AS ok FROM trend GROUP BY state_abbrev, category""")
+def q_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly five distinct years per (state, category)."""
+    return A.completeness_report(A.trend_rows(lake.weighted(spark, sf_dir)))
+
+
+@register("state_change_summary", _S + " SELECT * FROM change")
+def q_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: first/last change per (state, category)."""
+    return A.state_change_summary(A.trend_rows(lake.weighted(spark, sf_dir)))
+
+
+@register("combined_output", _S + """
+SELECT 'scenario_comparison' AS view_type, (SELECT latest_year FROM latest) AS latest_year, scenario,
+       NULL AS state_abbrev, category, (SELECT latest_year FROM latest) AS year, rpp_level,
+       difference_from_national, pct_change_from_national, share_sum, NULL AS rpp, NULL AS start_year,
+       NULL AS end_year, NULL AS start_rpp, NULL AS end_rpp, NULL AS rpp_change, NULL AS pct_change
+FROM frame_form
+UNION ALL
+SELECT 'state_trend', (SELECT latest_year FROM latest), NULL, state_abbrev, category, year, NULL, NULL, NULL,
+       NULL, rpp, NULL, NULL, NULL, NULL, NULL, NULL FROM trend
+UNION ALL
+SELECT 'state_change_summary', (SELECT latest_year FROM latest), NULL, state_abbrev, category, NULL, NULL, NULL,
+       NULL, NULL, NULL, start_year, end_year, start_rpp, end_rpp, rpp_change, pct_change FROM change""")
+def q_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A13 (+A18 chart data): heterogeneous union of scenario, trend and change rows."""
+    return A.combined_output(lake.weighted(spark, sf_dir))
+
+
+@register("largest_drop", _S + """ SELECT scenario, arg_min(category, (difference_from_national, category))
+  AS category, min(difference_from_national) AS difference_from_national,
+  arg_min(pct_change_from_national, (difference_from_national, category)) AS pct_change_from_national
+  FROM frame_form WHERE scenario <> 'National' GROUP BY scenario""")
+def q_largest_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Largest drop per exclusion scenario."""
+    return A.largest_drop(lake.weighted(spark, sf_dir))
+
+
+@register("top_category_per_state", _S + """ SELECT state_abbrev, category, start_year, end_year, start_rpp,
+  end_rpp, rpp_change, pct_change FROM (SELECT *, row_number() OVER (PARTITION BY state_abbrev
+  ORDER BY rpp_change DESC NULLS LAST, category) AS rn FROM change) WHERE rn = 1""")
+def q_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top category per state by change."""
+    return A.top_category_per_state(lake.weighted(spark, sf_dir))
+
+
+@register("formatted_scenarios", _S + """ SELECT category, scenario,
+  regexp_replace(regexp_replace(lower(category), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS category_slug,
+  printf('%.4f', rpp_level) AS rpp_level_text, printf('%+.4f', difference_from_national) AS difference_text,
+  printf('%+.4f%%', pct_change_from_national) AS pct_change_text,
+  printf('%.4f', share_sum * CAST(100.0 AS DOUBLE)) AS share_pct_text FROM frame_form""")
+def q_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formatted scenario table and category slugs."""
+    return A.formatted_scenarios(lake.weighted(spark, sf_dir))
