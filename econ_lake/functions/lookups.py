@@ -76,23 +76,33 @@ SCENARIO_MATH_TOLERANCE = 1e-4
 # ---------------------------------------------------------------------------
 
 
+_FRAMES: dict[tuple[int, str], DataFrame] = {}
+
+
+def _memo(spark: SparkSession, name: str, build) -> DataFrame:
+    key = (id(spark), name)
+    if key not in _FRAMES:
+        _FRAMES[key] = build()
+    return _FRAMES[key]
+
+
 def fips_frame(spark: SparkSession) -> DataFrame:
     schema = T.StructType([
         T.StructField("state_fips", T.StringType(), False),
         T.StructField("state_abbrev", T.StringType(), False),
     ])
-    return spark.createDataFrame(sorted(STATE_FIPS_TO_ABBR.items()), schema)
+    return _memo(spark, "fips", lambda: spark.createDataFrame(sorted(STATE_FIPS_TO_ABBR.items()), schema))
 
 
 def rpp_category_frame(spark: SparkSession) -> DataFrame:
     schema = "line_code string, category_key string, category string"
-    return spark.createDataFrame(RPP_LINE_CATEGORIES, schema)
+    return _memo(spark, "rpp", lambda: spark.createDataFrame(RPP_LINE_CATEGORIES, schema))
 
 
 def crosswalk_frame(spark: SparkSession) -> DataFrame:
     schema = ("pce_source_table string, line_code string, category_key string, "
               "category string, mapping_method string")
-    return spark.createDataFrame(SPENDING_CROSSWALK, schema)
+    return _memo(spark, "xwalk", lambda: spark.createDataFrame(SPENDING_CROSSWALK, schema))
 
 
 def scenario_frame(spark: SparkSession) -> DataFrame:

@@ -66,3 +66,19 @@ def obt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.weighted_view(obt(spark, sf_dir))
+
+
+def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows of every load, keyed by surrogate ids."""
+    return star(spark, sf_dir).fact
+
+
+def load_fact(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Keyed upsert of this run's facts into the fact table at ``root``.
+
+    Same vintage again overwrites matching keys; keys absent from the run are
+    kept; other vintages are untouched.  Returns the published version.
+    """
+    updates = fact_rows(spark, sf_dir)
+    key = ["source_id", "series_id", "geo_id", "period_id", "vintage_id"]
+    return warehouse.upsert(spark, root, updates, key)

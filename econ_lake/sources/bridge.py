@@ -84,8 +84,16 @@ FINANCE_FIRST_YEAR = 1998
 RAW_COLUMNS = ["source", "dataset_id", "vintage_tag", "run_id", "load_seq", "row"]
 
 
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of a base table; the DataFrame (not data) is reused per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READ_CACHE:
+        _READ_CACHE[key] = spark.read.parquet(path)
+    return _READ_CACHE[key]
 
 
 def _load_seq(dataset_id: str, vintage: str) -> int:
@@ -211,14 +219,14 @@ def _per_vintage(df: DataFrame) -> DataFrame:
 
 
 def _lineage(df: DataFrame, source: str) -> DataFrame:
-    seq = F.lit(0)
-    for v in VINTAGES:
-        for d in DATASET_ORDER:
-            seq = F.when((F.col("vintage_tag") == v) & (F.col("dataset_id") == d), F.lit(_load_seq(d, v))).otherwise(seq)
-    return df.select(
-        F.lit(source).alias("source"), "dataset_id", "vintage_tag",
-        F.concat(F.lit("run-"), F.col("vintage_tag"), F.lit("-"), F.col("dataset_id")).alias("run_id"),
-        seq.cast("int").alias("load_seq"), "row",
+    cases = " ".join(
+        f"WHEN vintage_tag = '{v}' AND dataset_id = '{d}' THEN {_load_seq(d, v)}"
+        for v in VINTAGES for d in DATASET_ORDER
+    )
+    return df.selectExpr(
+        f"'{source}' AS source", "dataset_id", "vintage_tag",
+        "concat('run-', vintage_tag, '-', dataset_id) AS run_id",
+        f"CAST(CASE {cases} ELSE 0 END AS INT) AS load_seq", "row",
     )
 
 

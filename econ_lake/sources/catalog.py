@@ -106,6 +106,9 @@ def build_spec(entry: dict[str, Any], rank: int) -> dict[str, Any]:
     return spec
 
 
+_CATALOG_CACHE: dict = {}
+
+
 def catalog_frame(spark: SparkSession, entries: list[dict[str, Any]] | None = None,
                   only_enabled: bool = True) -> DataFrame:
     """Catalog DataFrame; disabled entries dropped; error when none is left."""
@@ -118,7 +121,10 @@ def catalog_frame(spark: SparkSession, entries: list[dict[str, Any]] | None = No
     if not specs:
         raise ValueError("No enabled datasets found in datasets config.")
     rows = [tuple(s[f.name] for f in CATALOG_SCHEMA.fields) for s in specs]
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    key = (id(spark), repr(rows))
+    if key not in _CATALOG_CACHE:
+        _CATALOG_CACHE[key] = spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return _CATALOG_CACHE[key]
 
 
 def load_catalog_yaml(spark: SparkSession, path: str) -> DataFrame:
