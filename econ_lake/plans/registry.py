@@ -243,3 +243,133 @@ def q_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formatted scenario table and category slugs."""
     return A.formatted_scenarios(lake.weighted(spark, sf_dir))
+
+
+# --- Star schema ---------------------------------------------------------------
+from econ_lake.operators import warehouse as W  # noqa: E402
+
+_SRC = ["source_name", "dataset_id", "table_name"]
+
+
+def _star(spark: SparkSession, sf_dir: str) -> W.Star:
+    return lake.star(spark, sf_dir)
+
+
+@register("dim_source", "WITH " + O.CONFORMED_CTES + """
+SELECT source_name, dataset_id, bea_table_name AS table_name, min(load_seq) AS first_load_seq,
+       max(load_seq) AS last_load_seq FROM conformed GROUP BY source_name, dataset_id, bea_table_name""")
+def q_dim_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source dimension (one row per source, load range)."""
+    return _star(spark, sf_dir).dim_source.drop("source_id")
+
+
+@register("dim_vintage", "WITH " + O.OBT_CTES + """
+SELECT c.source_name, c.dataset_id, c.bea_table_name AS table_name, c.vintage_tag,
+       CAST(NULL AS VARCHAR) AS release_tag, c.vintage_tag = lv.vintage_tag AS is_latest,
+       max(c.load_seq) AS last_load_seq
+FROM conformed c JOIN latest_vintage lv USING (source_name, dataset_id, bea_table_name)
+GROUP BY c.source_name, c.dataset_id, c.bea_table_name, c.vintage_tag, lv.vintage_tag""")
+def q_dim_vintage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2, W3 (T-18): vintages with the last-loaded one marked latest."""
+    st = _star(spark, sf_dir)
+    return st.dim_vintage.join(st.dim_source.select("source_id", *_SRC), "source_id").select(
+        *_SRC, "vintage_tag", "release_tag", "is_latest", "last_load_seq")
+
+
+@register("dim_geo", "WITH " + O.OBT_CTES + """
+SELECT 'state' AS geo_level, 'US' AS country_code, state_fips, state_abbrev, geo_name FROM geo_last""")
+def q_dim_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 (T-17): geography dimension, last distinct attributes win."""
+    return _star(spark, sf_dir).dim_geo.drop("geo_id")
+
+
+@register("dim_period", "WITH " + O.CONFORMED_CTES + """
+SELECT frequency, period_code,
+       CASE WHEN frequency = 'A' THEN make_date(yr, 1, 1) ELSE make_date(yr, mo, 1) END AS period_start_date,
+       CASE WHEN frequency = 'A' THEN make_date(yr, 12, 31) ELSE last_day(make_date(yr, mo, 1)) END
+         AS period_end_date,
+       yr AS year, CAST(NULL AS INTEGER) AS quarter, CASE WHEN frequency = 'M' THEN mo END AS month,
+       true AS is_period_end
+FROM (SELECT frequency, period_code, arg_max(year, load_seq) AS yr,
+             arg_min(month, load_seq) FILTER (WHERE month IS NOT NULL) AS mo
+      FROM conformed GROUP BY frequency, period_code)""")
+def q_dim_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Period dimension with calendar bounds."""
+    return _star(spark, sf_dir).dim_period.drop("period_id")
+
+
+@register("dim_series", "WITH " + O.OBT_CTES + """
+SELECT source_name, dataset_id, table_name, series_code, s_table AS bea_table_name, line_code, series_name,
+       function_name, raw_description, hierarchy_path_json, unit, unit_mult, 'colon_path' AS parse_strategy
+FROM series_last""")
+def q_dim_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series dimension, last distinct attributes win."""
+    st = _star(spark, sf_dir)
+    return st.dim_series.join(st.dim_source.select("source_id", *_SRC), "source_id").drop("source_id", "series_id")
+
+
+_NODES_CTES = "WITH " + O.OBT_CTES + """,
+paths AS (
+  SELECT source_name, dataset_id, table_name, series_code, s_table,
+         coalesce(nullif(list_filter(list_transform(try_cast(hierarchy_path_json AS VARCHAR[]),
+                  lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''), []),
+                  CASE WHEN trim(function_name) <> '' THEN [trim(function_name)]
+                       WHEN trim(series_name) <> '' THEN [trim(series_name)]
+                       WHEN trim(line_code) <> '' THEN [trim(line_code)] ELSE [] END) AS path
+  FROM series_last
+),
+expl AS (
+  SELECT source_name, dataset_id, table_name, series_code, s_table, path, i,
+         array_to_string(path[1:i], '||') AS node_key, path[i] AS node_label,
+         CASE WHEN i > 1 THEN array_to_string(path[1:i - 1], '||') END AS parent_node_key,
+         i = len(path) AS is_leaf
+  FROM paths, range(1, len(path) + 1) AS t(i)
+)"""
+
+
+@register("dim_series_node", _NODES_CTES + """
+SELECT DISTINCT source_name, dataset_id, table_name, s_table AS bea_table_name, node_key, node_label,
+       CAST(i AS INTEGER) AS node_level, parent_node_key FROM expl""")
+def q_dim_series_node(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One node per label-path prefix, with its parent."""
+    st = _star(spark, sf_dir)
+    return st.dim_series_node.join(st.dim_source.select("source_id", *_SRC), "source_id").select(
+        *_SRC, "bea_table_name", "node_key", "node_label", "node_level", "parent_node_key")
+
+
+@register("bridge_series_node", _NODES_CTES + """
+SELECT source_name, dataset_id, table_name, series_code, node_key, CAST(i AS INTEGER) AS path_ordinal, is_leaf
+FROM expl""")
+def q_bridge_series_node(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series-to-node bridge, one leaf per series."""
+    st = _star(spark, sf_dir)
+    ser = st.dim_series.select("series_id", "source_id", "series_code")
+    return st.bridge_series_node.join(ser, "series_id").join(
+        st.dim_source.select("source_id", *_SRC), "source_id").select(
+        *_SRC, "series_code", "node_key", "path_ordinal", "is_leaf")
+
+
+@register("fact_observation", "WITH " + O.OBT_CTES + """
+SELECT source_name, dataset_id, bea_table_name AS table_name, series_code, state_fips, frequency, period_code,
+       vintage_tag, pce_value AS value_numeric, pce_value_scaled AS value_scaled, note_ref, run_id
+FROM fact_last""")
+def q_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows after replaying every load (last load per key wins)."""
+    st = _star(spark, sf_dir)
+    return (
+        st.fact.join(st.dim_source.select("source_id", *_SRC), "source_id")
+        .join(st.dim_series.select("series_id", "series_code"), "series_id")
+        .join(st.dim_geo.select("geo_id", "state_fips"), "geo_id")
+        .join(st.dim_period.select("period_id", "frequency", "period_code"), "period_id")
+        .join(st.dim_vintage.select("vintage_id", "vintage_tag"), "vintage_id")
+        .select(*_SRC, "series_code", "state_fips", "frequency", "period_code", "vintage_tag",
+                "value_numeric", "value_scaled", "note_ref", "run_id")
+    )
+
+
+@register("star_key_report")
+def q_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate-id and key uniqueness per star table (bad_count 0 = ok).
+
+    Rows-only: hash ids are engine-specific, so there is no SQL oracle."""
+    return W.key_uniqueness_report(_star(spark, sf_dir))
