@@ -373,3 +373,87 @@ def q_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Rows-only: hash ids are engine-specific, so there is no SQL oracle."""
     return W.key_uniqueness_report(_star(spark, sf_dir))
+
+
+# --- Bronze-side operators -------------------------------------------------------
+from econ_lake.sources import bronze as BZ  # noqa: E402
+from econ_lake.sources.catalog import DEFAULT_DATASETS  # noqa: E402
+from econ_lake.sources import bridge as B  # noqa: E402
+
+_REQ = O._values([(d["dataset_id"], d.get("bea_frequency", "A")) for d in DEFAULT_DATASETS if d["source"] == "bea"],
+                 "rq(dataset_id, requested_frequency)")
+
+
+@register("frequency_gate", "WITH " + O.CONFORMED_CTES + f""",
+obs AS (SELECT dataset_id, freq FROM bea_cells
+        UNION ALL SELECT 'pce_state_sapce4_monthly', 'Q' FROM spend_m WHERE tbl = 'SAPCE4' AND line = '19')
+SELECT o.dataset_id, 'run-' || v.vintage_tag || '-' || o.dataset_id AS run_id,
+       array_to_string(list_sort(list_distinct(list(o.freq))), ',') AS observed_frequencies,
+       rq.requested_frequency,
+       rq.requested_frequency NOT IN ('A', 'M')
+         OR list_contains(list_distinct(list(o.freq)), rq.requested_frequency) AS ok
+FROM obs o JOIN {_REQ} ON rq.dataset_id = o.dataset_id
+JOIN {O._VINT} ON TRUE
+GROUP BY o.dataset_id, v.vintage_tag, rq.requested_frequency""")
+def q_frequency_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observed period frequencies per payload and the requested-frequency gate."""
+    landed = lake.bronze(spark, sf_dir)
+    g = BZ.frequency_gate(landed.filter(landed.source == "bea"), lake.catalog(spark))
+    return g.select("dataset_id", "run_id", F.array_join("observed_frequencies", ",").alias("observed_frequencies"),
+                    "requested_frequency", "ok")
+
+
+@register("payload_change_flags", "WITH " + O.CONFORMED_CTES + f""",
+ds AS (SELECT DISTINCT dataset_id FROM conformed),
+diff AS (
+  SELECT dataset_id, bool_or(prelim <> final) AS differs FROM bea_cells GROUP BY dataset_id
+  UNION ALL SELECT DISTINCT dataset_id, false FROM census_cells
+)
+SELECT dataset_id, 'run-{B.VINTAGES[0]}-' || dataset_id AS run_id, true AS changed FROM ds
+UNION ALL
+SELECT dataset_id, 'run-{B.VINTAGES[1]}-' || dataset_id, differs FROM diff""")
+def q_change_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I15-I17 (+S10): order-insensitive payload hash per run, each run compared
+    with the previous run of its dataset (first run: changed)."""
+    landed = lake.bronze(spark, sf_dir)
+    h = BZ.row_set_hash(landed, ["dataset_id", "run_id", "load_seq"])
+    return BZ.successive_change_flags(h).select("dataset_id", "run_id", "changed")
+
+
+@register("payload_hashes")
+def q_payload_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content hash per landed payload (rows-only: digest is engine-specific)."""
+    landed = lake.bronze(spark, sf_dir)
+    return BZ.row_set_hash(landed, ["dataset_id", "run_id"])
+
+
+@register("header_matrix_records", """
+SELECT n_name AS "NAME", CAST(n_nationkey AS VARCHAR) AS "N_KEY", lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0')
+  AS state, '0' AS missing_headers
+FROM nation""")
+def q_header_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header-row matrix (built from the nation table) back into records.
+
+    The nation table is bounded (25 rows by definition), so one matrix row is safe."""
+    n = lake.bridge._read(spark, sf_dir, "nation")
+    rows = n.select(F.array(F.col("n_name"), F.col("n_nationkey").cast("string"),
+                            F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0")).alias("r"))
+    matrix = rows.agg(F.array_sort(F.collect_list("r")).alias("body")).select(
+        F.concat(F.array(F.array(F.lit("NAME"), F.lit("N_KEY"), F.lit("state"))), F.col("body")).alias("m"))
+    recs = matrix.select(F.explode(BZ.header_matrix_records(F.col("m"))).alias("row"),
+                         F.size(BZ.missing_headers(F.col("m"), ["NAME", "N_KEY", "state"])).alias("nmiss"))
+    return recs.select(F.col("row")["NAME"].alias("NAME"), F.col("row")["N_KEY"].alias("N_KEY"),
+                       F.col("row")["state"].alias("state"), F.col("nmiss").cast("string").alias("missing_headers"))
+
+
+@register("line_dictionary", """
+SELECT 'orders_priority' AS dataset_id, substr(o_orderpriority, 1, 1) AS line_key,
+       arg_max(o_orderpriority, o_orderpriority) AS description
+FROM orders GROUP BY substr(o_orderpriority, 1, 1)""")
+def q_line_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dictionary from a ParamValue array (built from the order priorities)."""
+    o = lake.bridge._read(spark, sf_dir, "orders")
+    pv = o.select("o_orderpriority").distinct().agg(F.array_sort(F.collect_list(F.struct(
+        F.substring("o_orderpriority", 1, 1).alias("Key"), F.col("o_orderpriority").alias("Desc")))).alias(
+        "param_value")).select(F.lit("orders_priority").alias("dataset_id"), "param_value")
+    return BZ.line_dictionary(pv)
