@@ -457,3 +457,60 @@ def q_line_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).alias("Key"), F.col("o_orderpriority").alias("Desc")))).alias(
         "param_value")).select(F.lit("orders_priority").alias("dataset_id"), "param_value")
     return BZ.line_dictionary(pv)
+
+
+# --- Gates and additions -------------------------------------------------------------
+from econ_lake.operators import extras as XT  # noqa: E402
+from econ_lake.operators import quality as Q  # noqa: E402
+
+
+@register("silver_gate", "WITH " + O.CONFORMED_CTES + """
+SELECT dataset_id, run_id, count(*) AS rows,
+       count(*) FILTER (WHERE state_fips IS NULL OR state_abbrev IS NULL OR frequency IS NULL OR period_code IS NULL
+                        OR year IS NULL OR bea_table_name IS NULL OR line_code IS NULL OR pce_value IS NULL)
+         AS null_required,
+       count(*) - count(DISTINCT (bea_table_name, state_fips, period_code, line_code)) AS duplicate_keys,
+       count(*) > 0 AND count(*) = count(DISTINCT (bea_table_name, state_fips, period_code, line_code))
+         AND count(*) FILTER (WHERE pce_value IS NULL) = 0 AS ok
+FROM conformed GROUP BY dataset_id, run_id""")
+def q_silver_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver gates per payload (rows, NULL required columns, duplicate keys)."""
+    landed = lake.bronze(spark, sf_dir)
+    bea = Q.bea_silver_report(lake.bea_silver(spark, sf_dir, landed))
+    cen = Q.census_silver_report(lake.census_silver(spark, sf_dir, landed))
+    return bea.unionByName(cen)
+
+
+@register("monthly_change", "WITH " + O.CONFORMED_CTES + f""",
+m AS (SELECT *, year * 12 + month AS mi FROM conformed WHERE frequency = 'M' AND vintage_tag = '{B.FINAL_VINTAGE}')
+SELECT a.source_name, a.dataset_id, a.state_fips, a.series_code, a.period_code, a.year, a.month, a.pce_value,
+       p.pce_value AS value_prior_month,
+       CASE WHEN p.pce_value IS NULL OR p.pce_value = 0 THEN NULL
+            ELSE (a.pce_value - p.pce_value) / p.pce_value * {O.PCT} END AS mom_pct,
+       CASE WHEN r.n = 12 THEN CAST(r.s AS DOUBLE) / CAST(12.0 AS DOUBLE) END AS rolling_12m_mean
+FROM m a
+LEFT JOIN m p ON p.source_name = a.source_name AND p.dataset_id = a.dataset_id AND p.state_fips = a.state_fips
+     AND p.series_code = a.series_code AND p.mi = a.mi - 1
+LEFT JOIN (SELECT a2.source_name, a2.dataset_id, a2.state_fips, a2.series_code, a2.mi,
+                  sum(CAST(b2.pce_value AS DECIMAL(38,2))) AS s, count(b2.pce_value) AS n
+           FROM m a2 JOIN m b2 ON b2.source_name = a2.source_name AND b2.dataset_id = a2.dataset_id
+                AND b2.state_fips = a2.state_fips AND b2.series_code = a2.series_code
+                AND b2.mi BETWEEN a2.mi - 11 AND a2.mi
+           GROUP BY ALL) r
+     ON r.source_name = a.source_name AND r.dataset_id = a.dataset_id AND r.state_fips = a.state_fips
+     AND r.series_code = a.series_code AND r.mi = a.mi""")
+def q_monthly_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-over-month change and 12-month rolling mean (latest vintage)."""
+    return XT.monthly_change(lake.conformed(spark, sf_dir), B.FINAL_VINTAGE)
+
+
+@register("as_of_vintage", "WITH " + O.CONFORMED_CTES + f"""
+SELECT source_name, dataset_id, bea_table_name, series_code, state_fips, frequency, period_code,
+       arg_max(vintage_tag, (vintage_tag, load_seq)) AS vintage_tag,
+       arg_max(pce_value, (vintage_tag, load_seq)) AS pce_value,
+       arg_max(pce_value_scaled, (vintage_tag, load_seq)) AS pce_value_scaled
+FROM conformed WHERE vintage_tag <= '{B.PRELIM_VINTAGE}'
+GROUP BY source_name, dataset_id, bea_table_name, series_code, state_fips, frequency, period_code""")
+def q_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations as known on the first vintage date."""
+    return XT.as_of_vintage(lake.conformed(spark, sf_dir), B.PRELIM_VINTAGE)
