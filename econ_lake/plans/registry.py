@@ -514,3 +514,33 @@ GROUP BY source_name, dataset_id, bea_table_name, series_code, state_fips, frequ
 def q_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations as known on the first vintage date."""
     return XT.as_of_vintage(lake.conformed(spark, sf_dir), B.PRELIM_VINTAGE)
+
+
+@register("stage_row_counts", "WITH " + O.OBT_CTES + """
+SELECT 'silver_bea' AS stage, count(*) AS row_count FROM bea_conf
+UNION ALL SELECT 'silver_census', count(*) FROM census_conf
+UNION ALL SELECT 'conformed', count(*) FROM conformed
+UNION ALL SELECT 'fact', count(*) FROM fact_last
+UNION ALL SELECT 'fact_after_same_loads_again', count(*) FROM fact_last
+UNION ALL SELECT 'obt_annual_latest', count(*) FROM obt""")
+def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts per stage, and the fact count after replaying every
+    load a second time (a re-run must add no rows)."""
+    from econ_lake.session import materialise
+
+    landed = lake.bronze(spark, sf_dir)
+    conf = materialise(lake.conformed_plan(spark, sf_dir, landed), "conformed")
+    replay = conf.unionByName(conf.withColumn("load_seq", F.col("load_seq") + F.lit(1000)))
+    parts = [
+        ("silver_bea", lake.bea_silver(spark, sf_dir, landed)),
+        ("silver_census", lake.census_silver(spark, sf_dir, landed)),
+        ("conformed", conf),
+        ("fact", W.build_star(conf).fact),
+        ("fact_after_same_loads_again", W.build_star(replay).fact),
+        ("obt_annual_latest", V.obt_annual_latest(W.build_star(conf))),
+    ]
+    out = None
+    for stage, df in parts:
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(stage).alias("stage"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
