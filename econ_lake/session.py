@@ -48,14 +48,20 @@ def get_spark(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` must point at shared storage, and is
+    used as is.  Only a local session without it gets a scratch folder of its
+    own; the setting itself is static, so that one is kept by the context.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not current:
+        if known.isDefined():
+            return known.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="econ-lake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not known.isDefined():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
