@@ -4,10 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from econ_lake.llm import decontaminate, exact_dedup, sharding
+from econ_lake.llm import bpe, decontaminate, exact_dedup, quality, sharding, token_counts, toxicity
 from econ_lake.llm.shared import table
 
 
+def tokenizer_path(spark: SparkSession, name: str) -> str:
+    """A vocabulary file of the public tokenizers; ``spark.llm.tokenizers`` names another folder, the same on all
+    machines."""
+    folder = spark.conf.get("spark.llm.tokenizers", None)
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text, and the text decoded from them, as digests."""
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer_path(spark, "word_bpe_49k.json"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every whole text."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(spark, "piece_bpe_32k.model"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside 13-word windows of benchmark items."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -23,7 +49,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_decontaminate, op6_sharding, op8_exact_dedup)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_token_counts, op4_quality, op5_decontaminate, op6_sharding,
+                                   op8_exact_dedup, op10_toxicity)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -99,12 +99,11 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
 
 class Words:
-    """The words of a text column: ``start``/``end`` byte positions, ``first[i]:first[i+1]`` the words of row i."""
+    """The words of texts laid end to end: ``start``/``end`` byte positions, ``first[i]:first[i+1]`` those of row i."""
 
-    def __init__(self, column: pa.Array, blank: np.ndarray = BLANK, lower: bool = False):
-        data, at = utf8(column)
-        self.data, self.at = ASCII_LOWER[data] if lower else data, at
-        word = ~blank[self.data]
+    def __init__(self, data: np.ndarray, at: np.ndarray, blank: np.ndarray = BLANK):
+        self.data, self.at = data, at
+        word = ~blank[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[at] = True
         opens, closes = word & edge[:-1], word & edge[1:]
@@ -113,6 +112,10 @@ class Words:
         self.start, self.end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
         self.first = np.searchsorted(self.start, at)
 
+    def rows(self) -> np.ndarray:
+        """The row of each word."""
+        return np.repeat(np.arange(len(self.at) - 1), np.diff(self.first))
+
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word, taken eight bytes at a time."""
         size = self.end - self.start
