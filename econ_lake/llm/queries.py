@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from econ_lake.llm import bpe, decontaminate, exact_dedup, quality, sharding, token_counts, toxicity
+from econ_lake.llm import bpe, chat, decontaminate, exact_dedup, quality, sharding, token_counts, toxicity
 from econ_lake.llm.shared import table
 
 
@@ -44,6 +44,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted as tokens and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    return chat.report(rows.unionByName(extra), tokenizer_path(spark, "byte_bpe_50k.json"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts by the digest index; the largest doc_id stays."""
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
@@ -54,7 +62,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_token_counts, op4_quality, op5_decontaminate, op6_sharding,
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_token_counts, op4_quality, op5_decontaminate, op6_sharding, op7_chat,
                                    op8_exact_dedup, op10_toxicity)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -85,6 +93,23 @@ select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as b
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join hit on hit.doc_id = d.doc_id left join items on items.doc_id = d.doc_id
+""",
+    "op7_chat": r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e as (
+  select *, length(regexp_replace(text, '([<\[])(\\*)(\|startoftext\|>|\|endoftext\|>|\|im_start\|>|\|im_end\|>|'
+    '\|turn\|>|\|text\|>|\|end\|>|/INST\]|INST\]|/s>|s>)', '\1\\\2\3', 'g')) as n_escaped from c
+), g as (
+  select conv_id, count(*) as n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as turns,
+    coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '') as loss,
+    sum(n_escaped + length(role) + 23) as formatted
+  from e group by conv_id
+)
+select conv_id, n_turns, sha256(turns) as turns_sha256, cast(length(loss) as bigint) as loss_chars,
+       sha256(loss) as loss_sha256, cast(formatted as bigint) as formatted_chars from g
 """,
     "op8_exact_dedup": f"""
 with t as (select doc_id, sha256({_LOWER}) as text_sha256 from documents)
