@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from econ_lake.llm import bpe, chat, decontaminate, exact_dedup, quality, sharding, token_counts, toxicity
+from econ_lake.llm import bpe, chat, decontaminate, exact_dedup, quality, sharding, substring_dedup, token_counts, toxicity
 from econ_lake.llm.shared import table
 
 
@@ -19,6 +19,11 @@ def tokenizer_path(spark: SparkSession, name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the passages of 20 words or more that occur earlier."""
+    return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every whole text, and the text decoded from them, as digests."""
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer_path(spark, "word_bpe_49k.json"))
@@ -62,12 +67,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_token_counts, op4_quality, op5_decontaminate, op6_sharding, op7_chat,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_token_counts, op4_quality, op5_decontaminate, op6_sharding, op7_chat,
                                    op8_exact_dedup, op10_toxicity)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op1_substring_dedup": r"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents
+), win as (
+  select doc_id, i, array_to_string(w[i:i + 19], ' ') as k from d, unnest(range(1, len(w) - 18)) as r(i)
+), later as (
+  select doc_id, i from win
+  qualify row_number() over (partition by k order by doc_id, i) > 1
+), gone as (
+  select distinct doc_id, p from later, unnest(range(i, i + 20)) as r(p)
+), kept as (
+  select d.doc_id, p, w[p] as word from d, unnest(range(1, len(w) + 1)) as r(p)
+  where not exists (select 1 from gone where gone.doc_id = d.doc_id and gone.p = r.p)
+), t as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by p) as words from kept group by doc_id
+)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+       sha256(coalesce(words, '')) as kept_sha256
+from d left join t on t.doc_id = d.doc_id
+""",
     "op5_decontaminate": f"""
 with d as (
   select doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
