@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from econ_lake.llm.shared import pieces
@@ -187,29 +188,27 @@ def tokenizer(path: str) -> WordBPE:
     return WordBPE(path)
 
 
-def _column(kind: T.DataType, values: list) -> pa.Array:
-    from pyspark.sql.pandas.types import to_arrow_type
+def encode(docs: DataFrame, path: str, decoded: bool = True) -> DataFrame:
+    """The rows of ``docs`` with n_tokens, ids and, if wanted, the decoded text behind their own columns.
 
-    return pa.array(values, to_arrow_type(kind))
-
-
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """The rows of ``docs`` with n_tokens, ids (array) and decoded (text) behind their own columns."""
-    own = [f for f in docs.schema.fields if f.name not in ("n_tokens", "ids", "decoded")]
+    Columns of ``docs`` with one of these names give way.
+    """
+    new = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    new += [T.StructField("decoded", T.StringType())] * decoded
+    names = [f.name for f in new]
+    own = [f for f in docs.schema.fields if f.name not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for part in pieces(batches, limit=1 << 20):
             ids = [bpe.encode(t or "") for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(f.name) for f in own]
-                + [pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                   pa.array([bpe.decode(x) for x in ids], pa.string())],
-                [f.name for f in own] + ["n_tokens", "ids", "decoded"])
-
-    schema = T.StructType([*own, T.StructField("n_tokens", T.LongType()),
-                           T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
-    return docs.select(*[f.name for f in own]).mapInArrow(run, schema)
+            columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
+            if decoded:
+                columns.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays([part.column(f.name) for f in own] + columns,
+                                             [f.name for f in own] + names)
+
+    return docs.select(*[F.col(f"`{f.name}`") for f in own]).mapInArrow(run, T.StructType([*own, *new]))
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from econ_lake.llm import bpe, chat, decontaminate, exact_dedup, quality, sharding, substring_dedup, token_counts, toxicity
+from econ_lake.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, quality, sharding, substring_dedup, token_counts, toxicity
 from econ_lake.llm.shared import table
 
 
@@ -62,13 +62,18 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share four fifths of their 5-word shingles."""
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_token_counts, op4_quality, op5_decontaminate, op6_sharding, op7_chat,
-                                   op8_exact_dedup, op10_toxicity)}
+                                   op8_exact_dedup, op9_jaccard_join, op10_toxicity)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -136,6 +141,27 @@ with c as (
 )
 select conv_id, n_turns, sha256(turns) as turns_sha256, cast(length(loss) as bigint) as loss_chars,
        sha256(loss) as loss_sha256, cast(formatted as bigint) as formatted_chars from g
+""",
+    "op9_jaccard_join": f"""
+with recursive d as (
+  select doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+  from documents
+), s as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as k
+  from d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as r(i) where len(w) > 0
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.k = b.k and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id
+), link as (
+  select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+), reach as (
+  select doc_id as a, doc_id as b from d union select reach.a, link.b from reach join link on link.a = reach.b
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, least_id as component_id
+from d left join n on n.doc_id = d.doc_id
+join (select a, min(b) as least_id from reach group by a) m on m.a = d.doc_id
 """,
     "op8_exact_dedup": f"""
 with t as (select doc_id, sha256({_LOWER}) as text_sha256 from documents)
