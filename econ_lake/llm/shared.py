@@ -140,7 +140,7 @@ class Words:
 
 def ngrams(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all n consecutive entries of h (in order); len(h)-n+1 of them."""
-    out = h[:len(h) - n + 1].copy()
+    out = mix(h[:len(h) - n + 1])
     for k in range(1, n):
         out = mix(out + h[k:len(h) - n + 1 + k])
     return out

@@ -48,16 +48,19 @@ class FactorizationMachine:
 
 
 def telling_terms(rows: list[np.ndarray], label: np.ndarray, most: int) -> np.ndarray:
-    """The terms whose shares in the two classes lie furthest apart, in standard errors; ties by term."""
+    """The terms whose shares in the two classes lie furthest apart, in standard errors; ties by term.
+
+    They must lie further apart than the furthest of as many terms without meaning would by chance."""
     n = np.array([(label == c).sum() for c in (0, 1)])
     count = np.stack([np.bincount(np.concatenate([r for r, y in zip(rows, label, strict=True) if y == c]).astype(int),
                                   minlength=1 << BITS) for c in (0, 1)])
     share, both = count / n[:, None], count.sum(0) / n.sum()
     error = np.sqrt(both * (1 - both) * (1 / n).sum()) + 1e-12
     apart = np.abs(share[1] - share[0]) / error
-    apart[count.sum(0) < 3] = 0
+    often = count.sum(0) >= 3
+    apart[~often] = 0
     best = np.lexsort((np.arange(1 << BITS), -apart))[:most]
-    return best[apart[best] > 0]
+    return best[apart[best] > np.sqrt(2 * np.log(max(2, often.sum())))]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = 15, rate: float = 0.1,
