@@ -18,7 +18,7 @@ A broadcast automaton would need a reference of bounded size, or as many passes
 shards; so the shards are dealt out by anchor, and only passages that can match are streamed along them.
 
 Defined results: a null or empty text has no words; a null doc_id is smaller than all others; rows with the same
-doc_id and text are one document (neither is earlier); an empty table gives no rows; other columns are not read.
+doc_id and text are one document (neither is earlier); different texts must have different ids; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -207,11 +207,14 @@ def along_automata(rows: DataFrame, length: int) -> DataFrame:
     """The repeated spans (doc_id, mark, at, end) of different runs with the same anchor, shard by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, size, now = SuffixAutomaton(), 0, None
+        automaton, size, now, place = SuffixAutomaton(), 0, None, None
         for batch in batches:
             row, at, end = [], [], []
-            for k, (anchor, first, words) in enumerate(zip(*(batch.column(c).to_pylist() for c in (
-                    "anchor", "at", "words")), strict=True)):
+            for k, (anchor, first, words, *document) in enumerate(zip(*(batch.column(c).to_pylist() for c in (
+                    "anchor", "at", "words", "doc_id", "mark")), strict=True)):
+                if (anchor, first, document) == place:  # the same document again
+                    continue
+                place = anchor, first, document
                 if anchor != now:
                     now = anchor
                     if size > AUTOMATON_WORDS:
@@ -231,7 +234,7 @@ def along_automata(rows: DataFrame, length: int) -> DataFrame:
                  pa.array(end, pa.int32())], ["doc_id", "mark", "at", "end"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return (rows.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "at")
+    return (rows.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "at", "mark")
             .mapInArrow(run, f"doc_id {kind}, mark int, at int, end int"))
 
 
@@ -245,10 +248,11 @@ def later_ones(rows: DataFrame, first: DataFrame, key: list[str]) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(doc_id, mark, at, end): the word spans that also start earlier; ``docs`` has doc_id, mark and text."""
     every = spots(docs, length)
-    shared = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("low"),
-                                         F.max("content").alias("high")).filter("n > 1")
-    hits = stored(every.join(shared.select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchor"),
-                  "shared-runs")
+    # written, so that the join has its own exchange on either side and a hot anchor's rows can be split
+    shared = stored(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("low"),
+                                                F.max("content").alias("high")).filter("n > 1").select(
+        "anchor", (F.col("low") != F.col("high")).alias("mixed")), "shared-anchors")
+    hits = stored(every.join(shared, "anchor"), "shared-runs")
     first = stored(hits.groupBy("anchor", "content", "mixed").agg(
         F.min(F.struct("doc_id", "at", "mark", "windows")).alias("first"), F.count(F.lit(1)).alias("n")), "first-runs")
     copies = later_ones(hits, first.filter("n > 1"), ["anchor", "content"]).select(
