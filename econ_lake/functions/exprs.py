@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes any Unicode whitespace; Spark's trim() only
-# removes spaces.  (?U) makes \s Unicode-aware in Java regex.
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Python's str.strip() removes any Unicode whitespace and U+001C to U+001F;
+# Spark's trim() only removes spaces.  (?U) makes \s Unicode-aware in Java regex.
+_EDGE_WS = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
 # Decimal / scientific literal accepted as a number (after strip).
 _NUMBER_RE = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 _INF_RE = r"^[+-]?(inf|infinity)$"
@@ -51,8 +51,9 @@ def parse_int_or_zero(c: str | Column) -> Column:
 
 
 def parse_year(c: str | Column) -> Column:
-    """Integer parse of a year-like text; anything else -> NULL."""
-    return parse_number(c, strip_commas=False).try_cast("int")
+    """Integer parse of a year-like text; anything else (also 2023.7) -> NULL."""
+    n = parse_number(c, strip_commas=False)
+    return F.when(n == F.floor(n), n.try_cast("int"))
 
 
 def zfill2(c: str | Column) -> Column:
@@ -75,7 +76,7 @@ def before_first_dash(c: str | Column) -> Column:
 def period_parts(c: str | Column) -> dict[str, Column]:
     """Period text -> frequency ('A','M','Q',''), year, month, quarter.
 
-    The whole (stripped, upper-cased) text must match; \\z anchors at the true
+    The patterns are fixed by the payloads.  The whole (stripped, upper-cased) text must match; \\z anchors at the true
     end so a trailing newline cannot slip through.
     """
     p = F.upper(strip(col(c).cast("string")))
@@ -123,7 +124,14 @@ def _json_escape(x: Column) -> Column:
     x = F.replace(x, F.lit('"'), F.lit('\\"'))
     x = F.replace(x, F.lit("\t"), F.lit("\\t"))
     x = F.replace(x, F.lit("\n"), F.lit("\\n"))
-    return F.replace(x, F.lit("\r"), F.lit("\\r"))
+    x = F.replace(x, F.lit("\r"), F.lit("\\r"))
+    x = F.replace(x, F.lit("\b"), F.lit("\\b"))
+    x = F.replace(x, F.lit("\f"), F.lit("\\f"))
+    # the other control characters, which labels hardly ever hold, as \u00XX
+    rest = F.split(x, "")
+    coded = F.array_join(F.transform(rest, lambda c: F.when(
+        F.ascii(c) < 32, F.concat(F.lit("\\u00"), F.lower(F.lpad(F.hex(F.ascii(c)), 2, "0")))).otherwise(c)), "")
+    return F.when(x.rlike(r"[\x00-\x1F]"), coded).otherwise(x)
 
 
 def json_text_list(path: Column) -> Column:
@@ -132,21 +140,6 @@ def json_text_list(path: Column) -> Column:
     return F.when(F.size(path) == 0, F.lit("[]")).otherwise(F.concat(F.lit('["'), body, F.lit('"]')))
 
 
-def stable_money_sum(c: str | Column) -> Column:
-    """Order-independent sum of money-like doubles.
-
-    Summing doubles is order-dependent in the last bits; going through an
-    exact DECIMAL(38,2) sum makes the result identical on every run and
-    every partitioning.
-    """
-    return F.sum(col(c).cast("decimal(38,2)")).cast("double")
-
-
-def stable_ratio_sum(c: str | Column) -> Column:
-    """Order-independent sum of ratio-like doubles (12 exact places, 8 kept)."""
-    return F.round(F.sum(col(c).cast("decimal(38,12)")), 8).cast("double")
-
-
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
     """num / den, NULL when den is NULL or 0."""
     d = col(den)

@@ -1,10 +1,9 @@
 """Weighted price-level study (A1-A20) on top of the weighted view.
 
-Everything stays distributed: the latest year is a scalar subquery (one
-value, computed by Spark), scenarios are conditional aggregates in a single
+Everything stays distributed: the latest year is a one-row aggregate that is joined, scenarios are conditional aggregates in a single
 ``groupBy`` (no cross join with the scenario table), first/last values are
 ``min_by``/``max_by`` with a null filter, top-1 per group is ``row_number``.
-Sums of doubles use exact decimal sums (order-independent results).
+Sums are plain sums; nothing is rounded before a gate or a report has seen it.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from econ_lake.functions import exprs as X
 from econ_lake.functions import lookups as L
+from econ_lake.operators.serving import subset_level
 
 NATIONAL = L.SCENARIO_ORDER[0]
 
@@ -23,27 +23,23 @@ def latest_year(weighted: DataFrame) -> DataFrame:
     return weighted.agg(F.max("year").alias("latest_year"))
 
 
-def _latest(weighted: DataFrame) -> Column:
-    return latest_year(weighted).scalar()
-
-
 def latest_year_rows(weighted: DataFrame) -> DataFrame:
     """A2: the latest year's rows."""
-    return weighted.filter(F.col("year") == _latest(weighted)).select(
+    return weighted.join(F.broadcast(latest_year(weighted)), F.col("year") == F.col("latest_year")).select(
         "year", "state_abbrev", "category", "rpp", "pce_share", "weighted_rpp")
 
 
 def trend_rows(weighted: DataFrame, states: tuple[str, ...] = L.TARGET_STATES, years: int = 5) -> DataFrame:
     """A3: the last ``years`` years of the target states."""
-    last = _latest(weighted)
-    return weighted.filter(
-        F.col("year").between(last - (years - 1), last) & F.col("state_abbrev").isin(*states)
-    ).select("state_abbrev", "category", "year", "rpp")
+    last = F.col("latest_year")
+    wanted = latest_year(weighted).select(F.explode(F.sequence(last - (years - 1), last)).alias("year"))
+    return weighted.filter(F.col("state_abbrev").isin(*states)).join(F.broadcast(wanted), "year").select(
+        "state_abbrev", "category", "year", "rpp")
 
 
 def share_sums(weighted: DataFrame) -> DataFrame:
     """A4: share sum per (year, category)."""
-    return weighted.groupBy("year", "category").agg(X.stable_ratio_sum("pce_share").alias("share_sum"))
+    return weighted.groupBy("year", "category").agg(F.sum("pce_share").alias("share_sum"))
 
 
 def share_sum_report(weighted: DataFrame, tolerance: float = L.SHARE_SUM_TOLERANCE) -> DataFrame:
@@ -58,8 +54,8 @@ def _scenario_sums(rows: DataFrame) -> DataFrame:
     for i, name in enumerate(L.SCENARIO_ORDER):
         excluded = L.SCENARIO_EXCLUSIONS[name]
         keep = ~F.col("state_abbrev").isin(*excluded) if excluded else F.lit(True)
-        aggs.append(X.stable_ratio_sum(F.when(keep, F.col("weighted_rpp"))).alias(f"w{i}"))
-        aggs.append(X.stable_ratio_sum(F.when(keep, F.col("pce_share"))).alias(f"s{i}"))
+        aggs.append(F.sum(F.when(keep, F.col("weighted_rpp"))).alias(f"w{i}"))
+        aggs.append(F.sum(F.when(keep, F.col("pce_share"))).alias(f"s{i}"))
     sums = rows.groupBy("category").agg(*aggs)
     per = F.array(*[
         F.struct(F.lit(name).alias("scenario"), F.lit(i + 1).alias("scenario_rank"),
@@ -108,23 +104,41 @@ def scenarios_frame_form(weighted: DataFrame) -> DataFrame:
     )
 
 
+def scenario_levels_by_state(weighted: DataFrame) -> DataFrame:
+    """The scenarios by another route: V13 (``subset_level``) of each one's states, on its own."""
+    rows = latest_year_rows(weighted)
+    out = None
+    for name in L.SCENARIO_ORDER:
+        excluded = L.SCENARIO_EXCLUSIONS[name]
+        one = subset_level(rows, ~F.col("state_abbrev").isin(*excluded) if excluded else None, ("category",))
+        if name == NATIONAL:  # the national level is the sum itself, not re-normalised
+            one = one.withColumn("rpp_level", F.col("rpp_level") * F.col("share_sum"))
+        one = one.withColumn("scenario", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def scenario_reconciliation(weighted: DataFrame, tolerance: float = L.SCENARIO_MATH_TOLERANCE) -> DataFrame:
-    """Both scenario formulas agree within ``tolerance`` (missing key = failure)."""
-    a = scenarios_frame_form(weighted).alias("a")
-    b = scenarios_sql_form(weighted).alias("b")
-    j = a.join(b, ["category", "scenario"], "full_outer")
-    cols = ["rpp_level", "difference_from_national", "pct_change_from_national", "share_sum"]
-    parts = [
-        j.agg(F.max(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}"))).alias("max_delta"),
-              F.count_if(F.col(f"a.{c}").isNull() != F.col(f"b.{c}").isNull()).alias("unmatched"))
-        .select(F.lit(c).alias("column_name"), "max_delta", "unmatched")
-        for c in cols
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("ok", (F.coalesce(F.col("max_delta"), F.lit(0.0)) <= tolerance)
-                          & (F.col("unmatched") == 0))
+    """The scenario table (A5) against the levels computed by state subsets.
+
+    A key that one side lacks, and a value that only one side has, are failures.
+    """
+    key = ["category", "scenario"]
+    left = scenarios_sql_form(weighted).withColumn("here", F.lit(1)).alias("a")
+    right = scenario_levels_by_state(weighted)
+    national = right.filter(F.col("scenario") == NATIONAL).select("category", F.col("rpp_level").alias("national"))
+    right = right.join(national, "category", "left").select(
+        *key, "rpp_level", "share_sum", (F.col("rpp_level") - F.col("national")).alias("difference_from_national"),
+        (F.try_divide(F.col("rpp_level") - F.col("national"), F.col("national")) * 100.0).alias(
+            "pct_change_from_national"), F.lit(1).alias("here")).alias("b")
+    columns = ["rpp_level", "difference_from_national", "pct_change_from_national", "share_sum"]
+    lone = F.col("a.here").isNull() | F.col("b.here").isNull()
+    both = left.join(right, key, "full_outer").select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")).alias("delta"),
+                 (lone | (F.col(f"a.{c}").isNull() != F.col(f"b.{c}").isNull())).alias("lone")) for c in columns])))
+    return both.groupBy("column_name").agg(F.max("delta").alias("max_delta"), F.count_if("lone").alias("unmatched")
+                                           ).withColumn("ok", (F.coalesce("max_delta", F.lit(0.0)) <= tolerance)
+                                                        & (F.col("unmatched") == 0))
 
 
 def completeness_report(trend: DataFrame, years: int = 5) -> DataFrame:
@@ -136,20 +150,37 @@ def completeness_report(trend: DataFrame, years: int = 5) -> DataFrame:
 def state_change_summary(trend: DataFrame, years: int = 5) -> DataFrame:
     """A10: first/last year and first/last non-null rpp per (state, category).
 
-    Groups failing the completeness gate (A9) are left out here; the gate
-    report lists them.
+    Every group is reported; ``complete`` tells whether it has exactly ``years``
+    years (A9).  ``assert_complete`` refuses a study with an incomplete one.
     """
     nn = F.col("rpp").isNotNull()
     s = trend.groupBy("state_abbrev", "category").agg(
         F.min("year").alias("start_year"), F.max("year").alias("end_year"),
         F.min_by(F.when(nn, F.col("rpp")), F.when(nn, F.col("year"))).alias("start_rpp"),
         F.max_by(F.when(nn, F.col("rpp")), F.when(nn, F.col("year"))).alias("end_rpp"),
-        F.count_distinct("year").alias("_years"),
-    ).filter(F.col("_years") == years).drop("_years")
+        (F.count_distinct("year") == years).alias("complete"),
+    )
     return s.withColumn("rpp_change", F.col("end_rpp") - F.col("start_rpp")).withColumn(
         "pct_change", (F.try_divide(F.col("end_rpp"), F.col("start_rpp")) - F.lit(1.0)) * F.lit(100.0))
 
 
+def assert_complete(trend: DataFrame, years: int = 5) -> None:
+    """Raise when a (state, category) group lacks a year or has too many."""
+    bad = completeness_report(trend, years).filter(~F.col("ok")).limit(5).collect()
+    if bad:
+        raise ValueError(f"trend groups without exactly {years} years: {[tuple(r) for r in bad]}")
+
+
+def assert_study(weighted: DataFrame) -> None:
+    """Refuse a study whose shares, trends or scenario figures don't hold."""
+    assert_complete(trend_rows(weighted))
+    for what, report in (("shares", share_sum_report(weighted)), ("scenarios", scenario_reconciliation(weighted))):
+        bad = report.filter(~F.col("ok")).limit(5).collect()
+        if bad:
+            raise ValueError(f"study gate on {what} failed: {[r.asDict() for r in bad]}")
+
+
+# The names of the published output columns.
 COMBINED_COLUMNS = [
     "view_type", "latest_year", "scenario", "state_abbrev", "category", "year", "rpp_level",
     "difference_from_national", "pct_change_from_national", "share_sum", "rpp", "start_year", "end_year",
@@ -159,14 +190,19 @@ COMBINED_COLUMNS = [
 
 def combined_output(weighted: DataFrame) -> DataFrame:
     """Scenario, trend and change rows in one 17-column frame."""
-    last = _latest(weighted)
     trend = trend_rows(weighted)
-    sc = scenarios_frame_form(weighted).withColumns(
-        {"view_type": F.lit("scenario_comparison"), "latest_year": last, "year": last})
-    tr = trend.withColumns({"view_type": F.lit("state_trend"), "latest_year": last})
-    ch = state_change_summary(trend).withColumns({"view_type": F.lit("state_change_summary"), "latest_year": last})
+    sc = scenarios_frame_form(weighted).withColumn("view_type", F.lit("scenario_comparison"))
+    tr = trend.withColumn("view_type", F.lit("state_trend"))
+    ch = state_change_summary(trend).withColumn("view_type", F.lit("state_change_summary"))
     out = sc.unionByName(tr, allowMissingColumns=True).unionByName(ch, allowMissingColumns=True)
-    return out.select(*COMBINED_COLUMNS)
+    last = latest_year(weighted).scalar()
+    year = F.when(F.col("view_type") == "scenario_comparison", last).otherwise(F.col("year"))
+    return out.withColumns({"latest_year": last, "year": year}).select(*COMBINED_COLUMNS)
+
+
+def write_combined_csv(weighted: DataFrame, path: str) -> None:
+    """The combined output as CSV part files with a header."""
+    combined_output(weighted).write.mode("overwrite").option("header", True).csv(path)
 
 
 def largest_drop(weighted: DataFrame) -> DataFrame:
@@ -182,8 +218,7 @@ def top_category_per_state(weighted: DataFrame) -> DataFrame:
     """Per state the category with the largest rpp change (ties: category)."""
     ch = state_change_summary(trend_rows(weighted))
     w = Window.partitionBy("state_abbrev").orderBy(F.col("rpp_change").desc_nulls_last(), F.col("category"))
-    return ch.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") == 1).select(
-        "state_abbrev", "category", "start_year", "end_year", "start_rpp", "end_rpp", "rpp_change", "pct_change")
+    return ch.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") == 1).drop("rn")
 
 
 def formatted_scenarios(weighted: DataFrame) -> DataFrame:

@@ -7,24 +7,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from econ_lake.functions import exprs as X
-
 SERIES_KEY = ["source_name", "dataset_id", "state_fips", "series_code"]
 
 
-def monthly_change(conformed: DataFrame, vintage_tag: str) -> DataFrame:
-    """Month-over-month percent and 12-month rolling mean of monthly rows.
+def monthly_change(conformed: DataFrame) -> DataFrame:
+    """Month-over-month percent and 12-month rolling mean of monthly rows, in the
+    vintage that each source loaded last.
 
     The month index is ``year*12 + month``; range frames pick exactly the
     prior month and the last twelve months, so gaps give NULL, and the
     rolling mean needs all twelve months.  Window groups are one series of
     one state (bounded by the number of months).
     """
-    m = conformed.filter((F.col("frequency") == "M") & (F.col("vintage_tag") == vintage_tag)).withColumn(
-        "month_index", F.col("year") * 12 + F.col("month"))
+    monthly = conformed.filter(F.col("frequency") == "M")
+    source = ["source_name", "dataset_id", "bea_table_name"]
+    latest = monthly.groupBy(*source).agg(F.max_by("vintage_tag", "load_seq").alias("vintage_tag"))
+    m = monthly.join(latest, [*source, "vintage_tag"]).withColumn("month_index", F.col("year") * 12 + F.col("month"))
     w = Window.partitionBy(*SERIES_KEY).orderBy("month_index")
     prev = F.first("pce_value").over(w.rangeBetween(-1, -1))
-    roll_sum = F.sum(F.col("pce_value").cast("decimal(38,2)")).over(w.rangeBetween(-11, 0))
+    roll_sum = F.sum("pce_value").over(w.rangeBetween(-11, 0))
     roll_n = F.count("pce_value").over(w.rangeBetween(-11, 0))
     out = m.select(
         *SERIES_KEY, "period_code", "year", "month", "pce_value",
@@ -35,7 +36,7 @@ def monthly_change(conformed: DataFrame, vintage_tag: str) -> DataFrame:
         *SERIES_KEY, "period_code", "year", "month", "pce_value", "value_prior_month",
         F.when(prior.isNull() | (prior == 0), F.lit(None).cast("double"))
         .otherwise((F.col("pce_value") - prior) / prior * F.lit(100.0)).alias("mom_pct"),
-        F.when(F.col("_roll_n") == 12, F.col("_roll_sum").cast("double") / F.lit(12.0)).alias("rolling_12m_mean"),
+        F.when(F.col("_roll_n") == 12, F.col("_roll_sum") / F.lit(12.0)).alias("rolling_12m_mean"),
     )
 
 

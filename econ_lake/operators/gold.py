@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from econ_lake.functions import exprs as X
+from econ_lake.operators.silver import BEA_SILVER_COLUMNS, FINANCE_SILVER_COLUMNS, POPULATION_SILVER_COLUMNS
 
+# The names of the conformed columns, and what a Silver row must have.
 CONFORMED_COLUMNS = [
     "source_name", "dataset_id", "bea_table_name", "frequency", "period_code", "year", "month", "quarter",
     "state_fips", "state_abbrev", "geo_name", "line_code", "series_code", "series_name", "function_name",
@@ -29,7 +31,7 @@ def require_columns(df: DataFrame, required: list[str], what: str) -> None:
 
 def bea_gold(silver: DataFrame) -> DataFrame:
     """Recast ints, value -> pce_value, scaled by 10^unit_mult."""
-    require_columns(silver, ["value", "unit_mult", "year", "month", "quarter"], "Silver frame")
+    require_columns(silver, BEA_SILVER_COLUMNS, "Silver frame")
     return silver.withColumns({
         "year": F.col("year").cast("int"),
         "month": F.col("month").cast("int"),
@@ -55,6 +57,7 @@ def _census_table(path_col: str = "census_dataset_path"):
 
 def census_conformed(silver: DataFrame, source_name: str = "CENSUS") -> DataFrame:
     """Population and government-finance rows -> conformed rows."""
+    require_columns(silver, sorted({*POPULATION_SILVER_COLUMNS, *FINANCE_SILVER_COLUMNS}), "Census Silver frame")
     finance = F.col("census_series_kind") == "state_gov_finance"
     table = _census_table()
     variable = F.upper(F.col("census_variable"))

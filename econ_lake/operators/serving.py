@@ -2,8 +2,8 @@
 
 Each view is a function of DataFrames, composed lazily; ``register_views``
 publishes them as temp views in dependency order (V12).  The wide table V1
-is read several times by V7-V11, so callers that run many views at once
-should persist or materialise it (see ``materialise_wide_table``).
+is read several times by V7-V11, so it is stored once first (X4,
+``materialise_wide_table``).
 """
 
 from __future__ import annotations
@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from econ_lake.functions import exprs as X
 from econ_lake.functions import lookups as L
 from econ_lake.operators.warehouse import Star
+from econ_lake.session import materialise
 
+# The names of the published output columns.
 OBT_COLUMNS = [
     "source_name", "dataset_id", "bea_table_name", "state_fips", "state_abbrev", "geo_name", "year",
     "line_code", "series_code", "series_name", "function_name", "raw_description", "hierarchy_path_json",
@@ -41,10 +43,9 @@ def obt_annual_latest(star: Star) -> DataFrame:
     )
 
 
-def obt_from_conformed(conformed: DataFrame) -> DataFrame:
-    """V1 directly on conformed rows of a single vintage (no star)."""
-    return conformed.filter(F.col("frequency") == "A").select(
-        *[F.lit(None).cast("string").alias(c) if c == "release_tag" else F.col(c) for c in OBT_COLUMNS])
+def materialise_wide_table(star: Star) -> DataFrame:
+    """V1 stored in the shared folder, so that the views over it don't join the star again."""
+    return materialise(obt_annual_latest(star), "wide")
 
 
 def rpp_rows(obt: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def pce_rows(obt: DataFrame) -> DataFrame:
 
 def national_totals(pce: DataFrame) -> DataFrame:
     """V5: national spending per (year, category) over all spending rows."""
-    return pce.groupBy("year", "category_key").agg(X.stable_money_sum("pce").alias("national_pce"))
+    return pce.groupBy("year", "category_key").agg(F.sum("pce").alias("national_pce"))
 
 
 WEIGHTED_COLUMNS = [
@@ -244,21 +245,19 @@ def subset_level(weighted: DataFrame, keep: "F.Column | None" = None,
     """Re-normalised level of any subset of states: sum(w) / sum(share)."""
     w = weighted if keep is None else weighted.filter(keep)
     return w.groupBy(*by).agg(
-        X.safe_ratio(X.stable_ratio_sum("weighted_rpp"), X.stable_ratio_sum("pce_share")).alias("rpp_level"),
-        X.stable_ratio_sum("pce_share").alias("share_sum"),
+        X.safe_ratio(F.sum("weighted_rpp"), F.sum("pce_share")).alias("rpp_level"),
+        F.sum("pce_share").alias("share_sum"),
     )
 
 
-def register_views(spark: SparkSession, star: Star, population_dataset_id: str | None = L.POPULATION_DATASET,
-                   persist_wide: bool = True) -> dict[str, DataFrame]:
-    """(re)create every view, dependencies first."""
-    obt = obt_annual_latest(star)
-    if persist_wide:
-        obt = obt.persist()
+def register_views(spark: SparkSession, star: Star,
+                   population_dataset_id: str | None = L.POPULATION_DATASET) -> dict[str, DataFrame]:
+    """(re)create every view, dependencies first, over the stored wide table."""
+    obt = materialise_wide_table(star)
     views = {
         "obt_state_macro_annual_latest": obt,
         "v_state_rpp_pce_weighted_annual": weighted_view(obt),
-        "v_macro_yoy": yoy_view(obt),
+        "v_macro_yoy": yoy_view_window(obt),
         "v_pce_state_per_capita_annual": per_capita_view(obt, population_dataset_id),
         "v_state_federal_to_stategov_gdp_annual": federal_to_stategov_gdp(obt),
         "v_state_federal_to_persons_gdp_annual": federal_to_persons_gdp(obt),

@@ -4,8 +4,9 @@ Input is the raw-row shape every source produces: ``dataset_id``,
 ``vintage_tag``, ``run_id``, ``load_seq`` and ``row map<string,string>``.
 All datasets are parsed in one pass; dataset attributes come from the
 catalog by a broadcast join (the catalog is configuration-sized).
-Parsing is narrow (no shuffle); the only shuffle is the per-payload field
-presence test, a tiny partial aggregate.
+Parsing is narrow (no shuffle).  Which optional fields a payload has is taken
+from the landing log, one row per payload; without a log it is a partial
+aggregate over the rows.  Either is joined by the planner's size check.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from econ_lake.functions.lookups import fips_frame
 
 LINEAGE = ["dataset_id", "vintage_tag", "run_id", "load_seq"]
 
+# Column, key and required-column names of the Silver rows.
 BEA_SILVER_COLUMNS = [
     "state_fips", "state_abbrev", "geo_name", "frequency", "period_code", "year", "month", "quarter",
     "bea_table_name", "line_code", "series_code", "series_name", "function_name", "raw_description",
@@ -43,20 +45,27 @@ def _field(name: str):
     return F.col("row")[name]
 
 
-def field_presence(raw: DataFrame, fields: list[str]) -> DataFrame:
-    """Per payload (dataset_id, run_id): does any row carry each field?"""
+OPTIONAL_FIELDS = ("NoteRef", "FunctionName", "LineDescription")
+
+
+def field_presence(raw: DataFrame) -> DataFrame:
+    """Per payload (dataset_id, run_id): does any row carry each optional field?"""
     return raw.groupBy("dataset_id", "run_id").agg(
-        *[F.max(F.map_contains_key("row", f)).alias(f"has_{f}") for f in fields]
+        *[F.max(F.map_contains_key("row", f)).alias(f"has_{f}") for f in OPTIONAL_FIELDS]
     )
 
 
-def bea_silver(raw: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Typed BEA rows for states + DC, annual and monthly periods only."""
+def bea_silver(raw: DataFrame, catalog: DataFrame, presence: DataFrame | None = None) -> DataFrame:
+    """Typed BEA rows for states + DC, annual and monthly periods only.
+
+    ``presence`` has a row per payload (``field_presence``, or the landing log).
+    """
     spark = raw.sparkSession
     cat = catalog.filter(F.col("source") == "bea").select(
         "dataset_id", F.col("bea_table_name").alias("_spec_table"), F.col("bea_frequency").alias("_spec_freq"))
     rows = raw.join(F.broadcast(cat), "dataset_id")
-    presence = field_presence(rows, ["NoteRef", "FunctionName", "LineDescription"])
+    presence = field_presence(rows) if presence is None else presence.select(
+        "dataset_id", "run_id", *[f"has_{f}" for f in OPTIONAL_FIELDS])
     rows = rows.join(presence, ["dataset_id", "run_id"])
 
     per = X.period_parts(_field("TimePeriod"))

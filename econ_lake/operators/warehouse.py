@@ -13,20 +13,20 @@ Surrogate ids are ``xxhash64`` of the natural key, so foreign keys are
 computable without reading ids back.  Every step is a partial aggregate or an
 equi-join on keys; nothing is collected.
 
-``upsert`` (U1) materialises a table version: ``target LEFT ANTI updates``
-union ``updates``, written to a new directory; the pointer to the current
-version is published last (W17).
+``load`` maintains the same tables in a store, load after load: keyed upserts of
+the touched partitions, published together (W17).
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from econ_lake.functions import exprs as X
+from econ_lake.operators.tables import Store
+from econ_lake.session import materialise
 
 
 @dataclass
@@ -69,8 +69,10 @@ def _last_distinct(df: DataFrame, key: list[str], attrs: list[str], order: list[
     return first.groupBy(*key).agg(win.alias("_w")).select(*key, *[F.col(f"_w.{a}").alias(a) for a in attrs])
 
 
-def build_star(conformed: DataFrame) -> Star:
+def build_star(conformed: DataFrame, loaded_at: str | None = None) -> Star:
+    """The star of any number of loads; ``loaded_at`` is the load's time, one and the same for all rows."""
     c = _keyed(conformed)
+    now = F.lit(loaded_at).cast("timestamp")
 
     dim_source = c.groupBy("source_id", "source_name", "dataset_id", "table_name").agg(
         F.min("load_seq").alias("first_load_seq"), F.max("load_seq").alias("last_load_seq"))
@@ -85,7 +87,7 @@ def build_star(conformed: DataFrame) -> Star:
             _hash_id("source_id", "vintage_tag").alias("vintage_id"),
             "source_id", "vintage_tag",
             F.lit(None).cast("string").alias("release_tag"),
-            F.current_timestamp().alias("as_of_timestamp"),
+            now.alias("as_of_timestamp"),
             (F.col("vintage_tag") == F.col("_latest_tag")).alias("is_latest"),
             "last_load_seq",
         )
@@ -139,7 +141,7 @@ def build_star(conformed: DataFrame) -> Star:
             F.col("_w.pce_value_scaled").alias("value_scaled"),
             F.col("_w.note_ref").alias("note_ref"),
             F.col("_w.run_id").alias("run_id"),
-            F.current_timestamp().alias("loaded_at"),
+            now.alias("loaded_at"),
         )
     )
     return Star(dim_source, dim_vintage, dim_geo, dim_period, dim_series, dim_series_node,
@@ -197,65 +199,92 @@ def key_uniqueness_report(star: Star) -> DataFrame:
     return out
 
 
-# ---------------------------------------------------------------------------
-# Materialised keyed upsert (U1) with versioned publish.
-# ---------------------------------------------------------------------------
+def assert_resolved(conformed: DataFrame, star: Star) -> None:
+    """Raise, naming rows, when a geo, period or series key doesn't resolve."""
+    bad = foreign_key_report(conformed, star).limit(5).collect()
+    if bad:
+        raise ValueError(f"unresolved keys: {[r.asDict() for r in bad]}")
+
+
+# Columns that may not be NULL, and references, of the stored tables.
+NOT_NULL = {
+    "dim_source": ["source_id", "source_name", "dataset_id", "table_name"],
+    "dim_vintage": ["vintage_id", "source_id", "vintage_tag", "is_latest"],
+    "dim_geo": ["geo_id", "geo_level", "state_fips", "state_abbrev"],
+    "dim_period": ["period_id", "frequency", "period_code", "period_start_date", "period_end_date", "year"],
+    "dim_series": ["series_id", "source_id", "series_code"],
+    "dim_series_node": ["node_id", "source_id", "node_key", "node_label", "node_level"],
+    "bridge_series_node": ["series_id", "node_id", "path_ordinal", "is_leaf"],
+    "fact": ["source_id", "series_id", "geo_id", "period_id", "vintage_id"],
+}
+REFERENCES = [
+    ("fact", "source_id", "dim_source"), ("fact", "vintage_id", "dim_vintage"), ("fact", "geo_id", "dim_geo"),
+    ("fact", "period_id", "dim_period"), ("fact", "series_id", "dim_series"),
+    ("dim_series", "source_id", "dim_source"), ("bridge_series_node", "series_id", "dim_series"),
+    ("bridge_series_node", "node_id", "dim_series_node"),
+]
+
+
+def constraint_report(star: Star) -> DataFrame:
+    """Per table and constraint (unique key, not null, reference) the number of rows that break it."""
+    tables = star.tables()
+    parts = [key_uniqueness_report(star).select("table_name", F.lit("unique").alias("rule"), "bad_count")]
+    for name, columns in NOT_NULL.items():
+        lacks = F.count_if(F.array_contains(F.array(*[F.col(c).isNull() for c in columns]), True))
+        parts.append(tables[name].agg(lacks.alias("bad_count")).select(
+            F.lit(name).alias("table_name"), F.lit("not_null").alias("rule"), "bad_count"))
+    for name, key, to in REFERENCES:
+        lost = tables[name].join(tables[to].select(key), key, "left_anti")
+        parts.append(lost.agg(F.count(F.lit(1)).alias("bad_count")).select(
+            F.lit(name).alias("table_name"), F.lit(f"{key} in {to}").alias("rule"), "bad_count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-def _versions_path(root: str) -> str:
-    return root.rstrip("/") + "/_versions"
 
+FACT_KEY = ["source_id", "series_id", "geo_id", "period_id", "vintage_id"]
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Name of the published version of the table at ``root`` (None if new).
 
-    The pointer is an append-only log written with Spark, so it lives on the
-    same shared storage as the data (no machine-local file).
-    """
-    try:
-        log = spark.read.schema("version string, seq long").json(_versions_path(root))
-    except Exception:  # path does not exist yet
-        return None
-    last = log.orderBy(F.col("seq").desc()).limit(1).collect()
-    return last[0]["version"] if last else None
-
-
-def read_table(spark: SparkSession, root: str) -> DataFrame | None:
-    version = current_version(spark, root)
-    if version is None:
-        return None
-    return spark.read.parquet(f"{root.rstrip('/')}/{version}")
-
-
-def upsert(spark: SparkSession, root: str, updates: DataFrame, key: list[str],
-           preserve: list[str] | None = None, partition_by: list[str] | None = None) -> str:
-    """Keyed upsert into the table at ``root``; returns the new version name.
-
-    ``updates`` must hold one row per key.  Columns in ``preserve`` keep the
-    target's value when the key already exists (e.g. ``created_at``).
-    Existing rows whose key is absent from ``updates`` are kept.  The new
-    version is written beside the old one and published by rewriting the
-    ``_CURRENT`` pointer only after the write succeeded.
+def load(store: Store, conformed: DataFrame, loaded_at: str) -> int:
+    """Upserts one load's conformed rows into the stored star; returns the commit's number.
+
+    The fact is partitioned by vintage, the bridge by source, so a daily load
+    rewrites its own partitions only.  The dimensions are as large as the
+    catalog, the calendar and the series lists.
     """
-    target = read_table(spark, root)
-    if target is None:
-        merged = updates
-    else:
-        kept = target.join(updates.select(*key), key, "left_anti")
-        new = updates
-        if preserve:
-            old = target.select(*key, *[F.col(p).alias(f"_old_{p}") for p in preserve])
-            new = updates.join(old, key, "left").withColumns(
-                {p: F.coalesce(F.col(f"_old_{p}"), F.col(p)) for p in preserve}
-            ).drop(*[f"_old_{p}" for p in preserve])
-        merged = kept.unionByName(new.select(*target.columns), allowMissingColumns=True)
-    previous = current_version(spark, root)
-    seq = 0 if previous is None else int(previous.split("-")[1]) + 1
-    version = f"v-{seq:08d}-{uuid.uuid4().hex[:8]}"
-    writer = merged.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{root.rstrip('/')}/{version}")
-    # publish last: readers keep seeing the old version until this row lands
-    spark.createDataFrame([(version, seq)], "version string, seq long").coalesce(1).write.mode(
-        "append").json(_versions_path(root))
-    return version
+    conformed = materialise(conformed, "load")
+    if conformed.isEmpty():
+        raise ValueError("nothing to load: the conformed frame is empty")  # G8
+    new = build_star(conformed, loaded_at)
+    assert_resolved(conformed, new)
+    txn = store.begin()
+    txn.upsert("dim_source", new.dim_source, ["source_id"], keep=["first_load_seq"])
+    # The vintages of a loaded source are demoted, but for the one it has now
+    vintages = new.dim_vintage
+    old = txn.read("dim_vintage")
+    if old is not None:
+        demoted = (old.join(vintages.select("source_id").distinct(), "source_id", "left_semi")
+                   .join(vintages.select("vintage_id"), "vintage_id", "left_anti")
+                   .withColumn("is_latest", F.lit(False)))
+        vintages = vintages.unionByName(demoted)
+    txn.upsert("dim_vintage", vintages, ["vintage_id"])
+    txn.upsert("dim_geo", new.dim_geo, ["geo_id"])
+    txn.upsert("dim_period", new.dim_period, ["period_id"], keep=["month", "quarter"])
+    txn.upsert("dim_series", new.dim_series, ["series_id"])
+    # Nodes of earlier paths stay as they are; the bridge of a source is rebuilt from all its series
+    from econ_lake.operators.hierarchy import series_nodes
+
+    series = txn.read("dim_series").join(new.dim_source.select("source_id"), "source_id", "left_semi")
+    nodes, bridge = series_nodes(series)
+    txn.upsert("dim_series_node", nodes, ["node_id"], keep=[c for c in nodes.columns if c != "node_id"])
+    bridge = bridge.join(series.select("series_id", "source_id"), "series_id")
+    txn.replace("bridge_series_node", bridge, "source_id")
+    txn.upsert("fact", new.fact, FACT_KEY, part="vintage_id")
+    return txn.commit()
+
+
+def read_star(store: Store) -> Star:
+    """The published star."""
+    now = store.snapshot()
+    return Star(**{name: store.read(name, snapshot=now) for name in Star.__dataclass_fields__})

@@ -1,7 +1,10 @@
-"""End-to-end plan builders: table directory -> each layer, lazily.
+"""End-to-end plan builders: table directory -> each layer.
 
 Every function takes ``(spark, sf_dir)`` and returns a DataFrame whose
 lineage starts at the given parquet tables, so the work grows with them.
+What several later plans read is stored once per job in the shared folder: the
+cells of the base tables, the conformed rows, the wide table (X4) and the
+weighted view.
 """
 
 from __future__ import annotations
@@ -10,48 +13,44 @@ from pyspark.sql import DataFrame, SparkSession
 
 from econ_lake.operators import gold, silver, warehouse
 from econ_lake.operators import serving as V
+from econ_lake.operators.tables import Store
 from econ_lake.session import materialise
 from econ_lake.sources import bridge
 from econ_lake.sources.catalog import catalog_frame
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw payload rows derived from the base tables (lazy)."""
+    """Raw payload rows derived from the base tables, whose cells are stored."""
     return bridge.raw_rows(spark, sf_dir)
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed raw rows: the bridge output written once, like Bronze files."""
-    return materialise(raw(spark, sf_dir), "bronze")
-
-
 def catalog(spark: SparkSession) -> DataFrame:
     return catalog_frame(spark)
 
 
-def bea_silver(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> DataFrame:
-    landed = bronze(spark, sf_dir) if landed is None else landed
-    return silver.bea_silver(landed.filter(landed.source == "bea"), catalog(spark))
+def bea_silver(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = raw(spark, sf_dir) if rows is None else rows
+    rows = rows.filter(rows.source == "bea")
+    return silver.bea_silver(rows, catalog(spark), materialise(silver.field_presence(rows), "presence"))
 
 
-def census_silver(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> DataFrame:
-    landed = bronze(spark, sf_dir) if landed is None else landed
-    return silver.census_silver(landed.filter(landed.source == "census"), catalog(spark))
+def census_silver(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = raw(spark, sf_dir) if rows is None else rows
+    return silver.census_silver(rows.filter(rows.source == "census"), catalog(spark))
 
 
-def conformed_plan(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> DataFrame:
-    """Conformed observations of every dataset and vintage (lazy above Bronze)."""
-    landed = bronze(spark, sf_dir) if landed is None else landed
-    return gold.conformed_observations(bea_silver(spark, sf_dir, landed), census_silver(spark, sf_dir, landed))
+def conformed_plan(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Conformed observations of every dataset and vintage."""
+    rows = raw(spark, sf_dir) if rows is None else rows
+    return gold.conformed_observations(bea_silver(spark, sf_dir, rows), census_silver(spark, sf_dir, rows))
 
 
 def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conformed observations, materialised once.
+    """Conformed observations, stored once.
 
     Everything above this layer is bounded by states x periods x series x
     vintages, not by the size of the base tables, and is read by many
-    downstream plans; writing it once keeps those plans from re-running the
-    heavy base-table aggregation.
+    downstream plans.
     """
     return materialise(conformed_plan(spark, sf_dir), "conformed")
 
@@ -61,24 +60,13 @@ def star(spark: SparkSession, sf_dir: str) -> warehouse.Star:
 
 
 def obt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.obt_annual_latest(star(spark, sf_dir))
+    return V.materialise_wide_table(star(spark, sf_dir))
 
 
 def weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.weighted_view(obt(spark, sf_dir))
-
+    return materialise(V.weighted_view(obt(spark, sf_dir)), "weighted")
 
-def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact rows of every load, keyed by surrogate ids."""
-    return star(spark, sf_dir).fact
 
-
-def load_fact(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Keyed upsert of this run's facts into the fact table at ``root``.
-
-    Same vintage again overwrites matching keys; keys absent from the run are
-    kept; other vintages are untouched.  Returns the published version.
-    """
-    updates = fact_rows(spark, sf_dir)
-    key = ["source_id", "series_id", "geo_id", "period_id", "vintage_id"]
-    return warehouse.upsert(spark, root, updates, key)
+def load_star(spark: SparkSession, sf_dir: str, root: str, loaded_at: str) -> int:
+    """Upserts this run's rows into the star stored at ``root``."""
+    return warehouse.load(Store(spark, root), conformed_plan(spark, sf_dir), loaded_at)

@@ -9,12 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from econ_lake.functions import lookups as L
 from econ_lake.operators import gold, silver
 from econ_lake.operators import serving as V
 from econ_lake.plans import lake
 from econ_lake.plans import oracle as O
 from econ_lake.operators.silver import BEA_SILVER_COLUMNS, LINEAGE
+from econ_lake.session import materialise, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -30,6 +30,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def tidy(df: DataFrame, **places: int) -> DataFrame:
+    """The last step of a query: sums of doubles differ in the last digits with the order of their rows, so such
+    columns are rounded here, after every gate has seen them in full."""
+    return df.withColumns({c: F.round(c, n) for c, n in places.items() if c in df.columns})
+
+
+LEVELS = {"rpp_level": 6, "difference_from_national": 6, "pct_change_from_national": 6, "share_sum": 10}
+
+
 # --- Silver / Gold -----------------------------------------------------------
 
 @register("silver_bea", "WITH " + O.CONFORMED_CTES + """
@@ -73,10 +82,11 @@ def q_obt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.obt(spark, sf_dir)
 
 
-@register("weighted_rpp", "WITH " + O.WEIGHTED_CTES + " SELECT * FROM wview")
+@register("weighted_rpp", "WITH " + O.WEIGHTED_CTES + """
+SELECT * REPLACE (round(pce_share, 12) AS pce_share, round(weighted_rpp, 8) AS weighted_rpp) FROM wview""")
 def q_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2-V7: share-weighted price view (flagship)."""
-    return lake.weighted(spark, sf_dir)
+    return tidy(lake.weighted(spark, sf_dir), pce_share=12, weighted_rpp=8)
 
 
 @register("yoy", O.YOY_SQL)
@@ -104,7 +114,7 @@ def q_per_capita_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("federal_to_stategov_gdp", O.ratio_sql(
-    f"source_name = 'CENSUS' AND dataset_id = '{L.FEDERAL_TO_STATEGOV_DATASET}'",
+    "source_name = 'CENSUS' AND dataset_id = 'census_state_gov_finance_federal_intergovernmental_revenue'",
     "federal_stategov_receipts_dollars", "federal_stategov_to_gdp_ratio", "federal_stategov_vintage_tag"))
 def q_fed_stategov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Federal-to-state-government receipts over GDP."""
@@ -112,8 +122,7 @@ def q_fed_stategov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("federal_to_persons_gdp", O.ratio_sql(
-    f"source_name = 'BEA' AND dataset_id = '{L.FEDERAL_TO_PERSONS_DATASET}' "
-    f"AND line_code = '{L.FEDERAL_TO_PERSONS_LINE}'",
+    "source_name = 'BEA' AND dataset_id = 'state_personal_transfer_receipts_sainc35' AND line_code = '2000'",
     "federal_to_persons_receipts_dollars", "federal_to_persons_to_gdp_ratio", "federal_to_persons_vintage_tag"))
 def q_fed_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Federal-to-persons receipts over GDP."""
@@ -123,7 +132,7 @@ def q_fed_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("subset_level_without_ca", O.SUBSET_LEVEL_SQL)
 def q_subset_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-normalised level of a subset of states (all but CA), per year and category."""
-    return V.subset_level(lake.weighted(spark, sf_dir), keep=F.col("state_abbrev") != "CA")
+    return tidy(V.subset_level(lake.weighted(spark, sf_dir), keep=F.col("state_abbrev") != "CA"), **LEVELS)
 
 
 # --- Study -------------------------------------------------------------------
@@ -138,10 +147,11 @@ def q_latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.latest_year(lake.weighted(spark, sf_dir))
 
 
-@register("latest_year_rows", _S + " SELECT * FROM lrows")
+@register("latest_year_rows", _S + """
+SELECT * REPLACE (round(pce_share, 12) AS pce_share, round(weighted_rpp, 8) AS weighted_rpp) FROM lrows""")
 def q_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: latest-year slice."""
-    return A.latest_year_rows(lake.weighted(spark, sf_dir))
+    return tidy(A.latest_year_rows(lake.weighted(spark, sf_dir)), pce_share=12, weighted_rpp=8)
 
 
 @register("state_trend_rows", _S + " SELECT * FROM trend")
@@ -150,42 +160,54 @@ def q_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.trend_rows(lake.weighted(spark, sf_dir))
 
 
-@register("share_sums", _S + f" SELECT year, category, {O.stable_sum('pce_share')} AS share_sum "
+@register("share_sums", _S + " SELECT year, category, round(sum(pce_share), 10) AS share_sum "
           "FROM wview GROUP BY year, category")
 def q_share_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: share sum per (year, category)."""
-    return A.share_sums(lake.weighted(spark, sf_dir))
+    return tidy(A.share_sums(lake.weighted(spark, sf_dir)), **LEVELS)
 
 
-@register("share_sum_gate", _S + f""" SELECT year, category, share_sum,
-  coalesce(abs(share_sum - 1.0) <= {L.SHARE_SUM_TOLERANCE}, false) AS ok
-  FROM (SELECT year, category, {O.stable_sum('pce_share')} AS share_sum FROM wview GROUP BY year, category)""")
+@register("share_sum_gate", _S + """ SELECT year, category, round(share_sum, 10) AS share_sum,
+  coalesce(abs(share_sum - 1.0) <= 1e-8, false) AS ok
+  FROM (SELECT year, category, sum(pce_share) AS share_sum FROM wview GROUP BY year, category)""")
 def q_share_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share-sum gate report (ok = within 1e-8 of one)."""
-    return A.share_sum_report(lake.weighted(spark, sf_dir))
+    return tidy(A.share_sum_report(lake.weighted(spark, sf_dir)), **LEVELS)
+
+
+@register("share_sum_gate_drift", _S + """ SELECT year, category, round(share_sum, 10) AS share_sum,
+  coalesce(abs(share_sum - 1.0) <= 1e-8, false) AS ok
+  FROM (SELECT year, category, sum(CASE WHEN category = 'Goods' THEN pce_share * CAST(1.0000000149 AS DOUBLE)
+                                        ELSE pce_share END) AS share_sum FROM wview GROUP BY year, category)""")
+def q_share_gate_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 where it must fail: the shares of one category are off by 1.49e-8, just beyond the tolerance."""
+    drifted = lake.weighted(spark, sf_dir).withColumn("pce_share", F.when(
+        F.col("category") == "Goods", F.col("pce_share") * F.lit(1.0000000149)).otherwise(F.col("pce_share")))
+    return tidy(A.share_sum_report(drifted), **LEVELS)
 
 
-@register("scenarios_sql_form", _S + " SELECT * FROM sql_form")
+@register("scenarios_sql_form", _S + O.FRAME_ROUNDED + ", category_rank, scenario_rank FROM sql_form")
 def q_scen_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exclusion scenarios (ratio-minus-one percent), with display ranks."""
-    return A.scenarios_sql_form(lake.weighted(spark, sf_dir))
+    return tidy(A.scenarios_sql_form(lake.weighted(spark, sf_dir)), **LEVELS)
 
 
-@register("scenarios_frame_form", _S + " SELECT * FROM frame_form")
+@register("scenarios_frame_form", _S + O.FRAME_ROUNDED + " FROM frame_form")
 def q_scen_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exclusion scenarios (difference-over-national percent)."""
-    return A.scenarios_frame_form(lake.weighted(spark, sf_dir))
+    return tidy(A.scenarios_frame_form(lake.weighted(spark, sf_dir)), **LEVELS)
 
 
-@register("scenario_reconciliation", _S + f""" SELECT column_name, max_delta, unmatched,
-  coalesce(max_delta, 0.0) <= {L.SCENARIO_MATH_TOLERANCE} AND unmatched = 0 AS ok FROM (
+@register("scenario_reconciliation", _S + f""" SELECT column_name, round(max_delta, 6) AS max_delta, unmatched,
+  coalesce(max_delta, 0.0) <= 1e-4 AND unmatched = 0 AS ok FROM (
   {" UNION ALL ".join(f"SELECT '{c}' AS column_name, max(abs(a.{c} - b.{c})) AS max_delta, "
-                      f"count(*) FILTER (WHERE (a.{c} IS NULL) <> (b.{c} IS NULL)) AS unmatched "
-                      f"FROM frame_form a FULL OUTER JOIN sql_form b USING (category, scenario)"
+                      f"count(*) FILTER (WHERE a.scenario IS NULL OR b.scenario IS NULL "
+                      f"OR (a.{c} IS NULL) <> (b.{c} IS NULL)) AS unmatched FROM frame_form a "
+                      f"FULL OUTER JOIN sql_form b ON a.category = b.category AND a.scenario = b.scenario"
                       for c in ("rpp_level", "difference_from_national", "pct_change_from_national", "share_sum"))})""")
 def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two scenario formulas agree within 1e-4."""
-    return A.scenario_reconciliation(lake.weighted(spark, sf_dir))
+    """The scenario table and the levels of each scenario's states on their own agree within 1e-4."""
+    return tidy(A.scenario_reconciliation(lake.weighted(spark, sf_dir)), max_delta=6)
 
 
 @register("completeness_gate", _S + """ SELECT state_abbrev, category, count(DISTINCT year) AS distinct_years,
@@ -201,12 +223,12 @@ def q_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.state_change_summary(A.trend_rows(lake.weighted(spark, sf_dir)))
 
 
-@register("combined_output", _S + """
+@register("combined_output", _S + f"""
 SELECT 'scenario_comparison' AS view_type, (SELECT latest_year FROM latest) AS latest_year, scenario,
        NULL AS state_abbrev, category, (SELECT latest_year FROM latest) AS year, rpp_level,
        difference_from_national, pct_change_from_national, share_sum, NULL AS rpp, NULL AS start_year,
        NULL AS end_year, NULL AS start_rpp, NULL AS end_rpp, NULL AS rpp_change, NULL AS pct_change
-FROM frame_form
+FROM ({O.FRAME_ROUNDED} FROM frame_form)
 UNION ALL
 SELECT 'state_trend', (SELECT latest_year FROM latest), NULL, state_abbrev, category, year, NULL, NULL, NULL,
        NULL, rpp, NULL, NULL, NULL, NULL, NULL, NULL FROM trend
@@ -215,20 +237,20 @@ SELECT 'state_change_summary', (SELECT latest_year FROM latest), NULL, state_abb
        NULL, NULL, NULL, start_year, end_year, start_rpp, end_rpp, rpp_change, pct_change FROM change""")
 def q_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A13 (+A18 chart data): heterogeneous union of scenario, trend and change rows."""
-    return A.combined_output(lake.weighted(spark, sf_dir))
+    return tidy(A.combined_output(lake.weighted(spark, sf_dir)), **LEVELS)
 
 
 @register("largest_drop", _S + """ SELECT scenario, arg_min(category, (difference_from_national, category))
-  AS category, min(difference_from_national) AS difference_from_national,
-  arg_min(pct_change_from_national, (difference_from_national, category)) AS pct_change_from_national
+  AS category, round(min(difference_from_national), 6) AS difference_from_national,
+  round(arg_min(pct_change_from_national, (difference_from_national, category)), 6) AS pct_change_from_national
   FROM frame_form WHERE scenario <> 'National' GROUP BY scenario""")
 def q_largest_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Largest drop per exclusion scenario."""
-    return A.largest_drop(lake.weighted(spark, sf_dir))
+    return tidy(A.largest_drop(lake.weighted(spark, sf_dir)), **LEVELS)
 
 
 @register("top_category_per_state", _S + """ SELECT state_abbrev, category, start_year, end_year, start_rpp,
-  end_rpp, rpp_change, pct_change FROM (SELECT *, row_number() OVER (PARTITION BY state_abbrev
+  end_rpp, rpp_change, pct_change, complete FROM (SELECT *, row_number() OVER (PARTITION BY state_abbrev
   ORDER BY rpp_change DESC NULLS LAST, category) AS rn FROM change) WHERE rn = 1""")
 def q_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top category per state by change."""
@@ -367,11 +389,13 @@ def q_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("star_key_report")
-def q_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Surrogate-id and key uniqueness per star table (bad_count 0 = ok).
+_TABLES = ["dim_source", "dim_vintage", "dim_geo", "dim_period", "dim_series", "dim_series_node",
+           "bridge_series_node", "fact"]
+
 
-    Rows-only: hash ids are engine-specific, so there is no SQL oracle."""
+@register("star_key_report", "SELECT * FROM " + O._values([(t, 0) for t in _TABLES], "v(table_name, bad_count)"))
+def q_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate-id and key uniqueness per star table (bad_count 0 = ok)."""
     return W.key_uniqueness_report(_star(spark, sf_dir))
 
 
@@ -380,7 +404,7 @@ from econ_lake.sources import bronze as BZ  # noqa: E402
 from econ_lake.sources.catalog import DEFAULT_DATASETS  # noqa: E402
 from econ_lake.sources import bridge as B  # noqa: E402
 
-_REQ = O._values([(d["dataset_id"], d.get("bea_frequency", "A")) for d in DEFAULT_DATASETS if d["source"] == "bea"],
+_REQ = O._values([(d["dataset_id"], d.get("bea_frequency", "A")) for d in DEFAULT_DATASETS if d.get("source", "bea") == "bea"],
                  "rq(dataset_id, requested_frequency)")
 
 
@@ -397,7 +421,7 @@ JOIN {O._VINT} ON TRUE
 GROUP BY o.dataset_id, v.vintage_tag, rq.requested_frequency""")
 def q_frequency_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed period frequencies per payload and the requested-frequency gate."""
-    landed = lake.bronze(spark, sf_dir)
+    landed = lake.raw(spark, sf_dir)
     g = BZ.frequency_gate(landed.filter(landed.source == "bea"), lake.catalog(spark))
     return g.select("dataset_id", "run_id", F.array_join("observed_frequencies", ",").alias("observed_frequencies"),
                     "requested_frequency", "ok")
@@ -415,48 +439,375 @@ SELECT dataset_id, 'run-{B.VINTAGES[1]}-' || dataset_id, differs FROM diff""")
 def q_change_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I15-I17 (+S10): order-insensitive payload hash per run, each run compared
     with the previous run of its dataset (first run: changed)."""
-    landed = lake.bronze(spark, sf_dir)
+    landed = lake.raw(spark, sf_dir)
     h = BZ.row_set_hash(landed, ["dataset_id", "run_id", "load_seq"])
     return BZ.successive_change_flags(h).select("dataset_id", "run_id", "changed")
 
 
-@register("payload_hashes")
+@register("payload_hashes", "WITH " + O.RAW_COUNT_CTES + f"""
+SELECT c.dataset_id, c.run_id, c.row_count, c.vintage_tag = '{B.VINTAGES[0]}' OR d.differs AS new_content
+FROM raw_counts c JOIN changed_sets d ON d.dataset_id = c.dataset_id""")
 def q_payload_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Content hash per landed payload (rows-only: digest is engine-specific)."""
-    landed = lake.bronze(spark, sf_dir)
-    return BZ.row_set_hash(landed, ["dataset_id", "run_id"])
+    """Content hash per payload: its row count, and whether an earlier run of the dataset had the same hash
+    (the digest itself is engine-specific)."""
+    h = BZ.row_set_hash(lake.raw(spark, sf_dir), ["dataset_id", "run_id", "load_seq"])
+    first = h.groupBy("dataset_id", "payload_hash").agg(F.min("load_seq").alias("first_seq"))
+    return h.join(first, ["dataset_id", "payload_hash"]).select(
+        "dataset_id", "run_id", F.col("n").alias("row_count"),
+        (F.col("load_seq") == F.col("first_seq")).alias("new_content"))
 
 
-@register("header_matrix_records", """
-SELECT n_name AS "NAME", CAST(n_nationkey AS VARCHAR) AS "N_KEY", lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0')
-  AS state, '0' AS missing_headers
-FROM nation""")
+@register("line_dictionary", """
+SELECT 'orders_' || year(o_orderdate) AS dataset_id, substr(o_orderpriority, 1, 1) AS line_key,
+       max(o_orderpriority) AS description
+FROM orders GROUP BY 1, 2""")
+def q_line_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dictionaries from ParamValue arrays, one document per order year, with blank keys and padding."""
+    o = lake.bridge._read(spark, sf_dir, "orders")
+    each = o.select(F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string")).alias("dataset_id"),
+                    "o_orderpriority").distinct()
+    pv = each.groupBy("dataset_id").agg(F.array_sort(F.collect_list(F.struct(
+        F.concat(F.lit(" "), F.substring("o_orderpriority", 1, 1)).alias("Key"),
+        F.concat(F.col("o_orderpriority"), F.lit("  ")).alias("Desc")))).alias("pv"))  # five priorities
+    blank = F.array(F.struct(F.lit("  ").alias("Key"), F.lit("no line").alias("Desc")))
+    return BZ.line_dictionary(pv.select("dataset_id", F.concat(blank, "pv").alias("param_value")))
+
+
+@register("line_labels", "WITH " + O.CONFORMED_CTES + f""",
+prio AS (SELECT substr(o_orderpriority, 1, 1) AS line, max(o_orderpriority) AS label FROM orders
+         WHERE substr(o_orderpriority, 1, 1) <> '5' GROUP BY 1)
+SELECT n.n_name AS "GeoName", r.yr AS year, r.line AS line_code, coalesce(p.label, '') AS "FunctionName"
+FROM rpp r JOIN nation n ON n.n_nationkey = r.nk LEFT JOIN prio p ON p.line = r.line""")
+def q_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label of each row's line overwrites FunctionName; a line without one gets ''."""
+    ds = "state_regional_price_parities_sarpp"
+    rows = lake.raw(spark, sf_dir).filter((F.col("dataset_id") == ds) & (F.col("vintage_tag") == B.FINAL_VINTAGE))
+    labels = lake.bridge._read(spark, sf_dir, "orders").select("o_orderpriority").distinct().select(
+        F.lit(ds).alias("dataset_id"), F.substring("o_orderpriority", 1, 1).alias("line_key"),
+        F.col("o_orderpriority").alias("description")).filter("line_key <> '5'")
+    got = BZ.attach_line_labels(rows, labels)
+    return got.select(F.col("row")["GeoName"].alias("GeoName"), F.col("row")["TimePeriod"].cast("int").alias("year"),
+                      F.substring_index(F.col("row")["Code"], "-", -1).alias("line_code"),
+                      F.col("row")["FunctionName"].alias("FunctionName"))
+
+
+# --- Census shaping ------------------------------------------------------------------
+from econ_lake.sources import census as C  # noqa: E402
+
+_VARIABLE = "B01003_001E"
+#: The years that the base tables have lie on either side of this one.
+_FIRST_SURVEY_YEAR = 1996
+
+
+def _matrices(spark: SparkSession, sf_dir: str, header: list[str], record) -> DataFrame:
+    """A matrix document per order year: the nations' customer counts below a header row."""
+    counts = lake.bridge.order_cells(lake.bridge.cells(spark, sf_dir)).select("nationkey", "year", "customers")
+    rows = counts.join(lake.bridge._nations(spark, sf_dir), "nationkey")
+    body = rows.groupBy("year").agg(F.sort_array(F.collect_list(F.array(*[c.cast("string") for c in record]))
+                                                 ).alias("body"))  # a row per nation
+    return body.select("year", F.concat(F.array(F.array(*[F.lit(h) for h in header])), "body").alias("matrix"))
+
+
+def _survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survey answers with a repeated header; the second ``state`` column is the padded code."""
+    key = F.col("nationkey") + 1
+    return _matrices(spark, sf_dir, ["NAME", "state", _VARIABLE, "state"],
+                     [F.col("n_name"), key, F.col("customers"), F.lpad(key.cast("string"), 2, "0")])
+
+
+def _intercensal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intercensal answers: July estimates in mixed case for even nations, April ones for odd nations too."""
+    told = F.when(F.col("nationkey") % 2 == 0, F.concat(F.lit("7/1/"), "year", F.lit(" POPULATION Estimate: "), "year",
+                                                        F.lit(" Population"))).otherwise(
+        F.concat(F.lit("4/1/"), "year", F.lit(" population estimate")))
+    return _matrices(spark, sf_dir, ["GEONAME", "POP", "DATE_DESC", "state"],
+                     [F.col("n_name"), F.col("customers"), told, F.lpad((F.col("nationkey") + 1).cast("string"), 2, "0")])
+
+
+def _census_columns(rows: DataFrame) -> DataFrame:
+    r = F.col("row")
+    return rows.select(r["NAME"].alias("NAME"), r[_VARIABLE].alias("value"), r["state"].alias("state"),
+                       r["YEAR"].alias("YEAR"))
+
+
+_CENSUS_ROW = """n.n_name AS "NAME", CAST(a.customers AS VARCHAR) AS value,
+  lpad(CAST(a.nk + 1 AS VARCHAR), 2, '0') AS state, CAST(a.yr AS VARCHAR) AS "YEAR"
+  FROM ord_a a JOIN nation n ON n.n_nationkey = a.nk"""
+
+
+@register("header_matrix_records", "WITH " + O.CONFORMED_CTES + " SELECT " + _CENSUS_ROW)
 def q_header_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A header-row matrix (built from the nation table) back into records.
+    """Header-row matrices, one per year, into records; of a repeated header the last column counts."""
+    return _census_columns(C.survey_rows(_survey(spark, sf_dir), _VARIABLE))
 
-    The nation table is bounded (25 rows by definition), so one matrix row is safe."""
-    n = lake.bridge._read(spark, sf_dir, "nation")
-    rows = n.select(F.array(F.col("n_name"), F.col("n_nationkey").cast("string"),
-                            F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0")).alias("r"))
-    matrix = rows.agg(F.array_sort(F.collect_list("r")).alias("body")).select(
-        F.concat(F.array(F.array(F.lit("NAME"), F.lit("N_KEY"), F.lit("state"))), F.col("body")).alias("m"))
-    recs = matrix.select(F.explode(BZ.header_matrix_records(F.col("m"))).alias("row"),
-                         F.size(BZ.missing_headers(F.col("m"), ["NAME", "N_KEY", "state"])).alias("nmiss"))
-    return recs.select(F.col("row")["NAME"].alias("NAME"), F.col("row")["N_KEY"].alias("N_KEY"),
-                       F.col("row")["state"].alias("state"), F.col("nmiss").cast("string").alias("missing_headers"))
 
+@register("required_headers", "WITH " + O.CONFORMED_CTES + """
+SELECT DISTINCT yr AS year, CASE WHEN yr % 2 = 0 THEN 'POP' ELSE '' END AS missing, yr % 2 = 1 AS ok FROM ord_a""")
+def q_required_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The required headers that each document lacks; documents of even years have another name for one."""
+    docs = _intercensal(spark, sf_dir)
+    spoiled = docs.withColumn("matrix", F.when(F.col("year") % 2 == 0, F.transform("matrix", lambda r: F.transform(
+        r, lambda x: F.when(x == "POP", "POPULATION").otherwise(x)))).otherwise(F.col("matrix")))
+    return C.header_report(spoiled, ["GEONAME", "POP", "DATE_DESC", "state"]).select(
+        "year", F.array_join("missing", ",").alias("missing"), "ok")
 
-@register("line_dictionary", """
-SELECT 'orders_priority' AS dataset_id, substr(o_orderpriority, 1, 1) AS line_key,
-       arg_max(o_orderpriority, o_orderpriority) AS description
-FROM orders GROUP BY substr(o_orderpriority, 1, 1)""")
-def q_line_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line dictionary from a ParamValue array (built from the order priorities)."""
-    o = lake.bridge._read(spark, sf_dir, "orders")
-    pv = o.select("o_orderpriority").distinct().agg(F.array_sort(F.collect_list(F.struct(
-        F.substring("o_orderpriority", 1, 1).alias("Key"), F.col("o_orderpriority").alias("Desc")))).alias(
-        "param_value")).select(F.lit("orders_priority").alias("dataset_id"), "param_value")
-    return BZ.line_dictionary(pv)
+
+@register("intercensal_rows", "WITH " + O.CONFORMED_CTES + " SELECT " + _CENSUS_ROW
+          + " WHERE a.nk % 2 = 0 AND a.yr BETWEEN 1993 AND 1996")
+def q_intercensal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """July estimates of the requested years, whatever the case of their description."""
+    return _census_columns(C.intercensal_rows(_intercensal(spark, sf_dir), _VARIABLE,
+                                              C.requested_years(spark, 1993, 1996)))
+
+
+@register("timeseries_rows", "WITH " + O.CONFORMED_CTES + " SELECT " + _CENSUS_ROW + " WHERE a.nk % 3 <> 0")
+def q_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The year is read from ``time``; rows whose time has none are dropped."""
+    time = F.when(F.col("nationkey") % 3 == 0, "n/a").otherwise(F.concat(F.lit(" "), "year", F.lit("-Q4")))
+    docs = _matrices(spark, sf_dir, ["NAME", _VARIABLE, "time", "state"],
+                     [F.col("n_name"), F.col("customers"), time, F.lpad((F.col("nationkey") + 1).cast("string"), 2, "0")])
+    return _census_columns(C.timeseries_rows(docs.drop("year"), _VARIABLE))
+
+
+@register("census_routing", "WITH " + O.CONFORMED_CTES + " SELECT " + _CENSUS_ROW
+          + f" WHERE a.yr >= 1993 AND (a.yr >= {_FIRST_SURVEY_YEAR} OR a.nk % 2 = 0)")
+def q_census_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years from the first survey year on from survey matrices, earlier ones from intercensal rows."""
+    return _census_columns(C.routed_population(_survey(spark, sf_dir), _intercensal(spark, sf_dir), _VARIABLE,
+                                               C.requested_years(spark, 1993, 2004), _FIRST_SURVEY_YEAR))
+
+
+@register("year_coverage", "WITH " + O.CONFORMED_CTES + """
+SELECT CAST(y.year AS INTEGER) AS year, count(a.nk) AS row_count, count(a.nk) > 0 AS covered
+FROM range(1990, 2003) AS y(year) LEFT JOIN ord_a a ON a.yr = y.year GROUP BY y.year""")
+def q_year_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of each requested year, also of those without any."""
+    return C.year_coverage(C.survey_rows(_survey(spark, sf_dir), _VARIABLE), C.requested_years(spark, 1990, 2002))
+
+
+# --- Landed payloads and change-driven runs -----------------------------------------
+from econ_lake.operators import quality as Q  # noqa: E402
+from econ_lake.operators.tables import Store  # noqa: E402
+from econ_lake.plans.run import run as run_changed  # noqa: E402
+from econ_lake.sources.landing import LandingZone  # noqa: E402
+
+_AT = "2026-03-05 00:00:00"
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> LandingZone:
+    zone = LandingZone(spark, scratch_path(spark, "landing"))
+    zone.land(lake.raw(spark, sf_dir).filter(F.col("vintage_tag") == B.FINAL_VINTAGE), _AT)
+    return zone
+
+
+@register("silver_bea_from_payloads", ORACLE["silver_bea"] + f" WHERE vintage_tag = '{B.FINAL_VINTAGE}'")
+def q_silver_bea_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BEA Silver rows from landed JSON documents, load order from the landing log."""
+    zone = _landed(spark, sf_dir)
+    return silver.bea_silver(zone.rows("bea"), lake.catalog(spark), zone.log()).select(*LINEAGE, *BEA_SILVER_COLUMNS)
+
+
+@register("silver_census_from_payloads", ORACLE["silver_census"] + f" WHERE c.vintage_tag = '{B.FINAL_VINTAGE}'")
+def q_silver_census_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census Silver rows from landed JSON documents."""
+    zone = _landed(spark, sf_dir)
+    return silver.census_silver(zone.rows("census"), lake.catalog(spark))
+
+
+@register("landing_log", "WITH " + O.RAW_COUNT_CTES + f"""
+SELECT CASE WHEN dataset_id LIKE 'census%' THEN 'census' ELSE 'bea' END AS source, dataset_id, vintage_tag, run_id,
+       load_seq, row_count,
+       dataset_id NOT LIKE 'census%' AND dataset_id <> 'state_regional_price_parities_sarpp' AS "has_NoteRef",
+       dataset_id NOT LIKE 'census%' AS "has_FunctionName", false AS "has_LineDescription", true AS changed
+FROM raw_counts WHERE vintage_tag = '{B.FINAL_VINTAGE}'""")
+def q_landing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log row of each landed payload."""
+    return _landed(spark, sf_dir).log().drop("payload_hash", "landed_at")
+
+
+@register("datasets_to_process", "WITH " + O.RAW_COUNT_CTES + f"""
+SELECT c.dataset_id, c.run_id, c.row_count, d.differs AS changed
+FROM raw_counts c JOIN changed_sets d ON d.dataset_id = c.dataset_id WHERE c.vintage_tag = '{B.FINAL_VINTAGE}'""")
+def q_datasets_to_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run against the checkpoints of the first; only changed datasets are to be processed."""
+    raw = lake.raw(spark, sf_dir)
+    zone = LandingZone(spark, scratch_path(spark, "landing"))
+    zone.confirm(zone.land(raw.filter(F.col("vintage_tag") == B.PRELIM_VINTAGE), _AT))
+    log = zone.land(raw.filter(F.col("vintage_tag") == B.FINAL_VINTAGE), _AT)
+    return log.select("dataset_id", "run_id", "row_count", "changed")
+
+
+def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of the last vintage with a fault in four payloads."""
+    rows = lake.raw(spark, sf_dir).filter(F.col("vintage_tag") == B.FINAL_VINTAGE)
+    row, ds = F.col("row"), F.col("dataset_id")
+
+    def with_field(name: str, value) -> "F.Column":
+        return F.map_concat(F.map_filter(row, lambda k, _: k != name), F.create_map(F.lit(name), value))
+
+    of_alaska = row["GeoFips"] == "02000"
+    changed = rows.withColumn("row", F.when((ds == "pce_state_sapce1") & of_alaska, with_field("DataValue", F.lit("(NA)")))
+                              .when((ds == "pce_state_sapce4_monthly") & row["TimePeriod"].contains("M"),
+                                    with_field("TimePeriod", F.substring(row["TimePeriod"], 1, 4)))
+                              .when(ds == "census_state_population",
+                                    F.map_filter(row, lambda k, _: k != _VARIABLE)).otherwise(row))
+    return changed.unionByName(rows.filter((ds == "pce_state_sapce4") & of_alaska))
+
+
+_REASONS = """CASE dataset_id WHEN 'pce_state_sapce1' THEN 'required value missing'
+  WHEN 'pce_state_sapce4' THEN 'duplicate key'
+  WHEN 'pce_state_sapce4_monthly' THEN 'no typed rows; requested frequency missing'
+  WHEN 'census_state_population' THEN 'required value missing; variable missing' ELSE '' END"""
+
+
+@register("payload_gates", "WITH " + O.RAW_COUNT_CTES + f"""
+SELECT dataset_id, run_id, {_REASONS} AS reason, {_REASONS} = '' AS ok
+FROM raw_counts WHERE vintage_tag = '{B.FINAL_VINTAGE}'""")
+def q_payload_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I11, I12, T18, T19, T26 where they must fail: a missing value, a doubled row, a lost frequency, a lost variable."""
+    rows = materialise(_spoiled(spark, sf_dir), "spoiled")
+    log = rows.groupBy("dataset_id", "run_id").agg(F.count(F.lit(1)).alias("row_count"))
+    bea = silver.bea_silver(rows.filter(F.col("source") == "bea"), lake.catalog(spark))
+    census = silver.census_silver(rows.filter(F.col("source") == "census"), lake.catalog(spark))
+    return Q.payload_verdicts(log, rows, lake.catalog(spark), bea, census)
+
+
+@register("run_log", "WITH " + O.RAW_COUNT_CTES + f"""
+SELECT dataset_id, run_id, row_count + CASE WHEN dataset_id = 'pce_state_sapce4' THEN
+         (SELECT count(*) FROM bea_cells WHERE dataset_id = 'pce_state_sapce4' AND nk = 1) ELSE 0 END AS row_count,
+       {_REASONS} AS reason, CASE WHEN {_REASONS} = '' THEN 'loaded' ELSE 'quarantined' END AS status
+FROM raw_counts WHERE vintage_tag = '{B.FINAL_VINTAGE}'
+UNION ALL
+SELECT c.dataset_id, c.run_id || '-2', c.row_count, CASE WHEN {_REASONS.replace("dataset_id", "c.dataset_id")} = ''
+       THEN NULL ELSE '' END, CASE WHEN {_REASONS.replace("dataset_id", "c.dataset_id")} = '' THEN 'unchanged' ELSE 'loaded' END
+FROM raw_counts c WHERE c.vintage_tag = '{B.FINAL_VINTAGE}'""")
+def q_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with four faulty payloads, then one with the right ones: what passed the first time is
+    unchanged, what was put into quarantine is loaded."""
+    root = scratch_path(spark, "runs")
+    run_changed(spark, _spoiled(spark, sf_dir), lake.catalog(spark), root, _AT, strict=False)
+    again = lake.raw(spark, sf_dir).filter(F.col("vintage_tag") == B.FINAL_VINTAGE).withColumns(
+        {"run_id": F.concat("run_id", F.lit("-2")), "load_seq": F.col("load_seq") + 1000})
+    run_changed(spark, again, lake.catalog(spark), root, _AT)
+    return Store(spark, f"{root}/lake").read("run_log").select("dataset_id", "run_id", "row_count", "reason", "status")
+
+
+# --- Stored tables: keyed upserts and the incremental star ---------------------------------
+_OBS = ["source_name", "dataset_id", "series_code", "state_fips", "frequency", "period_code", "vintage_tag"]
+_OBS_SQL = ", ".join(_OBS)
+
+
+def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake.conformed(spark, sf_dir).select(*_OBS, "year", "pce_value",
+                                                F.xxhash64("dataset_id", "vintage_tag").alias("part_id"))
+
+
+def _store_of(spark: SparkSession, *loads: DataFrame) -> Store:
+    store = Store(spark, scratch_path(spark, "store"))
+    for rows in loads:
+        load = store.begin()
+        load.upsert("obs", rows, [*_OBS, "part_id"], part="part_id")
+        load.commit()
+    return store
+
+
+@register("upsert_same_vintage", "WITH " + O.CONFORMED_CTES + f"""
+SELECT {_OBS_SQL}, pce_value FROM conformed WHERE vintage_tag = '{B.PRELIM_VINTAGE}'""")
+def q_upsert_same(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vintage loaded twice adds no rows; the second values win."""
+    rows = _observations(spark, sf_dir).filter(F.col("vintage_tag") == B.PRELIM_VINTAGE)
+    store = _store_of(spark, rows.withColumn("pce_value", F.col("pce_value") - 1), rows)
+    return store.read("obs").select(*_OBS, "pce_value")
+
+
+@register("upsert_new_vintage", "WITH " + O.CONFORMED_CTES + f" SELECT {_OBS_SQL}, pce_value FROM conformed")
+def q_upsert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new vintage is added; the partitions of the earlier one aren't rewritten."""
+    rows = _observations(spark, sf_dir)
+    store = _store_of(spark, *[rows.filter(F.col("vintage_tag") == v) for v in B.VINTAGES])
+    return store.read("obs").select(*_OBS, "pce_value")
+
+
+@register("upsert_vanished_row", "WITH " + O.CONFORMED_CTES + f"""
+SELECT {_OBS_SQL}, CASE WHEN year % 2 = 0 THEN pce_value + 1 ELSE pce_value END AS pce_value
+FROM conformed WHERE vintage_tag = '{B.PRELIM_VINTAGE}'""")
+def q_upsert_vanished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a second load of the vintage no longer has stay as they were."""
+    rows = _observations(spark, sf_dir).filter(F.col("vintage_tag") == B.PRELIM_VINTAGE)
+    store = _store_of(spark, rows, rows.filter(F.col("year") % 2 == 0).withColumn("pce_value", F.col("pce_value") + 1))
+    return store.read("obs").select(*_OBS, "pce_value")
+
+
+@register("upsert_new_column", "WITH " + O.CONFORMED_CTES + f"""
+SELECT {_OBS_SQL}, pce_value, CASE WHEN vintage_tag = '{B.FINAL_VINTAGE}' THEN year END AS revised_in FROM conformed""")
+def q_upsert_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that a later load brings is kept; earlier rows have NULL there."""
+    rows = _observations(spark, sf_dir)
+    store = _store_of(spark, rows.filter(F.col("vintage_tag") == B.PRELIM_VINTAGE),
+                      rows.filter(F.col("vintage_tag") == B.FINAL_VINTAGE).withColumn("revised_in", F.col("year")))
+    return store.read("obs").select(*_OBS, "pce_value", "revised_in")
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> W.Star:
+    """The star after a first load with other labels and names, and a second one with the right ones."""
+    conf = lake.conformed(spark, sf_dir)
+    early = conf.filter(F.col("vintage_tag") == B.PRELIM_VINTAGE).withColumns({
+        "geo_name": F.concat("geo_name", F.lit(" (early)")),
+        "hierarchy_path_json": F.when(F.col("series_code") == "SAPCE1-2", '["Old", "Goods"]').otherwise(
+            F.col("hierarchy_path_json"))})
+    store = Store(spark, scratch_path(spark, "star"))
+    W.load(store, early, _AT)
+    W.load(store, conf.filter(F.col("vintage_tag") == B.FINAL_VINTAGE), _AT)
+    return W.read_star(store)
+
+
+@register("stored_nodes_after_two_loads", _NODES_CTES + """
+SELECT DISTINCT source_name, dataset_id, table_name, node_key, node_label, CAST(i AS INTEGER) AS node_level,
+       parent_node_key FROM expl
+UNION ALL SELECT 'BEA', 'pce_state_sapce1', 'SAPCE1', 'Old', 'Old', 1, NULL
+UNION ALL SELECT 'BEA', 'pce_state_sapce1', 'SAPCE1', 'Old||Goods', 'Goods', 2, 'Old'""")
+def q_stored_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of an earlier label path stay when the path changes."""
+    st = _two_loads(spark, sf_dir)
+    return st.dim_series_node.join(st.dim_source.select("source_id", *_SRC), "source_id").select(
+        *_SRC, "node_key", "node_label", "node_level", "parent_node_key")
+
+
+@register("stored_bridge_after_two_loads", _NODES_CTES + """
+SELECT source_name, dataset_id, table_name, series_code, node_key, CAST(i AS INTEGER) AS path_ordinal, is_leaf
+FROM expl""")
+def q_stored_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge of a source is rebuilt; it no longer has the earlier path."""
+    st = _two_loads(spark, sf_dir)
+    ser = st.dim_series.select("series_id", "series_code")
+    return st.bridge_series_node.join(ser, "series_id").join(
+        st.dim_source.select("source_id", *_SRC), "source_id").select(
+        *_SRC, "series_code", "node_key", "path_ordinal", "is_leaf")
+
+
+@register("stored_wide_after_two_loads", "WITH " + O.OBT_CTES + " SELECT * FROM obt")
+def q_stored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table read from the stored star equals the replay of all loads."""
+    return V.obt_annual_latest(_two_loads(spark, sf_dir))
+
+
+@register("stored_vintages_after_two_loads", "WITH " + O.OBT_CTES + """
+SELECT c.source_name, c.dataset_id, c.bea_table_name AS table_name, c.vintage_tag,
+       c.vintage_tag = lv.vintage_tag AS is_latest
+FROM conformed c JOIN latest_vintage lv USING (source_name, dataset_id, bea_table_name) GROUP BY ALL""")
+def q_stored_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load demotes the first one's vintage."""
+    st = _two_loads(spark, sf_dir)
+    return st.dim_vintage.join(st.dim_source.select("source_id", *_SRC), "source_id").select(
+        *_SRC, "vintage_tag", "is_latest")
+
+
+@register("star_constraints", "SELECT * FROM " + O._values(
+    [(t, r, 0) for t in _TABLES for r in ("unique", "not_null")]
+    + [(t, f"{k} in {to}", 0) for t, k, to in W.REFERENCES], "v(table_name, rule, bad_count)"))
+def q_star_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique keys, NOT NULL columns and references of the stored star."""
+    return W.constraint_report(_two_loads(spark, sf_dir))
 
 
 # --- Gates and additions -------------------------------------------------------------
@@ -475,9 +826,9 @@ SELECT dataset_id, run_id, count(*) AS rows,
 FROM conformed GROUP BY dataset_id, run_id""")
 def q_silver_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver gates per payload (rows, NULL required columns, duplicate keys)."""
-    landed = lake.bronze(spark, sf_dir)
-    bea = Q.bea_silver_report(lake.bea_silver(spark, sf_dir, landed))
-    cen = Q.census_silver_report(lake.census_silver(spark, sf_dir, landed))
+    rows = lake.raw(spark, sf_dir)
+    bea = Q.bea_silver_report(lake.bea_silver(spark, sf_dir, rows))
+    cen = Q.census_silver_report(lake.census_silver(spark, sf_dir, rows))
     return bea.unionByName(cen)
 
 
@@ -487,12 +838,12 @@ SELECT a.source_name, a.dataset_id, a.state_fips, a.series_code, a.period_code,
        p.pce_value AS value_prior_month,
        CASE WHEN p.pce_value IS NULL OR p.pce_value = 0 THEN NULL
             ELSE (a.pce_value - p.pce_value) / p.pce_value * {O.PCT} END AS mom_pct,
-       CASE WHEN r.n = 12 THEN CAST(r.s AS DOUBLE) / CAST(12.0 AS DOUBLE) END AS rolling_12m_mean
+       CASE WHEN r.n = 12 THEN round(r.s / CAST(12.0 AS DOUBLE), 6) END AS rolling_12m_mean
 FROM m a
 LEFT JOIN m p ON p.source_name = a.source_name AND p.dataset_id = a.dataset_id AND p.state_fips = a.state_fips
      AND p.series_code = a.series_code AND p.mi = a.mi - 1
 LEFT JOIN (SELECT a2.source_name, a2.dataset_id, a2.state_fips, a2.series_code, a2.mi,
-                  sum(CAST(b2.pce_value AS DECIMAL(38,2))) AS s, count(b2.pce_value) AS n
+                  sum(b2.pce_value) AS s, count(b2.pce_value) AS n
            FROM m a2 JOIN m b2 ON b2.source_name = a2.source_name AND b2.dataset_id = a2.dataset_id
                 AND b2.state_fips = a2.state_fips AND b2.series_code = a2.series_code
                 AND b2.mi BETWEEN a2.mi - 11 AND a2.mi
@@ -501,7 +852,7 @@ LEFT JOIN (SELECT a2.source_name, a2.dataset_id, a2.state_fips, a2.series_code,
      AND r.series_code = a.series_code AND r.mi = a.mi""")
 def q_monthly_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month-over-month change and 12-month rolling mean (latest vintage)."""
-    return XT.monthly_change(lake.conformed(spark, sf_dir), B.FINAL_VINTAGE)
+    return tidy(XT.monthly_change(lake.conformed(spark, sf_dir)), rolling_12m_mean=6)
 
 
 @register("as_of_vintage", "WITH " + O.CONFORMED_CTES + f"""
@@ -524,21 +875,20 @@ UNION ALL SELECT 'fact', count(*) FROM fact_last
 UNION ALL SELECT 'fact_after_same_loads_again', count(*) FROM fact_last
 UNION ALL SELECT 'obt_annual_latest', count(*) FROM obt""")
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts per stage, and the fact count after replaying every
-    load a second time (a re-run must add no rows)."""
-    from econ_lake.session import materialise
-
-    landed = lake.bronze(spark, sf_dir)
-    conf = materialise(lake.conformed_plan(spark, sf_dir, landed), "conformed")
-    replay = conf.unionByName(conf.withColumn("load_seq", F.col("load_seq") + F.lit(1000)))
-    parts = [
-        ("silver_bea", lake.bea_silver(spark, sf_dir, landed)),
-        ("silver_census", lake.census_silver(spark, sf_dir, landed)),
-        ("conformed", conf),
-        ("fact", W.build_star(conf).fact),
-        ("fact_after_same_loads_again", W.build_star(replay).fact),
-        ("obt_annual_latest", V.obt_annual_latest(W.build_star(conf))),
-    ]
+    """Row counts per stage, and of the stored fact after every load was run a second time."""
+    rows = lake.raw(spark, sf_dir)
+    bea, census = lake.bea_silver(spark, sf_dir, rows), lake.census_silver(spark, sf_dir, rows)
+    conf = materialise(gold.conformed_observations(bea, census), "conformed")
+    store = Store(spark, scratch_path(spark, "star"))
+    loads = [conf.filter(F.col("vintage_tag") == v) for v in B.VINTAGES]
+    for one in loads:
+        W.load(store, one, _AT)
+    once = store.read("fact")
+    for one in loads:
+        W.load(store, one, _AT)
+    parts = [("silver_bea", bea), ("silver_census", census), ("conformed", conf), ("fact", once),
+             ("fact_after_same_loads_again", store.read("fact")),
+             ("obt_annual_latest", V.obt_annual_latest(W.read_star(store)))]
     out = None
     for stage, df in parts:
         one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(stage).alias("stage"), "row_count")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -77,9 +78,26 @@ def materialise(df, name: str = "t"):
     survives executor loss, unlike a cache.  The folder is the cluster's
     ``spark.checkpoint.dir``; never a machine-local path on a cluster.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared scratch folder; ``release_scratch`` deletes it."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this process has written below the scratch folder; frames read from it end here."""
+    done = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        done += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return done

@@ -13,17 +13,21 @@ Two vintages per dataset: ``2026-03-04`` (final) and an earlier
 ``2026-03-03`` whose values are a preliminary estimate (net of discount for
 spending, whole units for order-based series).  Every vintage covers all rows.
 
-Scale notes: lineitem is pre-aggregated per order (exchange on the order key,
-reused by the join with orders), then per (customer, year, month) before the
-customer join, so a customer holding a third of all orders collapses to a
-handful of rows before any shuffle on the customer key.
+Scale notes: lineitem and orders are read once each.  lineitem is pre-aggregated
+per order (exchange on the order key, reused by the join with orders), then per
+(customer, year, month) before the customer join, so a customer holding a third
+of all orders collapses to a handful of rows before any shuffle on the customer
+key.  The resulting cells (nations x months) are stored once; every dataset's
+rows come from them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from econ_lake.session import materialise
+
 # ---------------------------------------------------------------------------
 # Fixed bridge definitions (our own test-data contract).
 # ---------------------------------------------------------------------------
@@ -78,22 +82,13 @@ DATASET_ORDER = [
     "state_personal_transfer_receipts_sainc35",
     "census_state_gov_finance_federal_intergovernmental_revenue",
 ]
-FINANCE_FIRST_YEAR = 1998
 # ---------------------------------------------------------------------------
 
 RAW_COLUMNS = ["source", "dataset_id", "vintage_tag", "run_id", "load_seq", "row"]
 
 
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of a base table; the DataFrame (not data) is reused per session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _READ_CACHE:
-        _READ_CACHE[key] = spark.read.parquet(path)
-    return _READ_CACHE[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _load_seq(dataset_id: str, vintage: str) -> int:
@@ -114,11 +109,12 @@ def _money(cents: Column) -> Column:
     return (cents.cast("decimal(20,0)") / 100).cast("decimal(22,2)")
 
 
-def spending_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(nationkey, year, month, table, line, final, prelim) money sums.
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One wide row per (nationkey, year, month): every sum that any dataset needs, stored once.
 
-    Sums run on exact integer cents (codegen-friendly longs); the
-    preliminary estimate nets each line's discount, rounded to the cent.
+    Sums run on exact integer cents (codegen-friendly longs); the preliminary
+    spending estimate nets each line's discount, rounded to the cent.
+    ``customers`` counts a customer in the first of its months of a year.
     """
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -127,7 +123,6 @@ def spending_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
         "l_linestatus",
     ).withColumn("npx", F.expr("(px * (100 - disc) + 50) div 100"))
-    names = []
     per_order_aggs = []
     for table, line, rf, ls in SPENDING_LINES:
         cond = F.lit(True)
@@ -135,61 +130,47 @@ def spending_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             cond = cond & (F.col("l_returnflag") == rf)
         if ls is not None:
             cond = cond & (F.col("l_linestatus") == ls)
-        key = f"{table}_{line}"
-        names.append((table, line, key))
-        per_order_aggs.append(F.sum(F.when(cond, F.col("px"))).alias(f"f_{key}"))
-        per_order_aggs.append(F.sum(F.when(cond, F.col("npx"))).alias(f"p_{key}"))
+        per_order_aggs.append(F.sum(F.when(cond, F.col("px"))).alias(f"f_{table}_{line}"))
+        per_order_aggs.append(F.sum(F.when(cond, F.col("npx"))).alias(f"p_{table}_{line}"))
     per_order = li.groupBy("l_orderkey").agg(*per_order_aggs)
 
+    prio, amt = F.substring("o_orderpriority", 1, 1), _cents(F.col("o_totalprice"))
     orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey",
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+        amt.alias("amt_all"), F.when(F.col("o_orderstatus") == "F", amt).alias("amt_f"),
+        *[F.when(prio == p, amt).alias(f"amt_{p}") for p in "12345"],
+        *[F.when(prio == p, 1).otherwise(0).alias(f"cnt_{p}") for p in "12345"],
     )
-    sums = [c for c in per_order.columns if c != "l_orderkey"]
+    sums = [c for c in (*orders.columns[4:], *per_order.columns[1:])]
     by_cust = (
-        per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+        orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
         .groupBy("o_custkey", "year", "month")
         .agg(*[F.sum(c).alias(c) for c in sums])
     )
+    first = F.min("month").over(Window.partitionBy("o_custkey", "year"))
+    by_cust = by_cust.withColumn("customers", (F.col("month") == first).cast("int"))
     cust = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    by_nation = (
+    return materialise(
         by_cust.join(cust, by_cust.o_custkey == cust.c_custkey)
         .groupBy(F.col("c_nationkey").alias("nationkey"), "year", "month")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-    )
-    cells = F.array(*[
-        F.struct(F.lit(t).alias("table"), F.lit(l).alias("line"),
-                 F.col(f"f_{k}").alias("final"), F.col(f"p_{k}").alias("prelim"))
-        for t, l, k in names
+        .agg(*[F.sum(c).alias(c) for c in (*sums, "customers")]), "cells")
+
+
+def spending_cells(wide: DataFrame) -> DataFrame:
+    """(nationkey, year, month, table, line, final, prelim) money sums."""
+    each = F.array(*[
+        F.struct(F.lit(t).alias("table"), F.lit(ln).alias("line"),
+                 F.col(f"f_{t}_{ln}").alias("final"), F.col(f"p_{t}_{ln}").alias("prelim"))
+        for t, ln, _, _ in SPENDING_LINES
     ])
-    return (
-        by_nation.select("nationkey", "year", "month", F.inline(cells))
-        .filter(F.col("final").isNotNull())
-    )
+    return wide.select("nationkey", "year", "month", F.inline(each)).filter(F.col("final").isNotNull())
 
 
-def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_cells(wide: DataFrame) -> DataFrame:
     """Per (nationkey, year): order sums by priority, fulfilled sum, customers."""
-    orders = _read(spark, sf_dir, "orders").select(
-        "o_custkey",
-        F.year("o_orderdate").alias("year"),
-        F.substring("o_orderpriority", 1, 1).alias("prio"),
-        _cents(F.col("o_totalprice")).alias("amt"),
-        F.col("o_orderstatus"),
-    )
-    aggs = [F.sum("amt").alias("amt_all"),
-            F.sum(F.when(F.col("o_orderstatus") == "F", F.col("amt"))).alias("amt_f")]
-    for p in "12345":
-        aggs.append(F.sum(F.when(F.col("prio") == p, F.col("amt"))).alias(f"amt_{p}"))
-        aggs.append(F.count(F.when(F.col("prio") == p, F.lit(1))).alias(f"cnt_{p}"))
-    by_cust = orders.groupBy("o_custkey", "year").agg(*aggs)
-    cust = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    sums = [c for c in by_cust.columns if c not in ("o_custkey", "year")]
-    return (
-        by_cust.join(cust, by_cust.o_custkey == cust.c_custkey)
-        .groupBy(F.col("c_nationkey").alias("nationkey"), "year")
-        .agg(*[F.sum(c).alias(c) for c in sums], F.count(F.lit(1)).alias("customers"))
-    )
+    names = ["amt_all", "amt_f", *[f"{k}_{p}" for p in "12345" for k in ("amt", "cnt")], "customers"]
+    return wide.groupBy("nationkey", "year").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def _whole_units(cents: Column) -> Column:
@@ -230,11 +211,16 @@ def _lineage(df: DataFrame, source: str) -> DataFrame:
     )
 
 
-def bea_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = F.broadcast(_read(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("nationkey"), "n_name"))  # 25 rows by definition
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names by nation key; left to the planner's size check."""
+    return _read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nationkey"), "n_name")
+
+
+def bea_raw_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
+    wide = cells(spark, sf_dir) if wide is None else wide
+    nation = _nations(spark, sf_dir)
 
-    spend = spending_cells(spark, sf_dir)
+    spend = spending_cells(wide)
     annual = spend.groupBy("nationkey", "year", "table", "line").agg(
         F.sum("final").alias("final"), F.sum("prelim").alias("prelim"))
     annual_rows = annual.join(nation, "nationkey").select(
@@ -273,7 +259,7 @@ def bea_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
 
-    oc = order_cells(spark, sf_dir).join(nation, "nationkey")
+    oc = order_cells(wide).join(nation, "nationkey")
     prio = F.array(*[
         F.struct(F.lit(p).alias("line"), F.col(f"amt_{p}").alias("amt"), F.col(f"cnt_{p}").alias("cnt"))
         for p in "12345"
@@ -301,14 +287,14 @@ def bea_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     cols = ["dataset_id", "GeoFips", "GeoName", "TimePeriod", "table", "line", "final", "prelim"]
-    cells = (
+    each = (
         annual_rows.select(cols).unionByName(total_rows.select(cols)).unionByName(monthly_rows.select(cols))
         .unionByName(off_rows.select(cols)).unionByName(rpp_rows.select(cols))
         .unionByName(gdp_rows.select(cols)).unionByName(inc_rows.select(cols))
     )
     unit_map = F.create_map(*[x for t, (u, _) in UNITS.items() for x in (F.lit(t), F.lit(u))])
     mult_map = F.create_map(*[x for t, (_, m) in UNITS.items() for x in (F.lit(t), F.lit(m))])
-    cells = _per_vintage(cells)
+    each = _per_vintage(each)
     base = [
         F.lit("GeoFips"), F.col("GeoFips"), F.lit("GeoName"), F.col("GeoName"),
         F.lit("TimePeriod"), F.col("TimePeriod"),
@@ -321,13 +307,12 @@ def bea_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one dataset's payload has no NoteRef field at all
     with_note = F.create_map(*base, F.lit("NoteRef"), F.when(F.col("GeoName").endswith("*"), "*").otherwise(""))
     row = F.when(F.col("dataset_id") == "state_regional_price_parities_sarpp", F.create_map(*base)).otherwise(with_note)
-    return _lineage(cells.select("dataset_id", "vintage_tag", row.alias("row")), "bea")
+    return _lineage(each.select("dataset_id", "vintage_tag", row.alias("row")), "bea")
 
 
-def census_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = F.broadcast(_read(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("nationkey"), "n_name"))
-    oc = order_cells(spark, sf_dir).select("nationkey", "year", "customers").join(nation, "nationkey")
+def census_raw_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
+    wide = cells(spark, sf_dir) if wide is None else wide
+    oc = order_cells(wide).select("nationkey", "year", "customers").join(_nations(spark, sf_dir), "nationkey")
     pop = oc.select(
         F.lit("census_state_population").alias("dataset_id"),
         F.create_map(
@@ -340,7 +325,7 @@ def census_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = _read(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nationkey")).agg(
         _money(F.sum(_cents(F.col("s_acctbal")))).alias("amount"))
     fin = (
-        oc.filter(F.col("year") >= FINANCE_FIRST_YEAR).select("nationkey", "n_name", "year")
+        oc.select("nationkey", "n_name", "year")
         .join(supp, "nationkey")
         .select(
             F.lit("census_state_gov_finance_federal_intergovernmental_revenue").alias("dataset_id"),
@@ -359,4 +344,5 @@ def census_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw payload rows: source, dataset_id, vintage_tag, run_id, load_seq, row."""
-    return bea_raw_rows(spark, sf_dir).unionByName(census_raw_rows(spark, sf_dir))
+    wide = cells(spark, sf_dir)
+    return bea_raw_rows(spark, sf_dir, wide).unionByName(census_raw_rows(spark, sf_dir, wide))

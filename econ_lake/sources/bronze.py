@@ -25,21 +25,26 @@ CENSUS_PAYLOAD_SCHEMA = "CENSUSAPI struct<Results: struct<Data: array<map<string
 def _path_parts(path: Column) -> dict[str, Column]:
     """Dataset, extract date (vintage tag, kept as text) and run id from a file path."""
     return {
-        "dataset_id": F.regexp_extract(path, r"/([^/]+)/extract_date=", 1),
+        "dataset_id": F.regexp_extract(path, r"/(?:dataset_id=)?([^/]+)/extract_date=", 1),
         "extract_date": F.regexp_extract(path, r"extract_date=(\d{4}-\d{2}-\d{2})", 1),
         "run_id": F.regexp_extract(path, r"run_id=([^/]+)", 1),
     }
 
 
-def read_payload_documents(spark: SparkSession, root: str, source: str = "bea") -> DataFrame:
-    """One row per landed payload document with its lineage columns.
+PAYLOADS = "*/extract_date=*/run_id=*/payload.json"
 
-    The glob skips the checkpoint folder that sits beside the partitions.
+
+def read_payload_documents(spark: SparkSession, root: str, source: str = "bea",
+                           paths: list[str] | None = None) -> DataFrame:
+    """One row per landed payload document with its lineage columns.
+
+    The glob skips the checkpoint folder that sits beside the partitions; the
+    documents of a run (one per line, or parts) are one payload together.
     """
     schema = BEA_PAYLOAD_SCHEMA if source == "bea" else CENSUS_PAYLOAD_SCHEMA
     docs = (
         spark.read.schema(schema).option("multiLine", True)
-        .json(f"{root.rstrip('/')}/*/extract_date=*/run_id=*/payload.json")
+        .json(paths or f"{root.rstrip('/')}/{PAYLOADS}")
         .select("*", F.col("_metadata.file_path").alias("file_path"),
                 F.col("_metadata.file_modification_time").alias("file_mtime"))
     )
@@ -56,6 +61,7 @@ def payload_rows(docs: DataFrame, source: str = "bea") -> DataFrame:
     root = "BEAAPI" if source == "bea" else "CENSUSAPI"
     return docs.select(
         F.lit(source).alias("source"), "dataset_id", "vintage_tag", "run_id",
+        *(["load_seq"] if "load_seq" in docs.columns else []),
         F.explode_outer(F.coalesce(F.col(f"{root}.Results.Data"), F.array().cast("array<map<string,string>>")))
         .alias("row"),
     ).filter(F.col("row").isNotNull())
@@ -78,48 +84,52 @@ def release_tag(docs: DataFrame) -> DataFrame:
     return docs.select("dataset_id", "run_id", pick.alias("release_tag"))
 
 
-def latest_snapshot(docs: DataFrame, key: str = "dataset_id") -> DataFrame:
-    """Newest file per dataset by modification time (first path wins ties)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(F.col("file_mtime").desc(), F.col("file_path"))
-    return docs.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+def latest_paths(spark: SparkSession, root: str, suffix: str = PAYLOADS) -> list[str]:
+    """The newest file of each dataset by modification time (the first path wins ties).
+
+    Only file metadata is read; the result has one path per dataset.
+    """
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{suffix}").select("path", "modificationTime")
+    newest = F.min_by("path", F.struct(-F.unix_micros("modificationTime"), F.col("path")))
+    found = files.groupBy(_path_parts(F.col("path"))["dataset_id"].alias("d")).agg(newest.alias("path")).collect()
+    if not found:
+        raise ValueError(f"no payload below {root}")
+    return sorted(r.path for r in found)
+
+
+def latest_snapshot(spark: SparkSession, root: str, source: str = "bea") -> DataFrame:
+    """The newest document of each dataset; the older ones aren't opened."""
+    return read_payload_documents(spark, root, source, latest_paths(spark, root))
 
 
 # --- header-row matrices (Census) ------------------------------------------
 
-def header_matrix_records(matrix: Column, extra: dict[str, Column] | None = None) -> Column:
-    """``[[h1,h2..],[v1,v2..],..]`` -> array of maps (fewer than 2 rows -> empty)."""
+def header_matrix_records(matrix: Column, wanted: dict[str, str], constant: dict[str, Column] | None = None) -> Column:
+    """``[[h1,h2..],[v1,v2..],..]`` -> array of maps (fewer than 2 rows -> empty).
+
+    ``wanted`` maps header names to field names.  Of a repeated header the last
+    position counts; a row that is too short has NULL there.
+    """
     header = F.get(matrix, 0)
     body = F.when(F.size(matrix) >= 2, F.slice(matrix, 2, F.size(matrix))).otherwise(
         F.array().cast("array<array<string>>"))
-    recs = F.transform(body, lambda r: F.map_from_arrays(header, r))
-    if extra:
-        recs = F.transform(recs, lambda m: F.map_concat(m, F.create_map(
-            *[x for k, v in extra.items() for x in (F.lit(k), v)])))
-    return recs
 
+    def value(row: Column, name: str) -> Column:
+        behind = F.array_position(F.reverse(header), name)
+        return F.when(behind > 0, F.get(row, (F.size(header) - behind).cast("int")))
 
-def missing_headers(matrix: Column, required: list[str]) -> Column:
-    """Required header names absent from the matrix header row."""
-    return F.array_except(F.array(*[F.lit(r) for r in required]), F.coalesce(F.get(matrix, 0), F.array()))
+    def record(row: Column) -> Column:
+        parts = [x for name, field in wanted.items() for x in (F.lit(field), value(row, name))]
+        parts += [x for field, c in (constant or {}).items() for x in (F.lit(field), c)]
+        return F.create_map(*parts)
 
-
-def intercensal_rows(records: DataFrame, years: list[int]) -> DataFrame:
-    """Keep July-1 estimates of requested years; rename to the survey layout."""
-    d = F.lower(X.strip(F.col("row")["DATE_DESC"]))
-    year = F.nullif(F.regexp_extract(F.col("row")["DATE_DESC"], r"(\d{4})\s+population", 1), F.lit(""))
-    return records.filter(d.startswith("7/1/") & year.isNotNull() & year.cast("int").isin(*years)).select(
-        *[c for c in records.columns if c != "row"],
-        F.create_map(F.lit("NAME"), F.col("row")["GEONAME"], F.lit("POP"), F.col("row")["POP"],
-                     F.lit("state"), F.col("row")["state"], F.lit("YEAR"), year).alias("row"),
-    )
+    return F.transform(body, record)
 
 
-def timeseries_rows(records: DataFrame) -> DataFrame:
-    """YEAR = first four digits of ``time``; rows without digits drop."""
-    y = F.regexp_extract(F.coalesce(F.col("row")["time"], F.lit("")), r"(\d{4})", 1)
-    return records.filter(y != "").withColumn("row", F.map_concat(
-        F.map_filter("row", lambda k, v: k != "YEAR"), F.create_map(F.lit("YEAR"), y)))
+def missing_headers(matrix: Column, required: list[str]) -> Column:
+    """Required header names absent from the matrix header row."""
+    return F.array_except(F.array(*[F.lit(r) for r in required]),
+                          F.coalesce(F.get(matrix, 0), F.array().cast("array<string>")))
 
 
 # --- line dictionary (I2-I4) -------------------------------------------------
@@ -177,6 +187,11 @@ def row_digest(row: Column) -> Column:
     return F.sha2(canon, 256)
 
 
+def row_number_hash(row: Column) -> Column:
+    """A number that follows from a row's content alone."""
+    return F.xxhash64(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(row)))))
+
+
 def row_set_hash(raw: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Order-insensitive content hash per payload.
 

@@ -9,7 +9,7 @@ folder, so a restarted or failed run resumes exactly where it left off.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from econ_lake.sources.bronze import BEA_PAYLOAD_SCHEMA, _path_parts
@@ -38,26 +38,36 @@ def payload_stream(spark: SparkSession, root: str, schema: str = BEA_PAYLOAD_SCH
     )
 
 
+def write_batch(rows: DataFrame, batch_id: int, target: str) -> None:
+    """Writes a batch to a folder of its own; the same batch again replaces it, so a replay adds no rows."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "dataset_id", "vintage_tag").parquet(f"{target.rstrip('/')}/batch={batch_id}")
+
+
 def ingest_available(spark: SparkSession, root: str, target: str, checkpoint: str,
                      source: str = "bea") -> None:
-    """Append every not-yet-seen payload's rows to the Bronze row table and stop."""
-    rows = payload_stream(spark, root, source=source)
-
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").partitionBy("dataset_id", "vintage_tag").parquet(target)
+    """Write every not-yet-seen payload's rows to the Bronze row table and stop.
 
+    A batch may be run twice after a failure (foreachBatch is at-least-once);
+    its rows are in the table once.
+    """
+    rows = payload_stream(spark, root, source=source)
     query = (
         rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-        .foreachBatch(write_batch).start()
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, target)).start()
     )
     query.awaitTermination()
 
 
-BRONZE_ROWS_SCHEMA = ("source string, run_id string, row map<string,string>, "
+BRONZE_ROWS_SCHEMA = ("source string, run_id string, row map<string,string>, batch long, "
                       "dataset_id string, vintage_tag string")
 
 
 def read_bronze_rows(spark: SparkSession, target: str) -> DataFrame:
     """Read the Bronze row table; an explicit schema keeps the ``vintage_tag``
-    partition value as text (inference would turn it into a DATE)."""
-    return spark.read.schema(BRONZE_ROWS_SCHEMA).parquet(target)
+    partition value as text (inference would turn it into a DATE).  The load
+    order follows the vintages and runs, as payloads land in that order."""
+    rows = spark.read.schema(BRONZE_ROWS_SCHEMA).parquet(target)
+    runs = rows.select("vintage_tag", "run_id").distinct()
+    order = runs.withColumn("load_seq", F.row_number().over(Window.orderBy("vintage_tag", "run_id")))  # a row per run
+    return rows.join(order, ["vintage_tag", "run_id"])

@@ -1,5 +1,6 @@
 """Silver, Gold, star-schema and view semantics on small literal fixtures."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from econ_lake.operators import gold, hierarchy, serving, silver, warehouse
@@ -112,16 +113,90 @@ def test_hierarchy_nodes_and_bridge(spark):
     assert set(leaves.values()) == {1}
 
 
+def _upsert(spark, root, rows, schema="k long, v string, x double", **options):
+    from econ_lake.operators import tables
+
+    return tables.upsert(spark, root, "t", spark.createDataFrame(rows, schema), ["k"], **options)
+
+
 def test_upsert_keeps_vanished_rows(spark, tmpdir_path):
-    root = tmpdir_path + "/fact"
-    first = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0)], "k long, v string, x double")
-    warehouse.upsert(spark, root, first, ["k"])
-    again = spark.createDataFrame([(1, "a", 5.0)], "k long, v string, x double")
-    warehouse.upsert(spark, root, again, ["k"])
-    got = sorted((r.k, r.x) for r in warehouse.read_table(spark, root).collect())
+    from econ_lake.operators.tables import Store
+
+    _upsert(spark, tmpdir_path, [(1, "a", 1.0), (2, "a", 2.0)])
+    _upsert(spark, tmpdir_path, [(1, "a", 5.0)])
+    got = sorted((r.k, r.x) for r in Store(spark, tmpdir_path).read("t").collect())
     assert got == [(1, 5.0), (2, 2.0)]
 
 
+def test_upsert_new_and_lost_columns(spark, tmpdir_path):
+    from econ_lake.operators.tables import Store
+
+    _upsert(spark, tmpdir_path, [(1, "a", 1.0), (2, "b", 2.0)])
+    _upsert(spark, tmpdir_path, [(2, 9)], "k long, y int", defaults={"y": 7})
+    got = sorted(tuple(r) for r in Store(spark, tmpdir_path).read("t").collect())
+    assert got == [(1, "a", 1.0, 7), (2, None, None, 9)]
+    with pytest.raises(ValueError, match="is int"):
+        _upsert(spark, tmpdir_path, [(1, "x")], "k long, y string")
+
+
+def test_upsert_rewrites_touched_partitions_only(spark, tmpdir_path):
+    from econ_lake.operators.tables import Store
+
+    store = Store(spark, tmpdir_path)
+    for rows in ([(1, 10, "a"), (2, 20, "b")], [(3, 20, "c")]):
+        load = store.begin()
+        load.upsert("t", spark.createDataFrame(rows, "k long, p long, v string"), ["k", "p"], part="p")
+        load.commit()
+    parts = store.snapshot().tables["t"]["parts"]
+    assert "load-00000001" in parts["10"] and "load-00000002" in parts["20"]
+    assert sorted(r.k for r in store.read("t").collect()) == [1, 2, 3]
+    assert [r.k for r in store.read("t", parts=["10"]).collect()] == [1]
+
+
+def test_loads_are_published_whole_and_once(spark, tmpdir_path):
+    from econ_lake.operators.tables import StaleLoad, Store
+
+    store = Store(spark, tmpdir_path)
+    rows = spark.createDataFrame([(1,)], "k long")
+    first, second = store.begin(), store.begin()
+    first.upsert("a", rows, ["k"])
+    first.upsert("b", rows, ["k"])
+    assert store.read("a") is None
+    first.commit()
+    assert store.read("a").count() == store.read("b").count() == 1
+    second.upsert("a", rows, ["k"])
+    with pytest.raises(StaleLoad):
+        second.commit()
+    with pytest.raises(ValueError, match="several rows"):
+        store.begin().upsert("a", rows.unionByName(rows), ["k"])
+
+
+def test_star_load_refuses_nothing(spark, tmpdir_path):
+    from econ_lake.operators.tables import Store
+
+    with pytest.raises(ValueError, match="empty"):
+        warehouse.load(Store(spark, tmpdir_path), _conf(spark, []), "2026-01-01")
+
+
+def test_incomplete_trend_is_reported_and_refused(spark):
+    from econ_lake.operators import analysis
+
+    trend = spark.createDataFrame([("CA", "Goods", y, 1.0) for y in range(2020, 2024)],
+                                  "state_abbrev string, category string, year int, rpp double")
+    row = analysis.state_change_summary(trend).first()
+    assert (row.start_year, row.end_year, row.complete) == (2020, 2023, False)
+    with pytest.raises(ValueError, match="exactly 5"):
+        analysis.assert_complete(trend)
+
+
+def test_share_gate_sees_full_precision(spark):
+    from econ_lake.operators import analysis
+
+    w = spark.createDataFrame([(2020, "Goods", 0.5), (2020, "Goods", 0.5000000149)],
+                              "year int, category string, pce_share double")
+    assert analysis.share_sum_report(w).first().ok is False
+
+
 def test_per_capita_population_only(spark):
     c = _conf(spark, [
         dict(year=2012, pce_value=100.0, vintage_tag="v", load_seq=1),

@@ -3,9 +3,10 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from econ_lake.sources import bronze
+from econ_lake.sources import bronze, census
 from econ_lake.streaming import intake
 
 
@@ -27,11 +28,83 @@ def test_payload_scan_lineage_and_rows(spark, tmpdir_path):
 
 
 def test_header_matrix(spark):
-    df = spark.createDataFrame([([["NAME", "B01003_001E", "state"], ["Alabama", "5108468", "01"]],),
+    df = spark.createDataFrame([([["NAME", "V", "time", "time"], ["Alabama", "5", "a", "b"], ["Alaska", "6"]],),
                                 ([["NAME", "X", "state"]],)], "m array<array<string>>")
-    recs = df.select(F.size(bronze.header_matrix_records(F.col("m"))).alias("n"),
-                     bronze.missing_headers(F.col("m"), ["NAME", "B01003_001E", "state"]).alias("miss")).collect()
-    assert recs[0].n == 1 and recs[1].n == 0 and recs[1].miss == ["B01003_001E"]
+    recs = df.select(bronze.header_matrix_records(F.col("m"), {"NAME": "NAME", "V": "POP", "time": "t"}).alias("r"),
+                     bronze.missing_headers(F.col("m"), ["NAME", "V"]).alias("miss")).collect()
+    assert recs[0].r == [{"NAME": "Alabama", "POP": "5", "t": "b"}, {"NAME": "Alaska", "POP": "6", "t": None}]
+    assert recs[1].r == [] and recs[1].miss == ["V"]
+
+
+def test_intercensal_case_and_alias(spark):
+    docs = spark.createDataFrame([(2000, [["GEONAME", "POP", "DATE_DESC", "state"],
+                                          ["A", "1", "7/1/2001 POPULATION Estimate, 2001 Population", "01"],
+                                          ["A", "2", "4/1/2000 Population", "01"],
+                                          ["A", "3", "7/1/2003 2003 population", "01"]])],
+                                 "year int, matrix array<array<string>>")
+    rows = census.intercensal_rows(docs, "B01", census.requested_years(spark, 2000, 2002)).collect()
+    assert [r.row for r in rows] == [{"NAME": "A", "B01": "1", "state": "01", "YEAR": "2001"}]
+
+
+def test_requested_years_are_bounded(spark):
+    assert census.requested_years(spark, 2019, 2021).count() == 3
+    for start in (1899, 2022):
+        with pytest.raises(ValueError, match="outside"):
+            census.requested_years(spark, start, 2021)
+
+
+def test_latest_snapshot_opens_the_newest_only(spark, tmpdir_path):
+    for k, date in enumerate(("2026-03-05", "2026-03-04")):
+        _land(tmpdir_path, "ds1", date, f"run-{k}", [{"GeoFips": "01000"}])
+        path = os.path.join(tmpdir_path, "ds1", f"extract_date={date}", f"run_id=run-{k}", "payload.json")
+        os.utime(path, (1000 + k, 1000 + k))
+    assert [r.run_id for r in bronze.latest_snapshot(spark, tmpdir_path).collect()] == ["run-1"]
+
+
+def test_landed_rows_reach_silver_and_failed_payloads_are_tried_again(spark, tmpdir_path):
+    from econ_lake.operators.tables import Store
+    from econ_lake.plans.run import run
+    from econ_lake.sources.catalog import catalog_frame
+
+    cat = catalog_frame(spark, [{"dataset_id": "d", "bea_table_name": "SAPCE4"}])
+
+    def raw(run_id, seq, *values):
+        rows = [("bea", "d", "2026-03-04", run_id, seq,
+                 {"GeoFips": "01000", "GeoName": "Alabama", "TimePeriod": str(2000 + k), "Code": "SAPCE4-1",
+                  "FunctionName": "A: B", "DataValue": v, "CL_UNIT": "u", "UNIT_MULT": "0"})
+                for k, v in enumerate(values)]
+        return spark.createDataFrame(rows, "source string, dataset_id string, vintage_tag string, run_id string, "
+                                           "load_seq int, row map<string,string>")
+
+    def status(rows):
+        return [(r.run_id, r.status) for r in rows.collect()]
+
+    with pytest.raises(ValueError, match="required value missing"):
+        run(spark, raw("r1", 1, "1", "(NA)"), cat, tmpdir_path, "2026-03-04")
+    assert status(run(spark, raw("r3", 3, "1", "2"), cat, tmpdir_path, "2026-03-04")) == [("r3", "loaded")]
+    assert status(run(spark, raw("r4", 4, "1", "2"), cat, tmpdir_path, "2026-03-04")) == [("r4", "unchanged")]
+    fact = Store(spark, tmpdir_path + "/lake").read("fact").collect()
+    assert sorted(r.value_numeric for r in fact) == [1.0, 2.0]
+
+
+def test_catalog_rules(spark, tmpdir_path):
+    from econ_lake.sources.catalog import catalog_frame, load_catalog_yaml, narrow
+
+    path = os.path.join(tmpdir_path, "datasets.yml")
+    with open(path, "w") as fh:
+        fh.write("datasets:\n- {dataset_id: ' a ', bea_table_name: T, line_code: all}\n"
+                 "- {dataset_id: b, source: CENSUS, enabled: false}\n"
+                 "- {dataset_id: c, source: census, census_variable: x, census_predicates: {AGG_DESC: SF1}}\n")
+    rows = {r.dataset_id: r for r in load_catalog_yaml(spark, path).collect()}
+    assert set(rows) == {"a", "c"} and rows["a"].line_code == "ALL" and rows["a"].bea_start_year == 2000
+    assert (rows["c"].census_variable, rows["c"].census_agg_desc, rows["c"].catalog_rank) == ("X", "SF1", 3)
+    for bad in ([{"dataset_id": "a"}], [{"bea_table_name": "T"}], [{"dataset_id": "a", "source": "x"}], [],
+                [{"dataset_id": " ", "bea_table_name": "T"}]):
+        with pytest.raises(ValueError):
+            catalog_frame(spark, bad)
+    assert narrow(load_catalog_yaml(spark, path), "c").count() == 1
+    with pytest.raises(ValueError, match="zzz"):
+        narrow(load_catalog_yaml(spark, path), "zzz")
 
 
 def test_row_hash_order_insensitive(spark):
@@ -59,3 +132,25 @@ def test_streaming_intake_available_now(spark, tmpdir_path):
     intake.ingest_available(spark, root, target, ckpt)
     got = intake.read_bronze_rows(spark, target).groupBy("vintage_tag").count().orderBy("vintage_tag").collect()
     assert [(r.vintage_tag, r["count"]) for r in got] == [("2026-03-03", 1), ("2026-03-04", 2)]
+
+
+def test_a_batch_run_twice_adds_no_rows(spark, tmpdir_path):
+    rows = spark.createDataFrame([("bea", "r", {"a": "1"}, "d", "2026-03-04")],
+                                 "source string, run_id string, row map<string,string>, dataset_id string, "
+                                 "vintage_tag string")
+    for batch in (0, 0, 1):
+        intake.write_batch(rows, batch, tmpdir_path)
+    got = intake.read_bronze_rows(spark, tmpdir_path).collect()
+    assert len(got) == 2 and {r.load_seq for r in got} == {1}
+
+
+def test_streamed_rows_feed_silver(spark, tmpdir_path):
+    from econ_lake.operators import silver
+    from econ_lake.sources.catalog import catalog_frame
+
+    root, target = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "rows")
+    _land(root, "d", "2026-03-04", "r", [{"GeoFips": "01000", "TimePeriod": "2020", "Code": "T-1", "DataValue": "1"}])
+    intake.ingest_available(spark, root, target, os.path.join(tmpdir_path, "ck"))
+    cat = catalog_frame(spark, [{"dataset_id": "d", "bea_table_name": "T"}])
+    row = silver.bea_silver(intake.read_bronze_rows(spark, target), cat).first()
+    assert (row.state_abbrev, row.value, row.load_seq) == ("AL", 1.0, 1)
