@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from econ_lake.operators import gold, quality, silver, warehouse
 from econ_lake.operators.tables import Store
 from econ_lake.session import materialise
+from econ_lake.sources import bronze
 from econ_lake.sources.landing import LandingZone
 
 
@@ -23,6 +24,8 @@ def run(spark: SparkSession, raw: DataFrame, catalog: DataFrame, root: str, at:
     todo = log.filter("changed")
     if todo.isEmpty():
         return record(store, log.withColumn("status", F.lit("unchanged")), at)
+    if not todo.filter(F.col("source") == "bea").isEmpty():
+        bronze.assert_no_api_error(zone.documents("bea").join(todo.select("run_id"), "run_id", "left_semi"))
     bea_raw, census_raw = zone.rows("bea", todo), zone.rows("census", todo)
     rows = materialise(bea_raw.unionByName(census_raw), "landed")
     bea = materialise(silver.bea_silver(rows.filter(F.col("source") == "bea"), catalog, todo), "silver-bea")

@@ -77,6 +77,13 @@ def api_error(docs: DataFrame) -> DataFrame:
     )
 
 
+def assert_no_api_error(docs: DataFrame) -> None:
+    """Refuse payloads that carry an API error, naming what it says."""
+    bad = api_error(docs).limit(5).collect()
+    if bad:
+        raise ValueError(f"the API answered with an error: {[tuple(r) for r in bad]}")
+
+
 def release_tag(docs: DataFrame) -> DataFrame:
     """First non-blank of ReleaseDate, ReleaseName, Statistic (NULL if none)."""
     res = F.col("BEAAPI.Results")

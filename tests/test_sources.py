@@ -154,3 +154,30 @@ def test_streamed_rows_feed_silver(spark, tmpdir_path):
     cat = catalog_frame(spark, [{"dataset_id": "d", "bea_table_name": "T"}])
     row = silver.bea_silver(intake.read_bronze_rows(spark, target), cat).first()
     assert (row.state_abbrev, row.value, row.load_seq) == ("AL", 1.0, 1)
+
+
+def test_api_errors_are_refused(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "d", "extract_date=2026-03-04", "run_id=r")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "payload.json"), "w") as fh:
+        json.dump({"BEAAPI": {"Error": {"APIErrorDescription": "Bad key", "ErrorDetail": {"Description": "x"}}}}, fh)
+    docs = bronze.read_payload_documents(spark, tmpdir_path)
+    assert bronze.payload_rows(docs).count() == 0
+    with pytest.raises(ValueError, match="Bad key x"):
+        bronze.assert_no_api_error(docs)
+
+
+def test_faulty_payloads_go_to_the_quarantine(spark, tmpdir_path):
+    from econ_lake.plans.run import run
+    from econ_lake.sources.catalog import catalog_frame
+
+    cat = catalog_frame(spark, [{"dataset_id": d, "bea_table_name": "T"} for d in ("good", "bad")])
+    rows = [("bea", d, "2026-03-04", f"r-{d}", k, {"GeoFips": "01000", "TimePeriod": "2020", "Code": "T-1",
+                                                  "DataValue": v, "UNIT_MULT": "0"})
+            for k, (d, v) in enumerate((("good", "1"), ("bad", "(D)")), 1)]
+    raw = spark.createDataFrame(rows, "source string, dataset_id string, vintage_tag string, run_id string, "
+                                      "load_seq int, row map<string,string>")
+    log = run(spark, raw, cat, tmpdir_path, "2026-03-04", strict=False)
+    assert {(r.dataset_id, r.status) for r in log.collect()} == {("good", "loaded"), ("bad", "quarantined")}
+    held = spark.read.parquet(tmpdir_path + "/quarantine").collect()
+    assert [(r.dataset_id, r.reason) for r in held] == [("bad", "required value missing")]
