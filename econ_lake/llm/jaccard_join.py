@@ -15,8 +15,10 @@ Sets with an index entry in common are candidates.  A parity bitmap (two sets di
 bitmaps in bits) drops most wrong ones, then the shingles of both whole texts are compared.
 
 Equal sets are brought together first; only one of them takes part.  Of an entry with up to GROUP sets all pairs are
-candidates; of a larger one, all sets with its least one (streamed, in constant memory).  Where that doesn't bring
-all its sets into one component, the pairs of different components are made candidates too: no link is lost.
+candidates.  Of a larger one, all sets are candidates with one hub, the set that is in most large entries (of near
+copies, the one with the fewest changes).  Where that doesn't bring all its sets into one component, those outside
+its largest component are compared with all its sets of other components, block by block within tasks, and what
+their bitmaps allow are candidates too: no link is lost, and no pairs but these leave a task.
 
 Defined results: a text without words (or null) has an empty set and is linked with nothing; a null doc_id takes part
 in equal sets only, and is never the least; rows with the same doc_id are one document; an empty table gives no rows.
@@ -42,6 +44,8 @@ LEAST = 80
 CELLS, BLOCK = 1 << 22, 1 << 16
 TINY, SMALL = 8, 128
 GROUP = 24
+#: Sets of a large entry whose bitmaps a task holds at a time.
+BLOCK_SETS = 2_048
 #: Rows up to which ids are broadcast; beyond, the joins shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Texts that are compared with one other in a task.
@@ -77,7 +81,7 @@ def set_hash(u: np.ndarray, key: int = 1) -> int:
 
 def parity_bits(u: np.ndarray) -> bytes:
     """A bitmap that flips one bit per element; its width follows the size, in powers of two."""
-    width = max(64, 2 << (len(u).bit_length() - 1)) if len(u) else 64
+    width = max(64, 8 << (len(u).bit_length() - 1)) if len(u) else 64
     return np.packbits(np.bincount((u >> _U(17)).astype(np.int64) & (width - 1), minlength=width).astype(np.uint8) & 1,
                        bitorder="little").tobytes()
 
@@ -85,11 +89,16 @@ def parity_bits(u: np.ndarray) -> bytes:
 def bits_apart(a: bytes, b: bytes) -> int:
     """The number of bits in which two parity bitmaps differ, at the lesser of their widths."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    while len(x) > len(y):
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
+    words = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap (or the rows of bitmaps) that the same set has at a lesser width."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
 
 
 def most_apart(total: int) -> int:
@@ -166,7 +175,7 @@ def _set_rows(docs: DataFrame) -> DataFrame:
         sketch = np.zeros(CELLS, np.uint32)
         for part in pieces(batches):
             sets = shingle_sets(part.column("text"))
-            sketch += np.bincount(cells(np.concatenate(sets)), minlength=CELLS).astype(np.uint32)
+            np.add.at(sketch, cells(np.concatenate(sets)), np.uint32(1))
             n = part.num_rows
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()),
@@ -234,17 +243,13 @@ def _entry_rows(docs: DataFrame, cost: np.ndarray) -> DataFrame:
 
 
 def _candidates(rows: DataFrame, group: int = GROUP) -> DataFrame:
-    """Pairs (a, b) of sets with an entry in common; for entries of more than ``group`` sets also their rows
-    (entry, a, n), and as pairs only those with their least set.
+    """Pairs (a, b) of sets with an entry in common; of entries with more than ``group`` sets, the rows (entry, a, n).
 
     Rows are streamed in the order of entries, and no more than ``group`` of them are held over."""
 
-    def similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return 100 * np.minimum(x, y).astype(np.int64) >= LEAST * np.maximum(x, y).astype(np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
-        least = None  # the first row of a large entry that goes on
+        large = None  # a large entry that goes on
         for batch in batches:
             got = [np.concatenate([k, c.to_numpy()]) for k, c in zip(kept, batch.columns, strict=True)]
             if not len(got[0]):
@@ -254,23 +259,16 @@ def _candidates(rows: DataFrame, group: int = GROUP) -> DataFrame:
             entry, sets, n = (x[new] for x in got)
             heads = np.flatnonzero(np.diff(entry, prepend=~entry[:1]))
             size = np.diff(np.append(heads, len(entry)))
-            out = []
-            if least is not None and entry[0] == least[0]:
-                k = size[0]
-                out.append(members(entry[:k], sets[:k], n[:k]))
-                out.append(pairs(np.full(k, least[1]), np.full(k, least[2]), sets[:k], n[:k]))
+            if large is not None and entry[0] == large:
+                yield members(entry[:size[0]], sets[:size[0]], n[:size[0]])
                 heads, size = heads[1:], size[1:]
             kept = [x[:0] for x in kept]
             if len(heads):  # the last entry may go on in the next batch
-                last = heads[-1]
-                least = None
-                if size[-1] <= group:
-                    kept = [x[last:] for x in (entry, sets, n)]
+                large = entry[heads[-1]] if size[-1] > group else None
+                if large is None:
+                    kept = [x[heads[-1]:] for x in (entry, sets, n)]
                     heads, size = heads[:-1], size[:-1]
-                else:
-                    least = entry[last], sets[last], n[last]
-            out += whole(entry, sets, n, heads, size)
-            yield from (x for x in out if x.num_rows)
+            yield from (x for x in whole(entry, sets, n, heads, size) if x.num_rows)
         if len(kept[0]):
             yield from whole(*kept, np.array([0]), np.array([len(kept[0])]))
 
@@ -282,23 +280,20 @@ def _candidates(rows: DataFrame, group: int = GROUP) -> DataFrame:
         first, many = np.repeat(heads, size), np.repeat(size, size)
         at = first + np.arange(len(first)) - np.repeat(np.cumsum(size) - size, size)
         big = many > group
-        out = [members(entry[at[big]], sets[at[big]], n[at[big]]),
-               pairs(sets[first[big]], n[first[big]], sets[at[big]], n[at[big]])]
+        out = [members(entry[at[big]], sets[at[big]], n[at[big]])]
         at, last = at[~big], (first + many)[~big]
         for step in range(1, group):
             left = at[at + step < last]
             if not len(left):
                 break
-            out.append(pairs(sets[left], n[left], sets[left + step], n[left + step]))
+            right = left + step
+            fit = similar_sizes(n[left], n[right]) & (sets[left] != sets[right])
+            left, right = left[fit], right[fit]
+            out.append(pa.RecordBatch.from_arrays(
+                [pa.nulls(len(left), pa.int64()), pa.array(sets[left]), pa.array(sets[right]),
+                 pa.nulls(len(left), pa.int32())], ["entry", "a", "b", "n"]))
         return out
 
-    def pairs(a, na, b, nb) -> pa.RecordBatch:
-        fit = similar(na, nb) & (a != b)
-        k = int(fit.sum())
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(k, pa.int64()), pa.array(a[fit]), pa.array(b[fit]), pa.nulls(k, pa.int32())],
-            ["entry", "a", "b", "n"])
-
     def members(entry, sets, n) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(entry), pa.array(sets), pa.nulls(len(sets), pa.int64()), pa.array(n.astype(np.int32))],
@@ -308,6 +303,21 @@ def _candidates(rows: DataFrame, group: int = GROUP) -> DataFrame:
             .mapInArrow(run, "entry long, a long, b long, n int"))
 
 
+def similar_sizes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return 100 * np.minimum(x, y).astype(np.int64) >= LEAST * np.maximum(x, y).astype(np.int64)
+
+
+def _hub_pairs(large: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each set of a large entry with the entry's hub."""
+    often = large.groupBy("a").agg(F.count(F.lit(1)).alias("often"))
+    hubs = (large.join(often, "a").groupBy("entry").agg(
+        F.max_by(F.struct(F.col("a").alias("hub"), F.col("n").alias("hub_n")), F.struct("often", "a")).alias("h"))
+        .select("entry", "h.*"))
+    fit = 100 * F.least("n", "hub_n") >= LEAST * F.greatest("n", "hub_n")
+    return large.join(hubs, "entry").filter(fit & (F.col("a") != F.col("hub"))).select(
+        F.col("hub").alias("a"), F.col("a").alias("b")).distinct()
+
+
 # ------------------------------------------------------------------ comparison
 
 
@@ -379,18 +389,62 @@ def _verified(docs: DataFrame, near: DataFrame) -> DataFrame:
 
 
 def _unresolved(large: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Of the entries whose sets aren't all in one component: the pairs (a, b) of sets of different ones."""
-    of_set = nodes.filter("doc_id is not null").select(F.col("s1").alias("a"), "doc_id").join(
+    """Candidates (a, b) across components, of large entries whose sets aren't all in one.
+
+    The sets outside an entry's largest component meet all its sets, these in blocks of BLOCK_SETS: a task holds the
+    bitmaps of one block and streams the others along it.
+    """
+    of_set = nodes.filter("doc_id is not null").select(F.col("s1").alias("a"), "doc_id", "bits").join(
         found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "a", F.coalesce("component", "doc_id").alias("component"))
-    rows = stored(large.distinct().join(of_set, "a"), "large-entries")
-    torn = rows.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(
-        "x <> y").select("entry")
-    rows = rows.join(torn, "entry", "left_semi")
-    x, y = rows.alias("x"), rows.alias("y")
-    return x.join(y, F.expr("x.entry = y.entry and x.a < y.a and x.component <> y.component and "
-                            f"100 * least(x.n, y.n) >= {LEAST} * greatest(x.n, y.n)")).select(
-        F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct()
+        "a", "bits", F.coalesce("component", "doc_id").alias("component"))
+    rows = stored(large.join(of_set, "a"), "large-entries")
+    parts = rows.groupBy("entry", "component").agg(F.count(F.lit(1)).alias("sets"))
+    torn = stored(parts.groupBy("entry").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("sets").alias("sets"),
+        F.max_by("component", F.struct("sets", "component")).alias("main")).filter("parts > 1").select(
+        "entry", "main", F.ceil(F.col("sets") / BLOCK_SETS).cast("int").alias("blocks")), "torn-entries")
+    rows = rows.join(torn, "entry")
+    block = F.pmod(F.xxhash64("a"), "blocks").cast("int")
+    loose = F.col("component") != F.col("main")
+    targets = rows.withColumns({"block": block, "role": F.lit(0), "loose": loose})
+    seekers = rows.filter(loose).withColumns({
+        "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "role": F.lit(1), "loose": F.lit(True)})
+    columns = ["entry", "block", "role", "a", "n", "component", "loose", "bits"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, block = None, []
+        for batch in batches:
+            seeking = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:2] != now:
+                    yield from meet(seeking, block)
+                    now, block, seeking = row[:2], [], []
+                (seeking if row[2] else block).append(row[3:])
+            yield from meet(seeking, block)
+
+    def meet(seeking: list, block: list) -> Iterator[pa.RecordBatch]:
+        """The pairs of a seeker and a set of the block that may be links; of two loose ones, each pair once."""
+        for wide in sorted({len(x[4]) for x in seeking}):
+            for far in sorted({len(x[4]) for x in block}):
+                left, right = [x for x in seeking if len(x[4]) == wide], [x for x in block if len(x[4]) == far]
+                words = min(wide, far) // 8
+                a, n, part = (np.array([x[k] for x in left]) for k in (0, 1, 2))
+                b, m, other, free = (np.array([x[k] for x in right]) for k in (0, 1, 2, 3))
+                bits = folded(np.frombuffer(b"".join(x[4] for x in left), np.uint64).reshape(len(left), -1), words)
+                most = folded(np.frombuffer(b"".join(x[4] for x in right), np.uint64).reshape(len(right), -1), words)
+                for k in range(len(left)):
+                    fit = (part[k] != other) & (~free | (a[k] < b)) & similar_sizes(n[k], m)
+                    at = np.flatnonzero(fit)
+                    if len(at):
+                        apart = np.bitwise_count(bits[k] ^ most[at]).sum(1)
+                        total = n[k] + m[at]
+                        at = at[apart <= total - 2 * -(-LEAST * total // (100 + LEAST))]
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), a[k])), pa.array(b[at])], ["a", "b"])
+
+    key = columns[:2]
+    return (targets.select(*columns).unionByName(seekers.select(*columns)).repartition(*key)
+            .sortWithinPartitions(*key, "role", "a").mapInArrow(run, "a long, b long").distinct())
 
 
 def similar_groups(docs: DataFrame, group: int = GROUP) -> DataFrame:
@@ -409,10 +463,10 @@ def similar_groups(docs: DataFrame, group: int = GROUP) -> DataFrame:
     if copies.count() <= BROADCAST_ROWS:
         indexed = docs.join(F.broadcast(copies), "doc_id", "left_anti")
     found = stored(_candidates(_entry_rows(indexed, cost), group), "candidates")
-    pairs = found.filter("entry is null").select("a", "b").distinct()
+    large = found.filter("entry is not null").select("entry", "a", "n").distinct()
+    pairs = found.filter("entry is null").select("a", "b").unionByName(_hub_pairs(large)).distinct()
     links = stored(_verified(docs, _near(pairs, nodes)), "links")
     classes = stored(components(links), "classes")
-    large = found.filter("entry is not null").select("entry", "a", "n")
     if not large.isEmpty():
         more = stored(_unresolved(large, nodes, classes), "more-pairs")
         if not more.isEmpty():
