@@ -84,7 +84,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0]:at[-1]], at - at[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20):
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20):
     """The batches in slices of about ``limit`` bytes of text; one longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
@@ -116,9 +116,11 @@ class Words:
         """The row of each word."""
         return np.repeat(np.arange(len(self.at) - 1), np.diff(self.first))
 
-    def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word, taken eight bytes at a time."""
+    def hashes(self, seed: int = 0, most: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word, or of its first ``most`` bytes, taken eight bytes at a time."""
         size = self.end - self.start
+        if most is not None:
+            size = np.minimum(size, most)
         h = mix(size.astype(np.uint64) + np.uint64(seed + 1))
         if not len(h):
             return h

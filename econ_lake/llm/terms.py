@@ -30,13 +30,21 @@ def _grams(rows: np.ndarray, h: np.ndarray, n: int, kind: int) -> np.ndarray:
     return _buckets(rows[:len(h) - n + 1][inside], ngrams(h, n)[inside], kind)
 
 
-def word_terms(data: np.ndarray, at: np.ndarray, n: int = 1) -> np.ndarray:
-    """The distinct (row, term) of all n-grams of lower-cased letter runs, up to n."""
+#: Lengths in bytes of the word beginnings that are terms too: roots that take many endings.
+STEMS = (4, 5)
+
+
+def word_terms(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The distinct (row, term) of lower-cased letter runs and of their beginnings."""
     blank = BLANK.copy()
     blank[0x21:0x30] = blank[0x3A:0x41] = blank[0x5B:0x61] = blank[0x7B:0x80] = True
     words = Words(ASCII_LOWER[data], at, blank)
-    rows, h = words.rows(), words.hashes()
-    return np.unique(np.concatenate([np.unique(_grams(rows, h, k, k)) for k in range(1, n + 1)]))
+    rows, size = words.rows(), words.end - words.start
+    out = [np.unique(_buckets(rows, words.hashes(), 1))]
+    for most in STEMS:
+        long = size > most
+        out.append(np.unique(_buckets(rows[long], words.hashes(most=most)[long], 20 + most)))
+    return np.unique(np.concatenate(out))
 
 
 def style_terms(data: np.ndarray, at: np.ndarray) -> np.ndarray:

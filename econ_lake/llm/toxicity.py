@@ -63,8 +63,8 @@ def telling_terms(rows: list[np.ndarray], label: np.ndarray, most: int) -> np.nd
     return best[apart[best] > np.sqrt(2 * np.log(max(2, often.sum())))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = 15, rate: float = 0.1,
-        decay: float = 1e-3, seed: int = 1) -> FactorizationMachine:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = 30, rate: float = 0.3,
+        pair_rate: float = 0.03, decay: float = 1e-4, seed: int = 1) -> FactorizationMachine:
     learn = labels.filter(remainder(F.col("doc_id"), PARTS) != HELD_OUT)
     rows, label = labelled_sample(docs, learn, "toxic", sample, word_terms)
     place = np.full(1 << BITS, -1)
@@ -77,6 +77,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     inner = [x[x >= 0] for x in (place[r] for r in rows)]
     order = np.random.default_rng(seed)
     w, v = np.zeros(len(used)), order.normal(0, 0.05, (len(used), FACTORS))
+    weight = len(label) / (2 * np.bincount(label, minlength=2))  # both classes count alike
     gw, gv, gb = np.full(len(used), 1e-2), np.full(v.shape, 1e-2), 1e-2
     for _ in range(epochs):
         for k in order.permutation(len(inner)):
@@ -84,11 +85,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
             own = v[x]
             total = own.sum(0)
             value = bias + w[x].sum() + ((total**2).sum() - (own**2).sum()) / 2
-            error = 1 / (1 + np.exp(-min(max(value, -30), 30))) - label[k]
-            # each step is scaled by the gradients that its own coordinate has seen
+            error = weight[label[k]] * (1 / (1 + np.exp(-min(max(value, -30), 30))) - label[k])
+            # each step is scaled by the gradients that its own coordinate has seen; pairs learn more slowly, so
+            # that they explain what single terms don't
             step = error * (total - own) + decay * own
             gv[x] += step**2
-            v[x] -= rate * step / np.sqrt(gv[x])
+            v[x] -= pair_rate * step / np.sqrt(gv[x])
             step = error + decay * w[x]
             gw[x] += step**2
             w[x] -= rate * step / np.sqrt(gw[x])
