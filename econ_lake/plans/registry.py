@@ -15,6 +15,7 @@ from econ_lake.plans import lake
 from econ_lake.plans import oracle as O
 from econ_lake.operators.silver import BEA_SILVER_COLUMNS, LINEAGE
 from econ_lake.session import materialise, scratch_path
+from econ_lake.sources import layers
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -894,3 +895,23 @@ def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(stage).alias("stage"), "row_count")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@register("backfill_counts", "WITH " + O.OBT_CTES + """
+SELECT source_name, dataset_id, count(*) AS row_count, count(DISTINCT vintage_tag) AS vintages
+FROM fact_last GROUP BY source_name, dataset_id""")
+def q_backfill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored fact rows per (source, dataset)."""
+    st = _two_loads(spark, sf_dir)
+    return st.fact.join(st.dim_source.select("source_id", "source_name", "dataset_id"), "source_id").groupBy(
+        "source_name", "dataset_id").agg(F.count(F.lit(1)).alias("row_count"),
+                                         F.count_distinct("vintage_id").alias("vintages"))
+
+
+@register("layer_round_trip", ORACLE["silver_bea"])
+def q_layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BEA Silver rows written under Hive-style folders in canonical order, and read back."""
+    rows = lake.bea_silver(spark, sf_dir).select(*LINEAGE, *BEA_SILVER_COLUMNS)
+    path = scratch_path(spark, "silver")
+    layers.write_layer(rows, path)
+    return layers.read_layer(spark, path, rows.schema)

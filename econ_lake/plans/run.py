@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from econ_lake.operators import gold, quality, silver, warehouse
 from econ_lake.operators.tables import Store
 from econ_lake.session import materialise
-from econ_lake.sources import bronze
+from econ_lake.sources import bronze, layers
 from econ_lake.sources.landing import LandingZone
 
 
@@ -38,7 +38,11 @@ def run(spark: SparkSession, raw: DataFrame, catalog: DataFrame, root: str, at:
     _, bad = quality.split_by_verdict(rows, verdicts)
     if not bad.isEmpty():
         bad.withColumn("quarantined_at", F.lit(at).cast("timestamp")).write.mode("append").parquet(f"{root}/quarantine")
-    warehouse.load(store, gold.conformed_observations(good_bea, good_census), at)
+    layers.write_layer(good_bea, f"{root}/silver/bea")
+    layers.write_layer(good_census, f"{root}/silver/census")
+    conformed = gold.conformed_observations(good_bea, good_census)
+    layers.write_layer(conformed, f"{root}/gold")
+    warehouse.load(store, conformed, at)
     loaded = log.join(verdicts.select("run_id", "reason", "ok"), "run_id", "left")
     zone.confirm(loaded.filter("ok"))
     status = F.when(~F.col("changed"), "unchanged").when(F.col("ok"), "loaded").otherwise("quarantined")

@@ -208,3 +208,39 @@ def test_per_capita_population_only(spark):
     obt = serving.obt_annual_latest(warehouse.build_star(c))
     assert serving.per_capita_view(obt).count() == 1
     assert serving.per_capita_view(obt, population_dataset_id=None).count() == 2
+
+
+def test_no_rows_give_typed_empty_frames(spark):
+    cat = catalog_frame(spark, [{"dataset_id": "d", "bea_table_name": "T"}, {"dataset_id": "c", "source": "census"}])
+    raw = spark.createDataFrame([], RAW)
+    conf = gold.conformed_observations(silver.bea_silver(raw, cat), silver.census_silver(raw, cat))
+    assert conf.count() == 0
+    types = dict(conf.dtypes)
+    assert (types["year"], types["pce_value"], types["state_fips"]) == ("int", "double", "string")
+
+
+def test_layer_is_sorted_and_replaces_its_partitions_only(spark, tmpdir_path):
+    from econ_lake.sources import layers
+
+    rows = _bea(spark, [_row(code=c, tp=t) for t in ("2024", "2023") for c in ("SAPCE4-2", "SAPCE4-1")])
+    other = _bea(spark, [_row()], dataset="other")
+    layers.write_layer(other, tmpdir_path + "/s")
+    for _ in range(2):
+        layers.write_layer(rows, tmpdir_path + "/s")
+    got = layers.read_layer(spark, tmpdir_path + "/s", rows.schema)
+    assert got.dtypes == rows.dtypes and got.count() == 5
+    kept = [(r.period_code, r.line_code) for r in got.filter("dataset_id <> 'other'").collect()]
+    assert kept == sorted(kept)
+
+
+def test_combined_csv(spark, tmpdir_path):
+    from econ_lake.operators import analysis
+
+    w = spark.createDataFrame([(y, s, c, 1.0, 0.5, 0.5) for y in range(2019, 2024) for s in ("CA", "TX")
+                               for c in ("Goods",)],
+                              "year int, state_abbrev string, category string, rpp double, pce_share double, "
+                              "weighted_rpp double")
+    analysis.write_combined_csv(w, tmpdir_path + "/csv")
+    back = spark.read.option("header", True).csv(tmpdir_path + "/csv")
+    assert back.columns == analysis.COMBINED_COLUMNS and back.count() == analysis.combined_output(w).count()
+    analysis.assert_study(w)
