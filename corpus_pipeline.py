@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from econ_lake.llm import bpe, decontaminate, exact_dedup, jaccard_join, quality
 from econ_lake.llm.queries import tokenizer_path
-from econ_lake.llm.shared import stored, table
+from econ_lake.llm.shared import release, stored, table, written
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that the last stage gives for ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, first = table(spark, sf_dir, "documents"), written()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        release(spark, first)  # what the stage wrote on its way, and its input
     return docs
 
 

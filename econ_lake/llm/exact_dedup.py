@@ -60,6 +60,12 @@ class DigestIndex:
             return new
         return new.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
 
+    def drop(self) -> None:
+        """Removes the table and its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.location)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def append(self, rows: DataFrame) -> None:
         """Adds the digests that are new.  Rows of older digests count as duplicates of what is there."""
         new = self.unseen(rows).repartition(self.buckets, "digest")

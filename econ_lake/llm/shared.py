@@ -34,9 +34,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: cuts lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def written() -> int:
+    """The number of tables that ``stored`` has written so far and that weren't released."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, first: int) -> None:
+    """Deletes the tables that ``stored`` has written from number ``first`` on, but for the last one."""
+    for path in _WRITTEN[first:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    del _WRITTEN[first:-1]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

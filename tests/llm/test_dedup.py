@@ -111,7 +111,8 @@ def test_index_grows_by_what_is_new(spark, doc_frame, tmpdir_path):
         assert sorted(r.keep_id for r in index.read().collect()) == [2, 3, 11]
         assert index.unseen(new).count() == 0
     finally:
-        spark.sql("drop table if exists digest_index_test")
+        index.drop()
+        assert not index.exists()
 
 
 def test_exact_of_an_empty_table(doc_frame):
