@@ -63,3 +63,19 @@ def test_label_parse_and_json(spark):
     assert rows[4].j == "[]"
     assert rows[5].j == '["A", "B"]'
     assert rows[6].j == '["Say \\"hi\\""]'
+
+
+def test_control_characters_in_labels_stay_valid_json(spark):
+    import json
+
+    label = 'a\x08b\x01c"\\\x0c: d\te'
+    path = X.label_path(F.col("x"))
+    got = spark.createDataFrame([(label,)], "x string").select(X.json_text_list(path).alias("j")).first().j
+    assert json.loads(got) == ['a\x08b\x01c"\\', "d\te"]
+    assert "\\u0001" in got and "\\b" in got
+
+
+def test_year_and_strip_edges(spark):
+    assert _one(spark, X.parse_year, "2023") == 2023 and _one(spark, X.parse_year, "2023.0") == 2023
+    assert _one(spark, X.parse_year, "2023.7") is None
+    assert _one(spark, X.strip, "\x1c a\x1f\n") == "a"
