@@ -24,6 +24,8 @@ WINDOW = 13
 GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: So many windows (13 words each, some 200 bytes) are broadcast at once; more are taken in blocks of this size.
 WINDOWS_AT_ONCE = 200_000
+#: So many distinct words of items are broadcast to count them; more are joined by shuffling the words alone.
+WORDS_AT_ONCE = 500_000
 #: Closes the word list of each document, so that its row survives the join and tells the number of words.
 CLOSE = " end"
 
@@ -44,9 +46,12 @@ def windows(benchmark: DataFrame, size: int) -> DataFrame:
 
 def with_prefix(wins: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds the necessary prefix of each window: its rarest word in all documents, and the word's offset."""
-    vocabulary = wins.select(F.explode("w").alias("word")).distinct()
-    seen = (docs.select(F.explode(words(F.col("text"))).alias("word"))
-            .join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    vocabulary = stored(wins.select(F.explode("w").alias("word")).distinct(), "vocabulary")
+    if vocabulary.count() <= WORDS_AT_ONCE:
+        vocabulary = F.broadcast(vocabulary)
+    # written, so that its size is known: the planner broadcasts it, or splits what a frequent word joins
+    seen = stored(docs.select(F.explode(words(F.col("text"))).alias("word"))
+                  .join(vocabulary, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n")), "seen")
     ranked = (wins.select("wid", F.posexplode("w").alias("offset", "word")).join(seen, "word", "left")
               .groupBy("wid").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "word")).alias("p")))
     # a window with a word that no document has occurs nowhere

@@ -48,6 +48,7 @@ def benchmark_of(corpus):
 @pytest.mark.parametrize("at_once", [1_000_000, 7])
 def test_hits_like_brute_force(spark, doc_frame, corpus, monkeypatch, at_once):
     monkeypatch.setattr(decontaminate, "WINDOWS_AT_ONCE", at_once)
+    monkeypatch.setattr(decontaminate, "WORDS_AT_ONCE", at_once)
     size = 13 if at_once > 7 else 30
     pairs = [*corpus, (3, "one ONE"), (3, "one ONE"), (None, "one")]
     items = benchmark_of(corpus) if at_once > 7 else benchmark_of(corpus)[:6]
