@@ -61,20 +61,24 @@ def assemble(roles: list[str], texts: list[str], path: str) -> tuple[np.ndarray,
     """ids, loss mask and row offsets of turns laid end to end."""
     t = tokenizer(path)
     turn, begin, end = (t.get_vocab_size() + k for k in range(3))
-    role_ids = [e.ids for e in t.encode_batch([escape(r) for r in roles], add_special_tokens=False)]
-    text_ids = [e.ids for e in t.encode_batch([escape(x) for x in texts], add_special_tokens=False)]
+    known = sorted(set(roles))  # a few
+    role_ids = {r: e.ids for r, e in zip(known, t.encode_batch(list(map(escape, known)), add_special_tokens=False),
+                                         strict=True)}
+    text_ids = [e.ids for e in t.encode_batch(list(map(escape, texts)), add_special_tokens=False)]
     ids: list[int] = []
-    at, change = [0], []
-    for role, r, x in zip(roles, role_ids, text_ids, strict=True):
-        ids += [turn, *r, begin, *x, end]
+    at, opens, closes = [0], [], []
+    for role, x in zip(roles, text_ids, strict=True):
+        ids += [turn, *role_ids[role], begin]
         if role == "assistant":
-            change.append((len(ids) - 1 - len(x), len(ids) - 1))
+            opens.append(len(ids))
+            closes.append(len(ids) + len(x))
+        ids += x
+        ids.append(end)
         at.append(len(ids))
-    step = np.zeros(len(ids) + 1, np.int8)
-    for first, last in change:
-        step[first] += 1
-        step[last] -= 1
-    return np.array(ids, np.int32), np.cumsum(step[:-1], dtype=np.int8) > 0, np.array(at, np.int32)
+    step = np.zeros(len(ids) + 1, np.int32)
+    np.add.at(step, opens, 1)
+    np.subtract.at(step, closes, 1)
+    return np.array(ids, np.int32), np.cumsum(step[:-1]) > 0, np.array(at, np.int32)
 
 
 def format_turns(conversations: DataFrame, path: str) -> DataFrame:
@@ -94,6 +98,12 @@ def format_turns(conversations: DataFrame, path: str) -> DataFrame:
         run, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, ids array<int>, loss_mask array<boolean>")
 
 
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column end to end, and the n+1 offsets of its rows."""
+    at = column.offsets.to_numpy()
+    return column.values.slice(at[0], at[-1] - at[0]).to_numpy(zero_copy_only=False), at - at[0]
+
+
 def read_back(turns: DataFrame, path: str) -> DataFrame:
     """conv_id, turn, role, text, loss_text, formatted: taken from ids and loss_mask alone."""
 
@@ -101,16 +111,26 @@ def read_back(turns: DataFrame, path: str) -> DataFrame:
         t = tokenizer(path)
         size = t.get_vocab_size()
         for batch in batches:
-            spans, masked = [], []
-            for ids, mask in zip(batch.column("ids").to_pylist(), batch.column("loss_mask").to_pylist(), strict=True):
-                cut = [k for k, i in enumerate(ids) if i >= size]
-                if [ids[k] - size for k in cut] != [0, 1, 2] or cut[0] != 0 or cut[2] != len(ids) - 1:
-                    raise ValueError("not the ids of a turn")
-                spans += [ids[1:cut[1]], ids[cut[1] + 1:cut[2]]]
-                masked.append([i for i, m in zip(ids, mask, strict=True) if m])
-            got = t.decode_batch(spans, skip_special_tokens=False) if spans else []
-            loss = t.decode_batch(masked, skip_special_tokens=False) if masked else []
-            role, text = got[::2], got[1::2]
+            ids, at = _flat(batch.column("ids"))
+            mask, _ = _flat(batch.column("loss_mask"))
+            marks = np.flatnonzero(ids >= size)
+            turns = marks.reshape(-1, 3) if len(marks) == 3 * batch.num_rows else None
+            if turns is None or (ids[turns] != [size, size + 1, size + 2]).any() or (
+                    turns[:, 0] != at[:-1]).any() or (turns[:, 2] + 1 != at[1:]).any():
+                raise ValueError("not the ids of turns")
+            cuts = turns.tolist()
+            heads = [tuple(ids[a + 1:b].tolist()) for a, b, _ in cuts]
+            known = {h: t.decode(list(h), skip_special_tokens=False) for h in set(heads)}
+            role = [known[h] for h in heads]
+            text = t.decode_batch([ids[b + 1:c].tolist() for _, b, c in cuts], skip_special_tokens=False)
+            # what the mask covers of each row, whatever that is
+            loss_at = np.concatenate([[0], np.cumsum(mask)])[at].tolist()
+            masked = ids[mask].tolist()
+            some = [k for k in range(len(cuts)) if loss_at[k + 1] > loss_at[k]]
+            loss = [""] * len(cuts)
+            for k, told in zip(some, t.decode_batch([masked[loss_at[k]:loss_at[k + 1]] for k in some],
+                                                    skip_special_tokens=False), strict=True):
+                loss[k] = told
             yield pa.RecordBatch.from_arrays(
                 [batch.column("conv_id"), batch.column("turn")] + [pa.array(x, pa.string()) for x in (
                     list(map(unescape, role)), list(map(unescape, text)), list(map(unescape, loss)),
