@@ -86,6 +86,14 @@ class SuffixAutomaton:
             at = link[at]
         return new
 
+    def holds(self, sequence: list[int]) -> bool:
+        """Whether the sequence occurs as a whole in one of those added."""
+        state = 0
+        for symbol in sequence:
+            if (state := self.next[state].get(symbol)) is None:
+                return False
+        return True
+
     def spans(self, sequence: list[int], least: int) -> list[tuple[int, int]]:
         """The maximal spans of the sequence that occur in what was added and are of ``least`` symbols or more."""
         follow, link, length = self.next, self.link, self.length
@@ -225,7 +233,8 @@ def along_automata(rows: DataFrame, length: int) -> DataFrame:
                     row.append(k)
                     at.append(first + a)
                     end.append(first + b)
-                if found != [(0, len(sequence))]:
+                # spans that overlap are one: covered as a whole, a run can still have new windows across a seam
+                if found != [(0, len(sequence))] or not automaton.holds(sequence):
                     automaton.add(sequence)
                     size += len(sequence)
             rows = pa.array(row, pa.int64())

@@ -47,6 +47,17 @@ def test_hot_anchors_are_split_by_windows(doc_frame, corpus):
     assert run_substrings(doc_frame(corpus), hot_runs=1) == brute_substrings(corpus)
 
 
+def test_windows_across_a_seam_are_references(doc_frame):
+    pairs = []
+    for seed in range(12):  # other words, so other anchors
+        c = [f"s{seed}c{k}" for k in range(22)]
+        for text in (c[:20] + [f"x{seed}"], [f"y{seed}"] + c[2:], c, [f"z{seed}"] + c[1:21] + [f"w{seed}"]):
+            pairs.append((len(pairs), " ".join(text)))
+    want = brute_substrings(pairs)
+    assert all(n == 20 for i, _, n, _ in want if i % 4 == 3)
+    assert run_substrings(doc_frame(pairs)) == want
+
+
 def test_substrings_of_odd_tables(doc_frame):
     assert run_substrings(doc_frame([])) == {}
     long = " ".join(f"x{k}" for k in range(30_000))
@@ -71,6 +82,15 @@ def test_automaton_spans():
         assert got == {k + j for k in range(len(sequence) - 1) if tuple(sequence[k:k + 2]) in grams for j in (0, 1)}
 
 
+def test_automaton_holds_what_occurs_in_one_sequence():
+    automaton = substring_dedup.SuffixAutomaton()
+    automaton.add([1, 2, 3, 4])
+    automaton.add([3, 4, 5, 6])
+    assert automaton.spans([1, 2, 3, 4, 5, 6], 2) == [(0, 6)]
+    assert not automaton.holds([1, 2, 3, 4, 5, 6])
+    assert automaton.holds([2, 3, 4]) and automaton.holds([4, 5, 6])
+
+
 # ------------------------------------------------------------------ exact
 
 
