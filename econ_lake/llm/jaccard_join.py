@@ -456,12 +456,10 @@ def similar_groups(docs: DataFrame, group: int = GROUP) -> DataFrame:
     key = ["n", "s1", "s2"]
     nodes = stored(sets.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("doc_id"),
                                                           F.first("bits").alias("bits")), "nodes")
-    # copies of a set add nothing to the index; where they are too many to be named, they are found there
+    # copies of a set add nothing to the index
     copies = stored(sets.join(nodes.select(*key, F.col("doc_id").alias("least")), key).filter("doc_id <> least")
                     .select("doc_id"), "copies")
-    indexed = docs
-    if copies.count() <= BROADCAST_ROWS:
-        indexed = docs.join(F.broadcast(copies), "doc_id", "left_anti")
+    indexed = docs.join(at_hand(copies), "doc_id", "left_anti")
     found = stored(_candidates(_entry_rows(indexed, cost), group), "candidates")
     large = found.filter("entry is not null").select("entry", "a", "n").distinct()
     pairs = found.filter("entry is null").select("a", "b").unionByName(_hub_pairs(large)).distinct()

@@ -204,6 +204,21 @@ def test_large_entries_lose_no_link(doc_frame, corpus):
     assert run_groups(doc_frame(pairs), group=1) == brute_groups(pairs)
 
 
+def test_copies_stay_out_of_the_index_at_any_size(doc_frame, monkeypatch):
+    pairs = [*((k, "one text of which there are many copies here") for k in range(40)),
+             *((100 + i, t) for i, t in near_copies())]
+    seen, entry_rows = [], jaccard_join._entry_rows
+
+    def spy(docs, cost):
+        seen.append(docs.count())
+        return entry_rows(docs, cost)
+
+    monkeypatch.setattr(jaccard_join, "_entry_rows", spy)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    assert run_groups(doc_frame(pairs)) == brute_groups(pairs)
+    assert seen[0] <= len(pairs) - 39
+
+
 def test_groups_of_odd_tables(doc_frame):
     assert run_groups(doc_frame([])) == set()
     pairs = [(1, None), (2, ""), (3, "one two"), (4, "ONE two"), (4, "one two"), (5, "one two three")]
