@@ -2,7 +2,7 @@
 
 1. quality classifier: documents that it rejects go; 2. exact dedup: one of each group of equal texts stays;
 3. n-gram Jaccard join: one of each group of near copies stays; 4. benchmark decontamination: contaminated
-documents go; 5. BPE encoding and decoding: the token ids of each document that is left.
+documents go; 5. BPE encoding and decoding: the token ids of each document that is left, and the text that they give.
 
 All stages but the last return the columns of their input, whatever these are.
 """
@@ -33,8 +33,8 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The columns of documents, n_tokens and ids."""
-    return bpe.encode(docs, tokenizer_path(spark, "word_bpe_49k.json"), decoded=False)
+    """The columns of documents, n_tokens, ids and the text decoded from the ids."""
+    return bpe.encode(docs, tokenizer_path(spark, "word_bpe_49k.json"))
 
 
 STAGES = [

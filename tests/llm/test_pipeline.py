@@ -78,6 +78,22 @@ def test_stages_like_brute_force(spark, tmpdir_path):
     assert all(r.n_tokens == len(r.ids) for r in rows)
 
 
+def test_last_stage_decodes_like_the_library(spark, tmpdir_path):
+    import corpus_pipeline as C
+    from tokenizers import Tokenizer
+
+    from econ_lake.llm.queries import tokenizer_path
+
+    texts = ["Two  words", "", "don't <|endoftext|> ΑΣ 😀", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library = Tokenizer.from_file(tokenizer_path(spark, "word_bpe_49k.json"))
+    rows = dict(C.STAGES)["bpe"](spark, docs, tmpdir_path).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert (r.ids, r.decoded) == (ids, library.decode(ids, skip_special_tokens=False))
+
+
 def test_pipeline_of_empty_tables(spark, tmpdir_path):
     import corpus_pipeline as C
 
