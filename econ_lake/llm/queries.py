@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from econ_lake.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, quality, sharding, substring_dedup, token_counts, toxicity
+from econ_lake.llm import (
+    bpe,
+    centroids,
+    chat,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    markov,
+    quality,
+    resampling,
+    sharding,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from econ_lake.llm.shared import table
 
 
@@ -72,8 +86,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_token_counts, op4_quality, op5_decontaminate, op6_sharding, op7_chat,
-                                   op8_exact_dedup, op9_jaccard_join, op10_toxicity)}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all embeddings after five rounds of k-means on integers."""
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under a hidden Markov model, and under counts of single words."""
+    return markov.score(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A draw from all documents, weighted towards the benchmark's words."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_bpe, op3_token_counts, op4_quality, op5_decontaminate, op6_sharding, op7_chat,
+    op8_exact_dedup, op9_jaccard_join, op10_toxicity, op11_centroid_clustering, op12_markov_scores,
+    op13_importance_resampling)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -170,3 +201,79 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
 from t window w as (partition by text_sha256)
 """,
 }
+
+
+def _kmeans_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """Rounds of assignment and floored means, one after the other."""
+    apart = "list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    parts = ["""v as materialized (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings where len(embedding) = 64
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+)""", f"""c0 as materialized (
+  select row_number() over (order by sha256('2:' || vec_id)) - 1 as c, v from v
+  order by sha256('2:' || vec_id) limit {clusters}
+)"""]
+    for k in range(rounds + 1):
+        parts.append(f"""a{k} as materialized (
+  select vec_id, v.v as v, min(({apart}, c)) as best from v, c{k} as c group by vec_id, v.v
+)""")
+        if k < rounds:
+            parts.append(f"""m{k} as materialized (
+  select c, list((s - ((s % n) + n) % n) // n order by i) as v from (
+    select best[2] as c, i, cast(sum(v[i]) as bigint) as s, count(*) as n
+    from a{k}, unnest(range(1, 65)) as r(i) group by best[2], i) group by c
+), c{k + 1} as materialized (
+  select c{k}.c, coalesce(m{k}.v, c{k}.v) as v from c{k} left join m{k} on m{k}.c = c{k}.c
+)""")
+    return "with " + ", ".join(parts) + f"""
+select vec_id, cast(best[2] as integer) as "cluster", cast(best[1] as bigint) as distance,
+       cast(sum(best[1]) over (partition by best[2]) as bigint) as cluster_inertia,
+       cast(sum(best[1]) over () as bigint) as inertia, sha256(array_to_string(c.v, ',')) as centroid_sha256
+from a{rounds} join c{rounds} as c on c.c = best[2]
+"""
+
+
+_WORDS = f"list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+
+ORACLE["op11_centroid_clustering"] = _kmeans_sql()
+# the checksum: each byte is added to the register and moved out by eight steps (the -1 entries)
+ORACLE["op13_importance_resampling"] = f"""
+with d as (
+  select doc_id, row_number() over () as nth, {_WORDS} as w from documents
+), b as (
+  select unnest({_WORDS}) as word from benchmark
+), f as (
+  select doc_id, nth, unnest(w) as word from d
+), bits as (
+  select word, flatten(list_transform(range(1, cast(length(x) / 2 as bigint) + 1), lambda i:
+    list_concat([cast(('0x' || x[2 * i - 1:2 * i]) as bigint)], [-1, -1, -1, -1, -1, -1, -1, -1]))) as steps
+  from (select word, hex(encode(word)) as x from (select word from f union select word from b))
+), crc as materialized (
+  select word, xor(list_reduce(list_concat([cast(4294967295 as bigint)], steps), lambda a, x:
+    case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295) % 10000
+    as bucket from bits
+), s as (
+  select bucket, count(*) as n from f join crc using (word) group by bucket
+), t as (
+  select bucket, count(*) as n from b join crc using (word) group by bucket
+), gain as (
+  select bucket, cast(floor(1000 * ln((cast(coalesce(t.n, 0) + 1 as double)
+      * cast((select count(*) from f) + 10000 as double)) / (cast(s.n + 1 as double)
+      * cast((select count(*) from b) + 10000 as double)))) as bigint) as g
+  from s left join t using (bucket)
+), weight as (
+  select nth, cast(sum(g) as bigint) as weight from f join crc using (word) join gain using (bucket) group by nth
+), scored as (
+  select doc_id, len(w) as n, coalesce(weight, 0) as weight, coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+      (cast(cast(('0x' || sha256('2024:' || doc_id)[1:8]) as bigint) as double) + 0.5) / 4294967296))) as bigint)
+      as score
+  from d left join weight using (nth)
+), ranked as (
+  select *, row_number() over (order by n < 20, score desc, doc_id) as place from scored
+)
+select doc_id, cast(n as bigint) as n_features, weight, score,
+       case when place <= 10 * (select count(*) from scored where n >= 20) // 100 then place end as rank,
+       cast(n as bigint) as n_words
+from ranked
+"""
