@@ -123,7 +123,8 @@ def sequences(docs: DataFrame, base: Base) -> DataFrame:
             symbol = np.where(listed, base.symbol[place], -1) if len(base.h) else np.full(len(h), -1)
             seq = np.where(symbol >= 0, symbol, base.other).astype("<u2")
             n = np.bincount(row[listed], minlength=part.num_rows)
-            log = np.bincount(row[listed], weights=logs[place[listed]], minlength=part.num_rows)
+            log = np.bincount(row[listed], weights=logs[place[listed]] if len(logs) else None,
+                              minlength=part.num_rows).astype(float)
             # the other words: per row, each once
             order = np.lexsort((h[~listed], row[~listed]))
             r, w = row[~listed][order], h[~listed][order]
