@@ -127,11 +127,17 @@ def _json_escape(x: Column) -> Column:
     x = F.replace(x, F.lit("\r"), F.lit("\\r"))
     x = F.replace(x, F.lit("\b"), F.lit("\\b"))
     x = F.replace(x, F.lit("\f"), F.lit("\\f"))
-    # the other control characters, which labels hardly ever hold, as \u00XX
-    rest = F.split(x, "")
-    coded = F.array_join(F.transform(rest, lambda c: F.when(
-        F.ascii(c) < 32, F.concat(F.lit("\\u00"), F.lower(F.lpad(F.hex(F.ascii(c)), 2, "0")))).otherwise(c)), "")
-    return F.when(x.rlike(r"[\x00-\x1F]"), coded).otherwise(x)
+    # all else outside of printable ASCII as \uXXXX, beyond the basic plane as a pair of surrogates
+    def coded(c: Column) -> Column:
+        point = F.ascii(c)
+        over = point - 0x10000
+        pair = F.format_string("\\u%04x\\u%04x", F.lit(0xD800) + F.shiftright(over, 10),
+                               F.lit(0xDC00) + over.bitwiseAND(F.lit(0x3FF)))
+        return F.when((point >= 32) & (point < 127), c).when(point < 0x10000, F.format_string("\\u%04x", point)
+                                                             ).otherwise(pair)
+
+    plain = F.array_join(F.transform(F.filter(F.split(x, ""), lambda c: c != ""), coded), "")
+    return F.when(x.rlike(r"[^\x20-\x7E]"), plain).otherwise(x)
 
 
 def json_text_list(path: Column) -> Column:

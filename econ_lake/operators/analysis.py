@@ -8,12 +8,13 @@ Sums are plain sums; nothing is rounded before a gate or a report has seen it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from econ_lake.functions import exprs as X
 from econ_lake.functions import lookups as L
-from econ_lake.operators.serving import subset_level
+from econ_lake.operators.serving import WEIGHTED, subset_level
 
 NATIONAL = L.SCENARIO_ORDER[0]
 
@@ -200,9 +201,30 @@ def combined_output(weighted: DataFrame) -> DataFrame:
     return out.withColumns({"latest_year": last, "year": year}).select(*COMBINED_COLUMNS)
 
 
-def write_combined_csv(weighted: DataFrame, path: str) -> None:
-    """The combined output as CSV part files with a header."""
-    combined_output(weighted).write.mode("overwrite").option("header", True).csv(path)
+def write_combined_csv(combined: DataFrame, path: str) -> None:
+    """The combined output as CSV part files with a header; NULL is an empty field, an empty text is quoted."""
+    combined.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", '""').csv(path)
+
+
+def read_combined_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The written rows with their types; a file with other columns, or a field of another type, is refused."""
+    quoted = "\u0001"  # stands for a quoted empty text, which else reads as an empty field does
+    rows = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+            .option("nullValue", "").option("emptyValue", quoted).csv(path))
+    return rows.withColumns({f.name: F.when(F.col(f.name) == quoted, "").otherwise(F.col(f.name))
+                             for f in schema if isinstance(f.dataType, T.StringType)})
+
+
+def chart_rows(weighted: DataFrame) -> DataFrame:
+    """What the charts show, a row per point: the scenarios' differences from the national level by category, and
+    the target states' levels by year."""
+    scenario = scenarios_frame_form(weighted).filter(F.col("scenario") != NATIONAL).select(
+        F.lit("scenario_difference").alias("chart"), F.col("scenario").alias("line"), F.col("category").alias("panel"),
+        F.lit(None).cast("int").alias("x"), F.col("difference_from_national").alias("y"))
+    trend = trend_rows(weighted).select(
+        F.lit("state_trend").alias("chart"), F.col("state_abbrev").alias("line"), F.col("category").alias("panel"),
+        F.col("year").cast("int").alias("x"), F.col("rpp").alias("y"))
+    return scenario.unionByName(trend)
 
 
 def largest_drop(weighted: DataFrame) -> DataFrame:
@@ -231,3 +253,49 @@ def formatted_scenarios(weighted: DataFrame) -> DataFrame:
         F.format_string("%+.4f%%", "pct_change_from_national").alias("pct_change_text"),
         F.format_string("%.4f", F.col("share_sum") * F.lit(100.0)).alias("share_pct_text"),
     )
+
+
+# --- S13: parameterised reads of the registered views ------------------------
+
+LATEST_YEAR_SQL = f"SELECT max(year) AS latest_year FROM {WEIGHTED}"
+LATEST_ROWS_SQL = f"""
+SELECT year, state_abbrev, category, rpp, pce_share, weighted_rpp FROM {WEIGHTED} WHERE year = :year"""
+TREND_SQL = f"""
+SELECT state_abbrev, category, year, rpp FROM {WEIGHTED}
+WHERE array_contains(:states, state_abbrev) AND year BETWEEN :last_year - (:years - 1) AND :last_year"""
+LEVELS_SQL = f"""
+SELECT category, :scenario AS scenario, sum(pce_share) AS share_sum,
+       CASE WHEN :whole THEN sum(weighted_rpp) ELSE sum(weighted_rpp) / nullif(sum(pce_share), 0) END
+         AS rpp_level
+FROM {WEIGHTED} WHERE year = :year AND NOT array_contains(:excluded, state_abbrev) GROUP BY category"""
+
+
+def sql_latest_year(spark: SparkSession) -> int:
+    """A1 from the registered view."""
+    return spark.sql(LATEST_YEAR_SQL).first().latest_year
+
+
+def sql_latest_rows(spark: SparkSession, year: int) -> DataFrame:
+    """A2 from the registered view."""
+    return spark.sql(LATEST_ROWS_SQL, args={"year": year})
+
+
+def sql_trend_rows(spark: SparkSession, last_year: int, states=L.TARGET_STATES, years: int = 5) -> DataFrame:
+    """A3 from the registered view."""
+    return spark.sql(TREND_SQL, args={"states": F.array(*map(F.lit, states)), "last_year": last_year, "years": years})
+
+
+def sql_scenarios(spark: SparkSession, year: int) -> DataFrame:
+    """A5 from the registered view: a parameterised read per scenario, each against the national level."""
+    out = None
+    for name in L.SCENARIO_ORDER:
+        excluded = L.SCENARIO_EXCLUSIONS[name] or ("",)
+        one = spark.sql(LEVELS_SQL, args={"scenario": name, "year": year, "whole": not L.SCENARIO_EXCLUSIONS[name],
+                                          "excluded": F.array(*map(F.lit, excluded))})
+        out = one if out is None else out.unionByName(one)
+    national = out.filter(F.col("scenario") == NATIONAL).select("category", F.col("rpp_level").alias("_national"))
+    ratio = X.safe_ratio(F.col("rpp_level"), F.col("_national"))
+    return out.join(national, "category").select(
+        "category", "scenario", "rpp_level", "share_sum",
+        (F.col("rpp_level") - F.col("_national")).alias("difference_from_national"),
+        ((ratio - F.lit(1)) * F.lit(100.0)).alias("pct_change_from_national"))

@@ -61,9 +61,9 @@ PAYLOAD = ["dataset_id", "run_id"]
 
 
 def payload_verdicts(log: DataFrame, raw: DataFrame, catalog: DataFrame, bea: DataFrame, census: DataFrame) -> DataFrame:
-    """Per landed payload whether it may be loaded, and what speaks against it.
+    """Per landed payload whether it may be loaded, and what speaks against it.
 
-    ``log`` has a row per payload, also those without any data row.
+    ``log`` has a row per payload, also those without any data row, and the problem of its envelope (if any).
     """
     from econ_lake.operators.silver import census_variable_report
     from econ_lake.sources.bronze import frequency_gate
@@ -73,10 +73,11 @@ def payload_verdicts(log: DataFrame, raw: DataFrame, catalog: DataFrame, bea: Da
     frequency = frequency_gate(raw.filter(F.col("source") == "bea"), catalog).select(
         *PAYLOAD, F.col("ok").alias("frequency_ok"))
     variable = census_variable_report(raw, catalog).select(*PAYLOAD, "variable_present")
-    all_in = (log.select(*PAYLOAD, "row_count").join(silver, PAYLOAD, "left").join(frequency, PAYLOAD, "left")
+    all_in = (log.select(*PAYLOAD, "row_count", "problem").join(silver, PAYLOAD, "left").join(frequency, PAYLOAD, "left")
               .join(variable, PAYLOAD, "left"))
     reasons = F.filter(F.array(
-        F.when(F.col("row_count") == 0, "no rows"),
+        F.col("problem"),
+        F.when((F.col("row_count") == 0) & F.col("problem").isNull(), "no rows"),
         F.when((F.col("row_count") > 0) & F.col("has_silver").isNull(), "no typed rows"),
         F.when(F.col("null_required") > 0, "required value missing"),
         F.when(F.col("duplicate_keys") > 0, "duplicate key"),

@@ -8,6 +8,8 @@ is read several times by V7-V11, so it is stored once first (X4,
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ from econ_lake.functions import lookups as L
 from econ_lake.operators.warehouse import Star
 from econ_lake.session import materialise
 
+# The names of the views that others are made from.
+WIDE, WEIGHTED = "obt_state_macro_annual_latest", "v_state_rpp_pce_weighted_annual"
+#: Tasks that write the kept wide table's rows of a dataset, at most.
+WIDE_TASKS = 64
+
 # The names of the published output columns.
 OBT_COLUMNS = [
     "source_name", "dataset_id", "bea_table_name", "state_fips", "state_abbrev", "geo_name", "year",
@@ -252,16 +259,38 @@ def subset_level(weighted: DataFrame, keep: "F.Column | None" = None,
 
 def register_views(spark: SparkSession, star: Star,
                    population_dataset_id: str | None = L.POPULATION_DATASET) -> dict[str, DataFrame]:
-    """(re)create every view, dependencies first, over the stored wide table."""
+    """Drops every view, dependants first, and creates them again over the stored wide table."""
     obt = materialise_wide_table(star)
     views = {
-        "obt_state_macro_annual_latest": obt,
-        "v_state_rpp_pce_weighted_annual": weighted_view(obt),
+        WIDE: obt,
+        WEIGHTED: weighted_view(obt),
         "v_macro_yoy": yoy_view_window(obt),
         "v_pce_state_per_capita_annual": per_capita_view(obt, population_dataset_id),
         "v_state_federal_to_stategov_gdp_annual": federal_to_stategov_gdp(obt),
         "v_state_federal_to_persons_gdp_annual": federal_to_persons_gdp(obt),
     }
+    for name in reversed(views):
+        spark.catalog.dropTempView(name)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views
+
+
+# --- X4: the wide table kept between loads -----------------------------------
+
+def refresh_wide_table(spark: SparkSession, path: str, star: Star, datasets: list[str]) -> None:
+    """Rewrites the partitions of the loaded datasets; files of the others stay as they are.
+
+    A row of V1 belongs to one dataset and follows from that dataset's facts and dimensions alone, so the kept table
+    equals a full build.  The facts of other datasets aren't joined.
+    """
+    sources = star.dim_source.filter(F.col("dataset_id").isin(datasets))
+    touched = star.fact.join(F.broadcast(sources.select("source_id")), "source_id", "left_semi")  # a row per table
+    rows = obt_annual_latest(replace(star, fact=touched, dim_source=sources))
+    (rows.repartition("dataset_id", F.pmod(F.xxhash64("state_fips", "series_code"), F.lit(WIDE_TASKS)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset_id").parquet(path))
+
+
+def read_wide_table(spark: SparkSession, path: str) -> DataFrame:
+    """The kept wide table, in the order of its published columns."""
+    return spark.read.parquet(path).select(*OBT_COLUMNS)

@@ -1,171 +1,170 @@
-"""A store of Parquet tables with keyed upserts by partition.
+"""Keyed merges into Spark's own tables.
 
-A table is a set of partitions (by one id column, or a single one).  An upsert
-reads and rewrites only the partitions that its rows touch; the others stay
-where they are.  Nothing is visible before ``Load.commit``, which publishes all
-tables of a load by one small commit file, created exclusively: a load that
-began before another one was published is refused.
+A table is a partitioned Parquet table of the session's catalog, its files under ``<root>/<table>``; large ones are
+bucketed and sorted by their key as well.  A merge is a DataFrame job: the partitions that the updates touch, without
+the updated keys (an anti-join that leaves a bucketed side where it is), and the updates; the result replaces these
+partitions by dynamic partition overwrite, which moves staged files into place when the job is done.  The same merge
+again gives the same table, so a load that failed half way is simply run again.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from dataclasses import dataclass, field
+import hashlib
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PART = "_part"
+from econ_lake.session import materialise
 
+#: The partition column of tables that have a single partition.
+ONE = "_part"
+BUCKETS = 8
 
-class StaleLoad(RuntimeError):
-    """Another load was published since this one began."""
+_MERGE_CONF = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # buckets by a part of the join key are enough: the partition column is in the key, but not in the buckets
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # a task reads a bucket, and so writes files of one bucket only
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+}
 
 
-@dataclass
-class Snapshot:
-    """The published state: per table its schema and the folder of each partition."""
+@contextmanager
+def _settings(spark: SparkSession):
+    before = {k: spark.conf.get(k, None) for k in _MERGE_CONF}
+    for k, v in _MERGE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-    seq: int = 0
-    tables: dict[str, dict] = field(default_factory=dict)
 
+def _folder(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
+
+
+class Tables:
+    """The tables below one folder."""
 
-class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._prefix = f"econ_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}"
+
+    def name(self, table: str) -> str:
+        return f"{self._prefix}_{table}"
+
+    def location(self, table: str) -> str:
+        return f"{self.root}/{table}"
 
-    def _hadoop(self, path: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def snapshot(self) -> Snapshot:
-        """The last published state.  Only a folder that doesn't exist yet counts as a new store."""
-        fs, folder = self._hadoop(f"{self.root}/_commits")
-        if not fs.exists(folder):
-            return Snapshot()
-        names = sorted(s.getPath().getName() for s in fs.listStatus(folder)
-                       if s.getPath().getName().endswith(".json"))
-        if not names:
-            return Snapshot()
-        text = self.spark.read.text(f"{self.root}/_commits/{names[-1]}", wholetext=True).first()[0]
-        return Snapshot(int(names[-1].split(".")[0]), json.loads(text))
-
-    def read(self, table: str, parts: list[str] | None = None, snapshot: Snapshot | None = None) -> DataFrame | None:
-        """A table, or some of its partitions; None where it doesn't exist."""
-        entry = (snapshot or self.snapshot()).tables.get(table)
-        if entry is None:
-            return None
-        schema = T.StructType.fromJson(entry["schema"])
-        paths = [p for k, p in entry["parts"].items() if parts is None or k in parts]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p}" for p in paths])
-
-    def begin(self) -> Load:
-        return Load(self, self.snapshot())
-
-
-def _merged_schema(old: T.StructType, new: T.StructType, table: str) -> T.StructType:
-    """The old columns, then the new ones; a column must keep its type."""
-    types = {f.name: f.dataType for f in old}
-    for f in new:
-        if types.get(f.name, f.dataType) != f.dataType:
-            raise ValueError(f"{table}.{f.name} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
-    return T.StructType([T.StructField(f.name, f.dataType) for f in old]
-                        + [T.StructField(f.name, f.dataType) for f in new if f.name not in types])
-
-
-class Load:
-    """One load: changes of any number of tables, published together."""
-
-    def __init__(self, store: Store, base: Snapshot):
-        self.store, self.base = store, base
-        self.tables = dict(base.tables)
-        self._run = uuid.uuid4().hex[:8]
-
-    def read(self, table: str, parts: list[str] | None = None) -> DataFrame | None:
-        """The table as this load has it so far."""
-        return self.store.read(table, parts, Snapshot(self.base.seq, self.tables))
-
-    def upsert(self, table: str, updates: DataFrame, key: list[str], part: str | None = None,
-               keep: list[str] | None = None, defaults: dict | None = None) -> None:
+    # ------------------------------------------------------------- reading
+
+    def read(self, table: str) -> DataFrame | None:
+        """A table; None where nothing was ever merged.  Files written before a column was added have its default."""
+        stored = self._stored(table)
+        return stored.drop(ONE) if stored is not None else None
+
+    def _stored(self, table: str) -> DataFrame | None:
+        if self.spark.catalog.tableExists(self.name(table)):
+            return self.spark.table(self.name(table))
+        if exists(self.spark, self.location(table)):  # written by another session
+            return self.spark.read.option("mergeSchema", True).parquet(self.location(table))
+        return None
+
+    # ------------------------------------------------------------- writing
+
+    def merged(self, table: str, updates: DataFrame, key: list[str], part: str, keep: list[str] | None = None
+               ) -> DataFrame:
+        """The touched partitions after the merge: rows of ``updates`` replace those of the same key.
+
+        The updates alone are shuffled, to the buckets of their key.
+        """
+        old = self.spark.table(self.name(table)).filter(F.col(part).isin(self._values(updates, part)))
+        if keep:
+            known = old.select(*key, *[F.col(c).alias(f"_old_{c}") for c in keep], F.lit(True).alias("_known"))
+            updates = updates.join(known, key, "left").withColumns(
+                {c: F.when(F.col("_known"), F.col(f"_old_{c}")).otherwise(F.col(c)) for c in keep}
+            ).drop("_known", *[f"_old_{c}" for c in keep])
+        if part != ONE:
+            updates = updates.repartition(BUCKETS, *[k for k in key if k != part])
+        return old.join(updates.select(*key), key, "left_anti").unionByName(updates, allowMissingColumns=True)
+
+    def merge(self, table: str, updates: DataFrame, key: list[str], part: str = ONE, keep: list[str] | None = None,
+              defaults: dict | None = None) -> None:
         """Rows of ``updates`` replace those of the same key; other rows stay.
 
-        ``part`` is an id column that follows from the key; only the partitions
-        that the updates touch are read and rewritten.  Columns in ``keep`` retain
-        the stored value of an existing key.  Columns that only one side has are
-        kept too (W16): NULL, or ``defaults``, for the rows of the other.
+        ``part`` is a column that follows from the key; only the partitions that the updates touch are read and
+        rewritten.  Columns in ``keep`` retain the stored value of an existing key.  New columns are added to the
+        table first (W16): NULL, or ``defaults``, for the rows that lack them.
         """
+        updates = materialise(updates.withColumn(ONE, F.lit(0)) if part == ONE else updates, f"merge-{table}")
         twice = updates.groupBy(*key).count().filter("count > 1").limit(3).collect()
         if twice:
             raise ValueError(f"{table}: several rows for keys {[tuple(r)[:-1] for r in twice]}")
-        touched = self._values(updates, part)
-        old = self.read(table, touched)
-        if old is not None:
-            if keep:
-                stored = old.select(*key, *[F.col(c).alias(f"_old_{c}") for c in keep], F.lit(True).alias("_known"))
-                updates = updates.join(stored, key, "left").withColumns(
-                    {c: F.when(F.col("_known"), F.col(f"_old_{c}")).otherwise(F.col(c)) for c in keep}
-                ).drop("_known", *[f"_old_{c}" for c in keep])
-            schema = _merged_schema(old.schema, updates.schema, table)
-            kept = old.join(updates.select(*key), key, "left_anti")
-            for c, value in (defaults or {}).items():
-                if c not in kept.columns:
-                    kept = kept.withColumn(c, F.lit(value).cast(schema[c].dataType))
-            updates = kept.unionByName(updates, allowMissingColumns=True).select(*schema.names)
-        self._write(table, updates, part, touched)
-
-    def replace(self, table: str, rows: DataFrame, part: str, parts: list[str] | None = None) -> None:
-        """The partitions of ``rows`` (and those in ``parts``) hold these rows only."""
-        touched = sorted({*self._values(rows, part), *(parts or [])})
-        for value in touched:
-            entry = self.tables.get(table)
-            if entry:
-                self.tables[table] = entry | {"parts": {k: p for k, p in entry["parts"].items() if k != value}}
-        self._write(table, rows, part, touched)
+        with _settings(self.spark):
+            self._ready(table, updates.schema, key, part, defaults or {})
+            self._insert(table, self.merged(table, updates, key, part, keep))
+
+    def replace(self, table: str, rows: DataFrame, key: list[str], part: str, parts: list | None = None) -> None:
+        """The partitions of ``rows``, and those in ``parts``, hold these rows only."""
+        rows = materialise(rows, f"replace-{table}")
+        with _settings(self.spark):
+            self._ready(table, rows.schema, key, part, {})
+            empty = set(parts or []) - set(self._values(rows, part))
+            self._insert(table, rows.repartition(BUCKETS, *[k for k in key if k != part]))
+            for value in empty:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (`{part}` = '{value}')")
+
+    def drop(self, table: str) -> None:
+        """Removes a legacy table and its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        fs, folder = _folder(self.spark, self.location(table))
+        fs.delete(folder, True)
 
     @staticmethod
-    def _values(rows: DataFrame, part: str | None) -> list[str]:
+    def _values(rows: DataFrame, part: str) -> list:
         """The partitions that rows touch: as many as a load has payloads."""
-        if part is None:
-            return [""]
-        return sorted(r[0] for r in rows.select(F.col(part).cast("string")).distinct().collect())
-
-    def _write(self, table: str, rows: DataFrame, part: str | None, touched: list[str]) -> None:
-        folder = f"{table}/load-{self.base.seq + 1:08d}-{self._run}-{uuid.uuid4().hex[:6]}"
-        path = f"{self.store.root}/{folder}"
-        if part is None:
-            rows.write.parquet(path)
-            new = {"": folder}
-        else:
-            rows.withColumn(PART, F.col(part).cast("string")).write.partitionBy(PART).parquet(path)
-            fs, _ = self.store._hadoop(path)
-            made = {v: f"{folder}/{PART}={v}" for v in touched}
-            new = {v: p for v, p in made.items() if fs.exists(self.store._hadoop(f"{self.store.root}/{p}")[1])}
-        entry = self.tables.get(table)
-        schema = rows.schema
-        if entry:
-            schema = _merged_schema(T.StructType.fromJson(entry["schema"]), schema, table)
-            new = entry["parts"] | new
-        self.tables[table] = {"schema": json.loads(schema.json()), "parts": new}
-
-    def commit(self) -> int:
-        """Publish all changes at once, or none; returns the commit's number."""
-        seq = self.base.seq + 1
-        fs, path = self.store._hadoop(f"{self.store.root}/_commits/{seq:08d}.json")
-        if self.store.snapshot().seq != self.base.seq or fs.exists(path):
-            raise StaleLoad(f"commit {seq} of {self.store.root} exists already")
-        out = fs.create(path, False)  # fails where another load was faster
-        out.write(bytearray(json.dumps(self.tables).encode()))
-        out.close()
-        return seq
-
-
-def upsert(spark: SparkSession, root: str, table: str, updates: DataFrame, key: list[str],
-           part: str | None = None, **options) -> int:
-    """An upsert of one table as a load of its own."""
-    load = Store(spark, root).begin()
-    load.upsert(table, updates, key, part, **options)
-    return load.commit()
+        if part == ONE:
+            return [0]
+        return sorted(r[0] for r in rows.select(part).distinct().collect())
+
+    def _ready(self, table: str, schema: T.StructType, key: list[str], part: str, defaults: dict) -> None:
+        """The table is in the catalog and has the columns of ``schema``; a column must keep its type."""
+        name = self.name(table)
+
+        def column(f: T.StructField) -> str:
+            text = f"`{f.name}` {f.dataType.simpleString()}"
+            return f"{text} DEFAULT {defaults[f.name]!r}" if f.name in defaults else text
+
+        if not self.spark.catalog.tableExists(name):
+            known = self._stored(table)
+            fields = list(schema if known is None else known.schema)
+            fields = [schema[part] if f.name == part else f for f in fields]  # folder names don't tell the type
+            buckets = [k for k in key if k != part]
+            clustered = f"CLUSTERED BY ({', '.join(buckets)}) SORTED BY ({', '.join(buckets)}) INTO {BUCKETS} BUCKETS"
+            self.spark.sql(f"CREATE TABLE {name} ({', '.join(map(column, fields))}) USING parquet "
+                           f"PARTITIONED BY (`{part}`) {clustered if part != ONE else ''} "
+                           f"LOCATION '{self.location(table)}'")
+            if known is not None:
+                self.spark.catalog.recoverPartitions(name)
+        types = {f.name: f.dataType for f in self.spark.table(name).schema}
+        for f in schema:
+            if types.get(f.name, f.dataType) != f.dataType:
+                raise ValueError(f"{table}.{f.name} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
+        new = [column(f) for f in schema if f.name not in types]
+        if new:
+            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+
+    def _insert(self, table: str, rows: DataFrame) -> None:
+        columns = self.spark.table(self.name(table)).columns
+        lacking = {c: F.lit(None) for c in columns if c not in rows.columns}
+        rows.withColumns(lacking).select(*columns).write.insertInto(self.name(table), overwrite=True)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from econ_lake.functions import exprs as X
-from econ_lake.operators.tables import Store
+from econ_lake.operators.tables import Tables
 from econ_lake.session import materialise
 
 
@@ -246,45 +246,43 @@ def constraint_report(star: Star) -> DataFrame:
 FACT_KEY = ["source_id", "series_id", "geo_id", "period_id", "vintage_id"]
 
 
-def load(store: Store, conformed: DataFrame, loaded_at: str) -> int:
-    """Upserts one load's conformed rows into the stored star; returns the commit's number.
+def load(tables: Tables, conformed: DataFrame, loaded_at: str) -> None:
+    """Upserts one load's conformed rows into the stored star.
 
-    The fact is partitioned by vintage, the bridge by source, so a daily load
-    rewrites its own partitions only.  The dimensions are as large as the
-    catalog, the calendar and the series lists.
+    The fact is partitioned by vintage, the bridge by source, so a daily load rewrites its own partitions only.  The
+    dimensions are as large as the catalog, the calendar and the series lists.  All gates come before the first
+    write.  The vintages come last: until then, readers of the latest vintages don't see the rows of new ones, and a
+    load that failed on the way is run again (W17).
     """
     conformed = materialise(conformed, "load")
     if conformed.isEmpty():
         raise ValueError("nothing to load: the conformed frame is empty")  # G8
     new = build_star(conformed, loaded_at)
     assert_resolved(conformed, new)
-    txn = store.begin()
-    txn.upsert("dim_source", new.dim_source, ["source_id"], keep=["first_load_seq"])
+    tables.merge("dim_source", new.dim_source, ["source_id"], keep=["first_load_seq"])
+    tables.merge("dim_geo", new.dim_geo, ["geo_id"])
+    tables.merge("dim_period", new.dim_period, ["period_id"], keep=["month", "quarter"])
+    tables.merge("dim_series", new.dim_series, ["series_id"])
+    # Nodes of earlier paths stay as they are; the bridge of a source is rebuilt from all its series
+    from econ_lake.operators.hierarchy import series_nodes
+
+    series = tables.read("dim_series").join(new.dim_source.select("source_id"), "source_id", "left_semi")
+    nodes, bridge = series_nodes(series)
+    tables.merge("dim_series_node", nodes, ["node_id"], keep=[c for c in nodes.columns if c != "node_id"])
+    bridge = bridge.join(series.select("series_id", "source_id"), "series_id")
+    tables.replace("bridge_series_node", bridge, ["series_id", "node_id"], "source_id", [r.source_id for r in new.dim_source.select("source_id").collect()])
+    tables.merge("fact", new.fact, FACT_KEY, part="vintage_id")
     # The vintages of a loaded source are demoted, but for the one it has now
     vintages = new.dim_vintage
-    old = txn.read("dim_vintage")
+    old = tables.read("dim_vintage")
     if old is not None:
         demoted = (old.join(vintages.select("source_id").distinct(), "source_id", "left_semi")
                    .join(vintages.select("vintage_id"), "vintage_id", "left_anti")
                    .withColumn("is_latest", F.lit(False)))
         vintages = vintages.unionByName(demoted)
-    txn.upsert("dim_vintage", vintages, ["vintage_id"])
-    txn.upsert("dim_geo", new.dim_geo, ["geo_id"])
-    txn.upsert("dim_period", new.dim_period, ["period_id"], keep=["month", "quarter"])
-    txn.upsert("dim_series", new.dim_series, ["series_id"])
-    # Nodes of earlier paths stay as they are; the bridge of a source is rebuilt from all its series
-    from econ_lake.operators.hierarchy import series_nodes
-
-    series = txn.read("dim_series").join(new.dim_source.select("source_id"), "source_id", "left_semi")
-    nodes, bridge = series_nodes(series)
-    txn.upsert("dim_series_node", nodes, ["node_id"], keep=[c for c in nodes.columns if c != "node_id"])
-    bridge = bridge.join(series.select("series_id", "source_id"), "series_id")
-    txn.replace("bridge_series_node", bridge, "source_id")
-    txn.upsert("fact", new.fact, FACT_KEY, part="vintage_id")
-    return txn.commit()
+    tables.merge("dim_vintage", vintages, ["vintage_id"])
 
 
-def read_star(store: Store) -> Star:
-    """The published star."""
-    now = store.snapshot()
-    return Star(**{name: store.read(name, snapshot=now) for name in Star.__dataclass_fields__})
+def read_star(tables: Tables) -> Star:
+    """The stored star."""
+    return Star(**{name: tables.read(name) for name in Star.__dataclass_fields__})

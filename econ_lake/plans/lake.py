@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from econ_lake.operators import gold, silver, warehouse
 from econ_lake.operators import serving as V
-from econ_lake.operators.tables import Store
+from econ_lake.operators.tables import Tables
 from econ_lake.session import materialise
 from econ_lake.sources import bridge
 from econ_lake.sources.catalog import catalog_frame
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw payload rows derived from the base tables, whose cells are stored."""
-    return bridge.raw_rows(spark, sf_dir)
+    """Raw payload rows derived from the base tables, stored: presence, Silver of both kinds and the gates read them."""
+    return materialise(bridge.raw_rows(spark, sf_dir), "raw")
 
 
 def catalog(spark: SparkSession) -> DataFrame:
@@ -67,6 +67,6 @@ def weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(V.weighted_view(obt(spark, sf_dir)), "weighted")
 
 
-def load_star(spark: SparkSession, sf_dir: str, root: str, loaded_at: str) -> int:
+def load_star(spark: SparkSession, sf_dir: str, root: str, loaded_at: str) -> None:
     """Upserts this run's rows into the star stored at ``root``."""
-    return warehouse.load(Store(spark, root), conformed_plan(spark, sf_dir), loaded_at)
+    warehouse.load(Tables(spark, root), conformed_plan(spark, sf_dir), loaded_at)

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on.  AQE re-plans joins and coalesces shuffle
 # partitions at runtime; skew-join splits a hot key's partition.  The session
@@ -84,6 +85,13 @@ def materialise(df, name: str = "t"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_counted(df, name: str = "t"):
+    """``materialise``, and the number of rows, observed while they are written."""
+    seen = Observation()
+    stored = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return stored, 0 if stored.isEmpty() else seen.get["rows"]  # nothing is observed in an empty plan
+
+
 _SCRATCH: list[str] = []
 
 

@@ -67,14 +67,16 @@ def payload_rows(docs: DataFrame, source: str = "bea") -> DataFrame:
     ).filter(F.col("row").isNotNull())
 
 
+def error_text(err: Column) -> Column:
+    """What an API error says: its description and its detail."""
+    return F.trim(F.concat_ws(" ", F.coalesce(err["APIErrorDescription"], F.lit("")),
+                              F.coalesce(err["ErrorDetail"]["Description"], F.lit(""))))
+
+
 def api_error(docs: DataFrame) -> DataFrame:
     """Payloads carrying an API error, with description and detail."""
     err = F.col("BEAAPI.Error")
-    return docs.filter(err.isNotNull()).select(
-        "dataset_id", "run_id",
-        F.concat_ws(" ", F.coalesce(err["APIErrorDescription"], F.lit("")),
-                    F.coalesce(err["ErrorDetail"]["Description"], F.lit(""))).alias("error"),
-    )
+    return docs.filter(err.isNotNull()).select("dataset_id", "run_id", error_text(err).alias("error"))
 
 
 def assert_no_api_error(docs: DataFrame) -> None:
@@ -109,6 +111,18 @@ def latest_snapshot(spark: SparkSession, root: str, source: str = "bea") -> Data
     return read_payload_documents(spark, root, source, latest_paths(spark, root))
 
 
+def latest_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(dataset_id, run_id) of the newest run folder of each dataset, by the files' modification times (of equally
+    new ones the first path).  Only file metadata is read; no file is opened."""
+    files = spark.read.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary, dataset_id string, extract_date string, "
+        "run_id string").load(path).select(
+        "dataset_id", "run_id", F.col("_metadata.file_path").alias("path"),
+        F.unix_micros("_metadata.file_modification_time").alias("at"))
+    runs = files.groupBy("dataset_id", "run_id").agg(F.max("at").alias("at"), F.min("path").alias("path"))
+    return runs.groupBy("dataset_id").agg(F.min_by("run_id", F.struct(-F.col("at"), F.col("path"))).alias("run_id"))
+
+
 # --- header-row matrices (Census) ------------------------------------------
 
 def header_matrix_records(matrix: Column, wanted: dict[str, str], constant: dict[str, Column] | None = None) -> Column:
@@ -194,25 +208,23 @@ def row_digest(row: Column) -> Column:
     return F.sha2(canon, 256)
 
 
-def row_number_hash(row: Column) -> Column:
-    """A number that follows from a row's content alone."""
-    return F.xxhash64(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(row)))))
+def set_hash(row: Column) -> Column:
+    """An aggregate over rows: their count with exact (decimal) sums of two 60-bit slices of each row's digest.
 
+    Permuting rows leaves it unchanged, duplicating a row changes it, and it is combined before the shuffle (no sort,
+    no collect).
+    """
+    h = row_digest(row)
+    a = F.conv(F.substring(h, 1, 15), 16, 10).cast("decimal(38,0)")
+    b = F.conv(F.substring(h, 16, 15), 16, 10).cast("decimal(38,0)")
+    return F.sha2(F.concat_ws(":", F.count(row), F.sum(a), F.sum(b)), 256)
 
-def row_set_hash(raw: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Order-insensitive content hash per payload.
 
-    Combines the row count with exact (decimal) sums of two 60-bit slices of
-    each row digest: permuting rows leaves it unchanged, duplicating a row
-    changes it, and it is a plain partial aggregate (no sort, no collect).
-    """
-    key = key or ["dataset_id", "run_id"]
-    d = raw.select(*key, row_digest(F.col("row")).alias("h"))
-    s1 = F.conv(F.substring("h", 1, 15), 16, 10).cast("decimal(38,0)")
-    s2 = F.conv(F.substring("h", 16, 15), 16, 10).cast("decimal(38,0)")
-    return d.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(s1).alias("a"), F.sum(s2).alias("b")
-    ).select(*key, F.sha2(F.concat_ws(":", "n", "a", "b"), 256).alias("payload_hash"), "n")
+def row_set_hash(raw: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """Order-insensitive content hash per payload, and its number of rows."""
+    row = F.col("row")
+    return raw.groupBy(*(key or ["dataset_id", "run_id"])).agg(
+        set_hash(row).alias("payload_hash"), F.count(row).alias("n"))
 
 
 def change_flags(current: DataFrame, checkpoint: DataFrame | None, key: list[str] | None = None) -> DataFrame:

@@ -75,6 +75,15 @@ def test_control_characters_in_labels_stay_valid_json(spark):
     assert "\\u0001" in got and "\\b" in got
 
 
+def test_labels_beyond_ascii_are_escaped_as_json_does(spark):
+    import json
+
+    labels = ["Café", "住宅 🏠 ½", "".join(map(chr, range(1, 0x250))).replace(":", ""), "\U0001F600\uffff\u2028x\x7f~"]
+    rows = spark.createDataFrame([(k, [t]) for k, t in enumerate(labels)], "k int, path array<string>")
+    got = {r.k: r.j for r in rows.select("k", X.json_text_list(F.col("path")).alias("j")).collect()}
+    assert got == {k: json.dumps([t]) for k, t in enumerate(labels)}
+
+
 def test_year_and_strip_edges(spark):
     assert _one(spark, X.parse_year, "2023") == 2023 and _one(spark, X.parse_year, "2023.0") == 2023
     assert _one(spark, X.parse_year, "2023.7") is None

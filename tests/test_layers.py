@@ -113,69 +113,107 @@ def test_hierarchy_nodes_and_bridge(spark):
     assert set(leaves.values()) == {1}
 
 
-def _upsert(spark, root, rows, schema="k long, v string, x double", **options):
-    from econ_lake.operators import tables
+def _merge(spark, root, rows, schema="k long, v string, x double", **options):
+    from econ_lake.operators.tables import Tables
 
-    return tables.upsert(spark, root, "t", spark.createDataFrame(rows, schema), ["k"], **options)
+    tables = Tables(spark, root)
+    tables.merge("t", spark.createDataFrame(rows, schema), ["k"], **options)
+    return tables
 
 
-def test_upsert_keeps_vanished_rows(spark, tmpdir_path):
-    from econ_lake.operators.tables import Store
+def test_merge_keeps_vanished_rows_and_comes_to_the_same_again(spark, tmpdir_path):
+    _merge(spark, tmpdir_path, [(1, "a", 1.0), (2, "a", 2.0)])
+    for _ in range(2):
+        tables = _merge(spark, tmpdir_path, [(1, "a", 5.0)])
+        assert sorted((r.k, r.x) for r in tables.read("t").collect()) == [(1, 5.0), (2, 2.0)]
+    with pytest.raises(ValueError, match="several rows"):
+        _merge(spark, tmpdir_path, [(1, "a", 5.0), (1, "b", 6.0)])
 
-    _upsert(spark, tmpdir_path, [(1, "a", 1.0), (2, "a", 2.0)])
-    _upsert(spark, tmpdir_path, [(1, "a", 5.0)])
-    got = sorted((r.k, r.x) for r in Store(spark, tmpdir_path).read("t").collect())
-    assert got == [(1, 5.0), (2, 2.0)]
 
+def test_merge_new_and_lost_columns(spark, tmpdir_path):
+    _merge(spark, tmpdir_path, [(1, "a", 1.0), (2, "b", 2.0)])
+    tables = _merge(spark, tmpdir_path, [(2, 9)], "k long, y int", defaults={"y": 7})
+    assert sorted(tuple(r) for r in tables.read("t").select("k", "v", "x", "y").collect()) == [
+        (1, "a", 1.0, 7), (2, None, None, 9)]
+    with pytest.raises(ValueError, match="is int"):
+        _merge(spark, tmpdir_path, [(1, "x")], "k long, y string")
+    tables.drop("t")
+    assert tables.read("t") is None
 
-def test_upsert_new_and_lost_columns(spark, tmpdir_path):
-    from econ_lake.operators.tables import Store
 
-    _upsert(spark, tmpdir_path, [(1, "a", 1.0), (2, "b", 2.0)])
-    _upsert(spark, tmpdir_path, [(2, 9)], "k long, y int", defaults={"y": 7})
-    got = sorted(tuple(r) for r in Store(spark, tmpdir_path).read("t").collect())
-    assert got == [(1, "a", 1.0, 7), (2, None, None, 9)]
-    with pytest.raises(ValueError, match="is int"):
-        _upsert(spark, tmpdir_path, [(1, "x")], "k long, y string")
+def test_old_files_have_the_default_and_another_session_finds_the_table(spark, tmpdir_path):
+    from econ_lake.operators.tables import Tables
 
+    tables = Tables(spark, tmpdir_path)
+    tables.merge("t", spark.createDataFrame([(1, 10)], "k long, p long"), ["k", "p"], part="p")
+    tables.merge("t", spark.createDataFrame([(2, 20, "new")], "k long, p long, v string"), ["k", "p"], part="p",
+                 defaults={"v": "old"})
+    assert sorted((r.k, r.v) for r in tables.read("t").collect()) == [(1, "old"), (2, "new")]
+    spark.sql(f"DROP TABLE {tables.name('t')}")  # the catalog entry is gone, the files stay
+    assert sorted((r.k, r.p) for r in tables.read("t").collect()) == [(1, 10), (2, 20)]
+    tables.merge("t", spark.createDataFrame([(1, 10, "x")], "k long, p long, v string"), ["k", "p"], part="p")
+    assert sorted((r.k, r.v) for r in tables.read("t").collect()) == [(1, "x"), (2, "new")]
 
-def test_upsert_rewrites_touched_partitions_only(spark, tmpdir_path):
-    from econ_lake.operators.tables import Store
 
-    store = Store(spark, tmpdir_path)
+def test_merge_rewrites_touched_partitions_only_and_leaves_the_stored_side_in_place(spark, tmpdir_path):
+    import glob
+    import os
+
+    from econ_lake.operators import tables as TB
+
+    tables = TB.Tables(spark, tmpdir_path)
     for rows in ([(1, 10, "a"), (2, 20, "b")], [(3, 20, "c")]):
-        load = store.begin()
-        load.upsert("t", spark.createDataFrame(rows, "k long, p long, v string"), ["k", "p"], part="p")
-        load.commit()
-    parts = store.snapshot().tables["t"]["parts"]
-    assert "load-00000001" in parts["10"] and "load-00000002" in parts["20"]
-    assert sorted(r.k for r in store.read("t").collect()) == [1, 2, 3]
-    assert [r.k for r in store.read("t", parts=["10"]).collect()] == [1]
-
-
-def test_loads_are_published_whole_and_once(spark, tmpdir_path):
-    from econ_lake.operators.tables import StaleLoad, Store
-
-    store = Store(spark, tmpdir_path)
-    rows = spark.createDataFrame([(1,)], "k long")
-    first, second = store.begin(), store.begin()
-    first.upsert("a", rows, ["k"])
-    first.upsert("b", rows, ["k"])
-    assert store.read("a") is None
-    first.commit()
-    assert store.read("a").count() == store.read("b").count() == 1
-    second.upsert("a", rows, ["k"])
-    with pytest.raises(StaleLoad):
-        second.commit()
-    with pytest.raises(ValueError, match="several rows"):
-        store.begin().upsert("a", rows.unionByName(rows), ["k"])
+        before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmpdir_path}/t/p=10/*.parquet")}
+        tables.merge("t", spark.createDataFrame(rows, "k long, p long, v string"), ["k", "p"], part="p")
+    assert before and before == {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmpdir_path}/t/p=10/*.parquet")}
+    assert sorted(r.k for r in tables.read("t").collect()) == [1, 2, 3]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with TB._settings(spark):
+            new = spark.createDataFrame([(2, 20, "x")], "k long, p long, v string")
+            plan = tables.merged("t", new, ["k", "p"], "p")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    stored = plan[:plan.index("FileScan")].rsplit("SortMergeJoin", 1)[1]
+    assert "LeftAnti" in plan and "Bucketed: true" in plan and "Exchange" not in stored
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_an_unfinished_load_is_not_seen_and_is_run_again(spark, tmpdir_path, monkeypatch):
+    from econ_lake.operators import serving
+    from econ_lake.operators.tables import Tables
+
+    tables = Tables(spark, tmpdir_path)
+    first = _conf(spark, [dict(year=2020, pce_value=1.0, vintage_tag="2026-01-01", load_seq=1)])
+    second = _conf(spark, [dict(year=2020, pce_value=2.0, vintage_tag="2026-02-01", load_seq=2)])
+
+    def wide():
+        return [(r.vintage_tag, r.pce_value) for r in serving.obt_annual_latest(warehouse.read_star(tables)).collect()]
+
+    warehouse.load(tables, first, "2026-01-01")
+    assert wide() == [("2026-01-01", 1.0)]
+    merge = Tables.merge
+
+    def fails(self, table, *args, **kwargs):
+        if table == "dim_vintage":
+            raise RuntimeError("lost the connection")
+        return merge(self, table, *args, **kwargs)
+
+    monkeypatch.setattr(Tables, "merge", fails)
+    with pytest.raises(RuntimeError):
+        warehouse.load(tables, second, "2026-02-01")
+    assert wide() == [("2026-01-01", 1.0)]
+    monkeypatch.setattr(Tables, "merge", merge)
+    warehouse.load(tables, second, "2026-02-01")
+    assert wide() == [("2026-02-01", 2.0)] and tables.read("fact").count() == 2
 
 
 def test_star_load_refuses_nothing(spark, tmpdir_path):
-    from econ_lake.operators.tables import Store
+    from econ_lake.operators.tables import Tables
 
     with pytest.raises(ValueError, match="empty"):
-        warehouse.load(Store(spark, tmpdir_path), _conf(spark, []), "2026-01-01")
+        warehouse.load(Tables(spark, tmpdir_path), _conf(spark, []), "2026-01-01")
 
 
 def test_incomplete_trend_is_reported_and_refused(spark):
@@ -240,7 +278,13 @@ def test_combined_csv(spark, tmpdir_path):
                                for c in ("Goods",)],
                               "year int, state_abbrev string, category string, rpp double, pce_share double, "
                               "weighted_rpp double")
-    analysis.write_combined_csv(w, tmpdir_path + "/csv")
-    back = spark.read.option("header", True).csv(tmpdir_path + "/csv")
-    assert back.columns == analysis.COMBINED_COLUMNS and back.count() == analysis.combined_output(w).count()
+    combined = analysis.combined_output(w)
+    combined = combined.withColumn("state_abbrev", F.coalesce("state_abbrev", F.when(F.col("category") == "Other", "")))
+    analysis.write_combined_csv(combined, tmpdir_path + "/csv")
+    back = analysis.read_combined_csv(spark, tmpdir_path + "/csv", combined.schema)
+    assert back.columns == analysis.COMBINED_COLUMNS
+    assert sorted(map(str, back.collect())) == sorted(map(str, combined.collect()))
+    other = combined.withColumnRenamed("rpp", "level").schema
+    with pytest.raises(Exception, match="(?i)header"):
+        analysis.read_combined_csv(spark, tmpdir_path + "/csv", other).collect()
     analysis.assert_study(w)

@@ -62,7 +62,7 @@ def test_latest_snapshot_opens_the_newest_only(spark, tmpdir_path):
 
 
 def test_landed_rows_reach_silver_and_failed_payloads_are_tried_again(spark, tmpdir_path):
-    from econ_lake.operators.tables import Store
+    from econ_lake.operators.tables import Tables
     from econ_lake.plans.run import run
     from econ_lake.sources.catalog import catalog_frame
 
@@ -83,7 +83,7 @@ def test_landed_rows_reach_silver_and_failed_payloads_are_tried_again(spark, tmp
         run(spark, raw("r1", 1, "1", "(NA)"), cat, tmpdir_path, "2026-03-04")
     assert status(run(spark, raw("r3", 3, "1", "2"), cat, tmpdir_path, "2026-03-04")) == [("r3", "loaded")]
     assert status(run(spark, raw("r4", 4, "1", "2"), cat, tmpdir_path, "2026-03-04")) == [("r4", "unchanged")]
-    fact = Store(spark, tmpdir_path + "/lake").read("fact").collect()
+    fact = Tables(spark, tmpdir_path + "/lake").read("fact").collect()
     assert sorted(r.value_numeric for r in fact) == [1.0, 2.0]
 
 
@@ -138,10 +138,15 @@ def test_a_batch_run_twice_adds_no_rows(spark, tmpdir_path):
     rows = spark.createDataFrame([("bea", "r", {"a": "1"}, "d", "2026-03-04")],
                                  "source string, run_id string, row map<string,string>, dataset_id string, "
                                  "vintage_tag string")
-    for batch in (0, 0, 1):
-        intake.write_batch(rows, batch, tmpdir_path)
-    got = intake.read_bronze_rows(spark, tmpdir_path).collect()
-    assert len(got) == 2 and {r.load_seq for r in got} == {1}
+    target = tmpdir_path + "/rows"
+    for batch in (0, 0):
+        intake.write_batch(rows, batch, target)
+    assert [r.load_seq for r in intake.read_bronze_rows(spark, target).collect()] == [1]
+    # the run was landed again with another row: its last batch counts
+    again = rows.unionByName(rows.withColumn("vintage_tag", F.lit("2026-03-05")))
+    intake.write_batch(again, 1, target)
+    got = intake.read_bronze_rows(spark, target).collect()
+    assert sorted((r.vintage_tag, r.batch, r.load_seq) for r in got) == [("2026-03-04", 1, 1), ("2026-03-05", 1, 2)]
 
 
 def test_streamed_rows_feed_silver(spark, tmpdir_path):
@@ -181,3 +186,106 @@ def test_faulty_payloads_go_to_the_quarantine(spark, tmpdir_path):
     assert {(r.dataset_id, r.status) for r in log.collect()} == {("good", "loaded"), ("bad", "quarantined")}
     held = spark.read.parquet(tmpdir_path + "/quarantine").collect()
     assert [(r.dataset_id, r.reason) for r in held] == [("bad", "required value missing")]
+    assert "(D)" in held[0].body
+
+
+DOCUMENT = "source string, dataset_id string, vintage_tag string, run_id string, load_seq int, body string"
+ROW = {"GeoFips": "01000", "GeoName": "Alabama", "TimePeriod": "2020", "Code": "T-1", "DataValue": "1", "UNIT_MULT": "0"}
+
+
+def _document(dataset, run, seq, body, source="bea"):
+    return (source, dataset, "2026-03-04", run, seq, body if isinstance(body, str | None) else json.dumps(body, indent=1))
+
+
+def _rows(*rows):
+    return {"BEAAPI": {"Results": {"Data": list(rows)}}}
+
+
+def test_envelopes_are_judged(spark, tmpdir_path):
+    from econ_lake.plans.run import run
+    from econ_lake.sources.catalog import catalog_frame
+
+    names = ["good", "error", "empty", "broken", "rootless", "null"]
+    cat = catalog_frame(spark, [{"dataset_id": d, "bea_table_name": "T"} for d in names])
+    error = {"BEAAPI": {"Error": {"APIErrorDescription": "Bad key", "ErrorDetail": {"Description": "x"}}}}
+    bodies = [_rows(ROW), error, _rows(), json.dumps(_rows(ROW))[:-9], {"Other": 1}, None]
+    docs = spark.createDataFrame([_document(d, f"r-{d}", k, b) for k, (d, b) in enumerate(zip(names, bodies, strict=True))],
+                                 DOCUMENT)
+    told = {"good": ("loaded", ""), "error": ("quarantined", "API error: Bad key x"), "empty": ("quarantined", "no rows"),
+            "broken": ("quarantined", "broken document"), "rootless": ("quarantined", "no BEAAPI object"),
+            "null": ("quarantined", "broken document")}
+    with pytest.raises(ValueError, match="payload gate"):
+        run(spark, docs, cat, tmpdir_path, "2026-03-04")
+    for status in ("loaded", "unchanged"):
+        told["good"] = (status, "" if status == "loaded" else None)
+        log = run(spark, docs, cat, tmpdir_path, "2026-03-04", strict=False)
+        assert {r.dataset_id: (r.status, r.reason) for r in log.collect()} == told
+        held = spark.read.parquet(tmpdir_path + "/quarantine").select("dataset_id", "reason").collect()
+        assert sorted(map(tuple, held)) == sorted((d, r) for d, (s, r) in told.items() if s == "quarantined")
+
+
+def test_a_run_of_bad_payloads_only_is_recorded(spark, tmpdir_path):
+    from econ_lake.plans.run import run
+    from econ_lake.sources.catalog import catalog_frame
+
+    cat = catalog_frame(spark, [{"dataset_id": "d", "bea_table_name": "T"}])
+    docs = spark.createDataFrame([_document("d", "r", 1, _rows())], DOCUMENT)
+    assert [(r.status, r.reason) for r in run(spark, docs, cat, tmpdir_path, "2026-03-04", strict=False).collect()] == [
+        ("quarantined", "no rows")]
+
+
+def test_a_run_landed_again_replaces_its_documents_and_reads_are_pruned(spark, tmpdir_path):
+    from econ_lake.sources.landing import LandingZone, documents_of
+
+    zone = LandingZone(spark, tmpdir_path)
+    raw = spark.createDataFrame(
+        [("bea", d, "2026-03-04", f"r-{d}", 1, dict(ROW, DataValue=str(v))) for d in "ab" for v in (1, 2, 2)],
+        "source string, dataset_id string, vintage_tag string, run_id string, load_seq int, row map<string,string>")
+    for _ in range(2):  # the first load failed after landing: no checkpoint was moved
+        log = zone.land(documents_of(raw), "2026-03-04")
+        assert [r.changed for r in log.collect()] == [True, True]
+        assert zone.rows("bea").groupBy("run_id").count().orderBy("run_id").collect() == [("r-a", 3), ("r-b", 3)]
+        assert zone.log().count() == 2
+    one = zone.documents("bea", log.filter("dataset_id = 'a'"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "dataset_id" in filters and "r-a" in filters.split("]")[0] + filters.split("]")[1] and one.count() == 1
+    zone.confirm(log)
+    again = zone.land(documents_of(raw.withColumn("run_id", F.concat("run_id", F.lit("2")))), "2026-03-05")
+    assert [r.changed for r in again.collect()] == [False, False]
+    assert zone.rows("bea").select("run_id").distinct().count() == 2
+
+
+def test_rows_are_dealt_into_documents_by_number(spark, monkeypatch):
+    from econ_lake.sources import landing
+
+    monkeypatch.setattr(landing, "ROWS_PER_DOCUMENT", 10)
+    raw = spark.createDataFrame([("bea", "d", "2026-03-04", "r", 1, ROW)] * 200,
+                                "source string, dataset_id string, vintage_tag string, run_id string, load_seq int, "
+                                "row map<string,string>")
+    sizes = [len(json.loads(r.body)["BEAAPI"]["Results"]["Data"]) for r in landing.documents_of(raw).collect()]
+    assert sum(sizes) == 200 and max(sizes) < 40
+
+
+def test_newest_run_by_file_metadata(spark, tmpdir_path):
+    for k, (dataset, date, run, when) in enumerate([("a", "2026-03-03", "r1", 100), ("a", "2026-03-04", "r2", 200),
+                                                    ("b", "2026-03-03", "r3", 100), ("b", "2026-03-04", "r4", 100)]):
+        folder = os.path.join(tmpdir_path, f"dataset_id={dataset}", f"extract_date={date}", f"run_id={run}")
+        os.makedirs(folder)
+        path = os.path.join(folder, f"part-{k}.txt")
+        with open(path, "w") as fh:
+            fh.write("{}")
+        os.utime(path, (when, when))
+    assert sorted(map(tuple, bronze.latest_runs(spark, tmpdir_path).collect())) == [("a", "r2"), ("b", "r3")]
+
+
+def test_file_stream_over_a_landing_zone(spark, tmpdir_path):
+    from econ_lake.sources.landing import LandingZone
+
+    zone = LandingZone(spark, tmpdir_path + "/zone")
+    target, ckpt = tmpdir_path + "/rows", tmpdir_path + "/ck"
+    for run, rows in (("r1", [ROW]), ("r1", [ROW, dict(ROW, TimePeriod="2021")]), ("r2", [dict(ROW, TimePeriod="2022")])):
+        zone.land(spark.createDataFrame([_document("d", run, 1, _rows(*rows))], DOCUMENT), "2026-03-04")
+        intake.ingest_available(spark, zone.root, target, ckpt, landed=True)
+    got = intake.read_bronze_rows(spark, target).collect()
+    assert sorted((r.run_id, r.row["TimePeriod"]) for r in got) == [("r1", "2020"), ("r1", "2021"), ("r2", "2022")]
