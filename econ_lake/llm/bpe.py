@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -70,6 +72,39 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+# The letters and numbers that Unicode 16 has beyond 15.1.  The tokenizers library's patterns know them,
+# Python's database may not; what later versions add is neither letter nor number to it.
+LATER = {
+    "L": [(0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+          (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+          (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+          (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0)],
+    "N": [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+          (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)],
+}
+# Capitals that Unicode 16 and 17 added, in runs, and the first of each run's small letters.  The
+# library's lower-casing knows both versions.
+LATER_SMALL = [(0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF),
+               (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B),
+               (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB)]
+SMALL = {c: small + c - first for first, last, small in LATER_SMALL for c in range(first, last + 1)}
+LATER_CAPITAL = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in LATER_SMALL) + "]")
+
+
+@lru_cache(maxsize=2)
+def members(kind: str) -> str:
+    """The ranges of all letters (L) or numbers (N), for a character class."""
+    out, first = [], None
+    for point in range(sys.maxunicode + 2):
+        inside = point <= sys.maxunicode and unicodedata.category(chr(point))[0] == kind
+        if inside and first is None:
+            first = point
+        elif not inside and first is not None:
+            out.append((first, point - 1))
+            first = None
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in [*out, *LATER[kind]])
+
+
 class WordBPE:
     """A byte-level BPE whose words end in a suffix, read from a tokenizers file of that kind."""
 
@@ -90,7 +125,12 @@ class WordBPE:
         for rank, (a, b) in enumerate(model["merges"]):
             self.rank.setdefault(self.vocab[a] << 32 | self.vocab[b], rank << 32)
         self.merged = [self.vocab[a + b] for a, b in model["merges"]]
-        self.words = regex.compile(split["pattern"]["Regex"].replace("\\s", "\\p{White_Space}"))
+        pattern = split["pattern"]["Regex"].replace("\\s", "\\p{White_Space}")
+        # letters and numbers as the library has them, whatever version the regex package knows; both often stand in a
+        # class of their own, where a nested one isn't understood
+        for kind in "LN":
+            pattern = pattern.replace(f"[\\p{{{kind}}}]", f"[{members(kind)}]").replace(f"\\p{{{kind}}}", members(kind))
+        self.words = regex.compile(pattern)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         letters = byte_letters()
         self.inner = {b: self.vocab[c] for b, c in letters.items()}
@@ -130,6 +170,8 @@ class WordBPE:
         """The words of a text without special strings: NFC, then lower case letter by letter, then the pattern."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma
+            if LATER_CAPITAL.search(text):
+                text = text.translate(SMALL)
         return self.words.findall(text.lower())
 
     def split(self, text: str) -> list[str]:

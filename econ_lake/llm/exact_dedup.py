@@ -1,11 +1,16 @@
 """Operator 8, exact dedup: a persistent digest index, bucketed and sorted by hash.
 
-The index is a table (digest, keep_id, group_size).  New data is brought to one row per digest, joined against
-the index by a sort-merge anti-join on the bucketed key, and what is new is appended.  DataFrame operations only.
+The index is a table (digest, keep_id, group_size).  New data is brought to one row per digest and joined against the
+index by a sort-merge anti-join on the bucketed key; what is new is appended.  Digests that were there before are
+appended to a second table alike, the sightings; the largest id and the size of a digest are read from both.  Neither
+table is ever rewritten.  The index belongs to who names it: ``append`` it batch by batch as data comes, ``drop`` it
+at the end.  The query and the pipeline's stage take a table of documents in as BATCHES batches.  DataFrame operations
+only.
 
 Defined results: a null text counts as empty; texts are equal when identical after lower-casing A-Z only; of
 equal texts the row with the largest doc_id stays (a null doc_id is smaller than any other); of wholly
-repeated rows (same doc_id, equal text) one is kept; an empty table gives no rows; other columns are not read.
+repeated rows (same doc_id, equal text) one is kept; an empty table gives no rows; other columns are not read; texts
+are hashed whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from econ_lake.llm.shared import ascii_lower, shared_dir, stored
 
 #: A digest is hot if it has more than one in so many of all rows; so there are fewer than that many of them.
 HOT_SHARE = 10_000
+#: Batches in which a whole table is taken in.
+BATCHES = 3
 
 
 def digest():
@@ -50,27 +57,56 @@ class DigestIndex:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
-    def read(self) -> DataFrame:
-        return self.spark.table(self.name)
+    @property
+    def sightings(self) -> str:
+        return f"{self.name}_again"
 
-    def unseen(self, rows: DataFrame) -> DataFrame:
-        """The groups of ``rows`` whose digest the index doesn't have."""
-        new = groups(rows)
+    def read(self) -> DataFrame:
+        """(digest, keep_id, group_size) of all that was appended."""
+        index = self.spark.table(self.name)
+        if not self.spark.catalog.tableExists(self.sightings):
+            return index
+        again = self.spark.table(self.sightings).groupBy("digest").agg(
+            F.max("keep_id").alias("later_id"), F.sum("group_size").alias("more"))
+        return index.join(again.hint("merge"), "digest", "left").select(
+            "digest", F.greatest("keep_id", "later_id").alias("keep_id"),
+            (F.col("group_size") + F.coalesce("more", F.lit(0))).alias("group_size"))
+
+    def unseen(self, new: DataFrame) -> DataFrame:
+        """The groups in ``new`` whose digest the index doesn't have."""
         if not self.exists():
             return new
-        return new.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
+        return new.join(self.spark.table(self.name).select("digest").hint("merge"), "digest", "left_anti")
+
+    def append(self, rows: DataFrame) -> None:
+        """Takes in a batch of digests: what is new goes into the index, what was there before into the sightings."""
+        new = stored(groups(rows), "groups")
+        known = self.exists()
+        if known:
+            again = new.join(self.spark.table(self.name).select("digest").hint("merge"), "digest", "left_semi")
+            self._add(again, self.sightings)
+        self._add(self.unseen(new), self.name)
+
+    def _add(self, rows: DataFrame, table: str) -> None:
+        (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
+         .bucketBy(self.buckets, "digest").sortBy("digest").option("path", f"{self.location}/{table}").saveAsTable(table))
 
     def drop(self) -> None:
-        """Removes the table and its files."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        """Removes the tables and their files."""
+        for table in (self.name, self.sightings):
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.location)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-    def append(self, rows: DataFrame) -> None:
-        """Adds the digests that are new.  Rows of older digests count as duplicates of what is there."""
-        new = self.unseen(rows).repartition(self.buckets, "digest")
-        (new.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
-         .option("path", self.location).saveAsTable(self.name))
+
+def indexed(rows: DataFrame, batches: int | None = None) -> DigestIndex:
+    """A new index of all ``rows`` (digest, doc_id, copies), taken in batch by batch; the caller drops it."""
+    index = DigestIndex(rows.sparkSession)
+    batches = batches or BATCHES
+    batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
+    for k in range(batches):
+        index.append(rows.filter(batch == k))
+    return index
 
 
 def membership(rows: DataFrame, index: DataFrame) -> DataFrame:
@@ -90,9 +126,10 @@ def membership(rows: DataFrame, index: DataFrame) -> DataFrame:
 def mark_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = stored(digests(docs), "digests")
-    index = DigestIndex(docs.sparkSession)
-    index.append(rows)
-    return membership(rows, index.read()).select(
+    index = indexed(rows)
+    marked = stored(membership(rows, stored(index.read(), "index")), "membership")
+    index.drop()
+    return marked.select(
         "doc_id", "keep_id", "group_size",
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("nth"),
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("largest"), F.col("digest").alias("text_sha256"),
@@ -102,13 +139,17 @@ def mark_duplicates(docs: DataFrame) -> DataFrame:
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns: one of each group of equal texts.
 
-    Rows meet on digest and doc_id together, so the copies of a text don't meet in one task.
+    The index tells which document stays of each digest.  Rows meet on digest and doc_id together, so the copies of a
+    text don't meet in one task.
     """
     mark = "__llm_mark"
 
     def key(doc_id):
         return F.concat_ws(":", "__llm_digest", F.coalesce(doc_id.cast("string"), F.lit("null")))
 
-    kept = groups(digests(docs)).withColumnRenamed("digest", "__llm_digest").select(key(F.col("keep_id")).alias(mark))
+    index = indexed(stored(digests(docs), "digests"))
+    kept = stored(index.read().withColumnRenamed("digest", "__llm_digest").select(key(F.col("keep_id")).alias(mark)),
+                  "kept")
+    index.drop()
     rows = docs.withColumn("__llm_digest", digest()).withColumn(mark, key(F.col("doc_id"))).drop("__llm_digest")
     return rows.join(kept, mark, "left_semi").dropDuplicates([mark]).select(*docs.columns)

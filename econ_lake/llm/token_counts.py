@@ -7,12 +7,17 @@ the symbols that survive.  Counts of pre-tokens are kept in a bounded dictionary
 Pre-tokens: no piece of the vocabulary goes over from another character to the space mark (checked when the
 model is read), so texts fall apart there, and at line ends, which no longer piece has.
 
+A round goes over all symbols of a sequence.  Pre-tokens of more than LONG characters (text without spaces, encoded
+data) would need as many rounds as they have different pieces, so they are merged one by one instead, by a heap of
+places in which a merge touches its two neighbours only: n log n for n characters.
+
 Defined results: a null text counts as empty and has no tokens; a null doc_id stays null; repeated rows give
 a row each; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,6 +31,8 @@ from econ_lake.llm.shared import pieces, utf8
 LIMIT = 4096
 SPACE = "▁"
 NO_PAIR = np.iinfo(np.int64).max
+#: Characters of a pre-token above which it is merged by a heap.
+LONG = 256
 #: Pre-tokens whose count is remembered by a Python worker.
 REMEMBERED = 400_000
 
@@ -57,6 +64,7 @@ class PieceCounter:
         for key, rank in pairs:
             for part in divmod(key, len(ids)):
                 self.steady[part] &= rank > part
+        self.pairs = dict(pairs)
         self.letter = {p: r for p, r in self.symbols.items() if len(p) == 1}
         self.known: dict[str, int] = {}
 
@@ -104,6 +112,38 @@ class PieceCounter:
             sym, seq = sym[keep], seq[keep]
         return total
 
+    def count_long(self, token: str) -> int:
+        """The number of symbols that are left of one pre-token: the leftmost lowest-rank pair is merged, again and
+        again."""
+        letter, pair, size = self.letter, self.pairs.get, len(self.symbols)
+        sym = [letter.get(c, -1) for c in token]
+        total = sum(1 if s >= 0 else len(c.encode("utf-8", "replace")) for s, c in zip(sym, token, strict=True))
+        n = len(sym)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+
+        def rank(k: int):
+            right = after[k]
+            if right >= n or sym[k] < 0 or sym[right] < 0:
+                return None
+            return pair(sym[k] * size + sym[right])
+
+        heap = [(r, k) for k in range(n - 1) if (r := rank(k)) is not None]
+        heapq.heapify(heap)
+        gone = bytearray(n)
+        while heap:
+            r, k = heapq.heappop(heap)
+            if gone[k] or rank(k) != r:
+                continue  # the pair that stood here was merged with a neighbour
+            right = after[k]
+            gone[right], sym[k], total = 1, r, total - 1
+            after[k] = far = after[right]
+            if far < n:
+                before[far] = k
+            for place in (k, before[k]):
+                if place >= 0 and (new := rank(place)) is not None:
+                    heapq.heappush(heap, (new, place))
+        return total
+
     def split(self, text: str) -> list[str]:
         return self.pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
@@ -113,6 +153,8 @@ class PieceCounter:
         if len(self.known) > REMEMBERED:
             self.known = {}
         new = list(set().union(*split).difference(self.known)) if split else []
+        self.known.update((t, self.count_long(t)) for t in new if len(t) > LONG)
+        new = [t for t in new if len(t) <= LONG]
         for k in range(0, len(new), 200_000):
             part = new[k:k + 200_000]
             self.known.update(zip(part, self.counts(part).tolist(), strict=True))

@@ -124,15 +124,17 @@ def test_index_grows_by_what_is_new(spark, doc_frame, tmpdir_path):
     try:
         index.append(exact_dedup.digests(doc_frame([(1, "a"), (2, "b"), (3, "A")])))
         new = exact_dedup.digests(doc_frame([(9, "b"), (10, "c"), (11, "C")]))
-        plan = index.unseen(new)._jdf.queryExecution().toString()
-        assert "SortMergeJoin" in plan
-        assert [(r.keep_id, r.group_size) for r in index.unseen(new).collect()] == [(11, 2)]
+        plan = index.unseen(exact_dedup.groups(new))._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Bucketed: true" in plan
+        assert [(r.keep_id, r.group_size) for r in index.unseen(exact_dedup.groups(new)).collect()] == [(11, 2)]
         index.append(new)
-        assert sorted(r.keep_id for r in index.read().collect()) == [2, 3, 11]
-        assert index.unseen(new).count() == 0
+        assert sorted((r.keep_id, r.group_size) for r in index.read().collect()) == [(3, 2), (9, 2), (11, 2)]
+        assert index.unseen(exact_dedup.groups(new)).count() == 0
+        index.append(exact_dedup.digests(doc_frame([(4, "B"), (12, "a")])))  # the largest id stays, whenever it came
+        assert sorted((r.keep_id, r.group_size) for r in index.read().collect()) == [(9, 3), (11, 2), (12, 3)]
     finally:
         index.drop()
-        assert not index.exists()
+        assert not index.exists() and not spark.catalog.tableExists(index.sightings)
 
 
 def test_exact_of_an_empty_table(doc_frame):

@@ -200,3 +200,35 @@ def test_without_labels(spark, doc_frame, module):
     ones = spark.createDataFrame([(k, 1, 1) for k in range(9)], "doc_id long, quality int, toxic int")
     rows = module.score(doc_frame([(k, "a") for k in range(9)]), ones).collect()
     assert len({r.score for r in rows}) == 1 and rows[0].score > 0.5
+
+
+def test_toxicity_learns_pairs_whose_members_tell_nothing_alone(spark, doc_frame):
+    """Toxic where two marker words are both there or both not: no single word tells, all pairs must be learned."""
+    rng = random.Random(1)
+    texts, toxic = [], []
+    for _ in range(2000):
+        w = [f"word{rng.randrange(300)}x" for _ in range(rng.randrange(10, 40))]
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        for there, word in ((a, "alphamark"), (b, "zetamark")):
+            if there:
+                w.insert(rng.randrange(len(w)), word)
+        texts.append(" ".join(w))
+        toxic.append(int(a == b))
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    held = [r for r in toxicity.score(doc_frame(list(enumerate(texts))), labels).collect() if r.held_out]
+    right = sum(r.predicted == toxic[r.doc_id] for r in held) / len(held)
+    assert len(held) > 300 and right > 0.9 and len({r.score for r in held}) > len(held) / 2
+
+
+def test_factorization_machine_like_a_naive_sum_over_pairs():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    machine = toxicity.FactorizationMachine(np.arange(20), 0.3, rng.normal(size=20), rng.normal(size=(20, 8)))
+    docs = [rng.choice(20, n, replace=False) for n in (0, 1, 2, 7, 20)]
+    rows, terms = np.repeat(np.arange(5), [len(d) for d in docs]), np.concatenate(docs)
+    want = [0.3 + sum(machine.linear[i] for i in d)
+            + sum(float(machine.factors[i] @ machine.factors[j]) for i, j in itertools.combinations(d, 2)) for d in docs]
+    assert np.allclose(machine.raw(rows, terms, 5), want)

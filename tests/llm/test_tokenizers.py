@@ -90,3 +90,39 @@ def test_empty_tables_and_null_ids(spark, doc_frame):
         assert run(doc_frame([])).count() == 0
         rows = run(doc_frame([(None, "x"), (None, "x"), (1, None)])).collect()
         assert sorted((r.doc_id is None, r.n_tokens > 0) for r in rows) == [(False, False), (True, True), (True, True)]
+
+
+def test_bpe_like_the_library_for_all_code_points():
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    own = bpe.WordBPE(path)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for first in range(0, len(points), 1 << 17):
+        texts = [" ".join(f"a{chr(c)}B {chr(c)}{chr(c)}" for c in points[k:k + 16]) for k in range(first, min(len(points), first + (1 << 17)), 16)]
+        for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert own.encode(text) == want.ids, text
+
+
+def test_long_words_are_counted_as_short_ones_are(monkeypatch):
+    rng = random.Random(8)
+    counter = token_counts.PieceCounter(P.path("piece_bpe_32k.model"))
+    words = ["".join(rng.choice("abcdeftinors") for _ in range(rng.randrange(1, 120))) for _ in range(200)]
+    words += ["a" * k for k in range(1, 60)] + ["中文字é" * 9, "\x00\u0378" * 5, "x"]
+    assert [counter.count_long(w) for w in words] == counter.counts(words).tolist()
+
+
+def test_a_word_of_a_million_letters_like_the_library():
+    import time
+
+    import sentencepiece
+
+    path, rng = P.path("piece_bpe_32k.model"), random.Random(9)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    for text in ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000)), "ab" * 40_000,
+                 "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(50_000))):
+        begun = time.process_time()
+        assert token_counts.PieceCounter(path).count([text]) == [len(library.encode(text))]
+        assert time.process_time() - begun < 60
