@@ -105,6 +105,17 @@ def members(kind: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in [*out, *LATER[kind]])
 
 
+@lru_cache(maxsize=1)
+def otherwise_classed() -> re.Pattern:
+    """A class of the characters that the regex package takes for a letter or number and the library doesn't, or the
+    other way round."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    odd: set[str] = set()
+    for kind in "LN":
+        odd |= set(regex.findall(f"\\p{{{kind}}}", every)) ^ set(regex.findall(f"[{members(kind)}]", every))
+    return re.compile("[" + "".join(sorted(odd)) + "]" if odd else "(?!)")
+
+
 class WordBPE:
     """A byte-level BPE whose words end in a suffix, read from a tokenizers file of that kind."""
 
@@ -126,11 +137,12 @@ class WordBPE:
             self.rank.setdefault(self.vocab[a] << 32 | self.vocab[b], rank << 32)
         self.merged = [self.vocab[a + b] for a, b in model["merges"]]
         pattern = split["pattern"]["Regex"].replace("\\s", "\\p{White_Space}")
-        # letters and numbers as the library has them, whatever version the regex package knows; both often stand in a
-        # class of their own, where a nested one isn't understood
+        self.words = regex.compile(pattern)
+        # texts with a character that the regex package classes otherwise than the library go by written-out classes,
+        # which are slow; both kinds often stand in a class of their own, where a nested one isn't understood
         for kind in "LN":
             pattern = pattern.replace(f"[\\p{{{kind}}}]", f"[{members(kind)}]").replace(f"\\p{{{kind}}}", members(kind))
-        self.words = regex.compile(pattern)
+        self.exact_words, self.odd = regex.compile(pattern), otherwise_classed()
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         letters = byte_letters()
         self.inner = {b: self.vocab[c] for b, c in letters.items()}
@@ -172,6 +184,8 @@ class WordBPE:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma
             if LATER_CAPITAL.search(text):
                 text = text.translate(SMALL)
+            text = text.lower()
+            return (self.exact_words if self.odd.search(text) else self.words).findall(text)
         return self.words.findall(text.lower())
 
     def split(self, text: str) -> list[str]:
