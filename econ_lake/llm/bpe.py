@@ -88,21 +88,25 @@ LATER_SMALL = [(0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7C
                (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B),
                (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB)]
 SMALL = {c: small + c - first for first, last, small in LATER_SMALL for c in range(first, last + 1)}
+#: All characters that LATER, LATER_SMALL or a version of Unicode may tell otherwise are among these.
+RARE = re.compile("[\u0250-\U0010FFFF]")
 LATER_CAPITAL = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in LATER_SMALL) + "]")
 
 
+@lru_cache(maxsize=1)
+def categories() -> str:
+    """The first letter of each code point's general category: Python's, and what LATER adds."""
+    out = [unicodedata.category(chr(point))[0] for point in range(sys.maxunicode + 1)]
+    for kind, ranges in LATER.items():
+        for first, last in ranges:
+            out[first:last + 1] = kind * (last + 1 - first)
+    return "".join(out)
+
+
 @lru_cache(maxsize=2)
 def members(kind: str) -> str:
     """The ranges of all letters (L) or numbers (N), for a character class."""
-    out, first = [], None
-    for point in range(sys.maxunicode + 2):
-        inside = point <= sys.maxunicode and unicodedata.category(chr(point))[0] == kind
-        if inside and first is None:
-            first = point
-        elif not inside and first is not None:
-            out.append((first, point - 1))
-            first = None
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in [*out, *LATER[kind]])
+    return "".join(f"\\U{m.start():08x}-\\U{m.end() - 1:08x}" for m in re.finditer(f"{kind}+", categories()))
 
 
 @lru_cache(maxsize=1)
@@ -112,8 +116,11 @@ def otherwise_classed() -> re.Pattern:
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
     odd: set[str] = set()
     for kind in "LN":
-        odd |= set(regex.findall(f"\\p{{{kind}}}", every)) ^ set(regex.findall(f"[{members(kind)}]", every))
-    return re.compile("[" + "".join(sorted(odd)) + "]" if odd else "(?!)")
+        odd |= set(regex.findall(f"\\p{{{kind}}}", every)) ^ {chr(m.start()) for m in re.finditer(kind, categories())}
+    points = sorted(map(ord, odd))
+    runs = [k for k in range(len(points)) if not k or points[k] != points[k - 1] + 1]
+    ranges = [(points[a], points[b - 1]) for a, b in zip(runs, [*runs[1:], len(points)], strict=True)]
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "]" if ranges else "(?!)")
 
 
 class WordBPE:
@@ -182,10 +189,11 @@ class WordBPE:
         """The words of a text without special strings: NFC, then lower case letter by letter, then the pattern."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma
-            if LATER_CAPITAL.search(text):
-                text = text.translate(SMALL)
-            text = text.lower()
-            return (self.exact_words if self.odd.search(text) else self.words).findall(text)
+            if RARE.search(text):  # a single range, so that most texts are looked through fast
+                if LATER_CAPITAL.search(text):
+                    text = text.translate(SMALL)
+                text = text.lower()
+                return (self.exact_words if self.odd.search(text) else self.words).findall(text)
         return self.words.findall(text.lower())
 
     def split(self, text: str) -> list[str]:
