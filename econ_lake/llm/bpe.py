@@ -8,7 +8,9 @@ and the work ends when the root has no pair.
 Words are encoded once and remembered in a bounded dictionary.
 
 Defined results: a null text counts as empty and has no tokens; special strings inside texts become their ids, as
-the library does by default; a null doc_id stays null; repeated rows give a row each; an empty table gives no rows.
+the library does by default; a null doc_id stays null; repeated rows give a row each; an empty table gives no rows;
+pairs of equal rank merge from the left; texts are read whole, whatever their length; other columns stay as they are in
+``encode`` (but for those with the names of its results) and aren't read by ``encode_digests``.
 """
 
 from __future__ import annotations

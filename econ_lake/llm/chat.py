@@ -10,7 +10,7 @@ alone; digests go on from row to row over the sorted turns.
 
 Defined results: a null text or role counts as empty; turns are ordered by turn (null first), then role, then text;
 repeated rows are turns of their own; rows with a null conv_id form one conversation; an empty table gives no rows;
-other columns are not read.
+other columns are not read; texts are formatted whole, whatever their length.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ the whole window (exact containment).  DataFrame operations only.
 
 Defined results: a null or empty text has no words, no hits, and isn't contaminated; an item without words has
 no window; repeated items count once by item_id; repeated documents (same doc_id and text) give one row each;
-empty tables give no rows, or rows without hits; other columns are not read.
+empty tables give no rows, or rows without hits; other columns are not read; texts are read whole, whatever
+their length.
 """
 
 from __future__ import annotations

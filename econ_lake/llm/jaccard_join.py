@@ -21,7 +21,8 @@ its largest component are compared with all its sets of other components, block
 their bitmaps allow are candidates too: no link is lost, and no pairs but these leave a task.
 
 Defined results: a text without words (or null) has an empty set and is linked with nothing; a null doc_id takes part
-in equal sets only, and is never the least; rows with the same doc_id are one document; an empty table gives no rows.
+in equal sets only, and is never the least; rows with the same doc_id are one document; an empty table gives no rows;
+a similarity of exactly 0.8 links; other columns are not read; texts are read whole, whatever their length.
 """
 
 from __future__ import annotations

@@ -6,7 +6,9 @@ model is fitted to them by dual coordinate descent, and its margin is turned int
 Learns from at most SAMPLE labelled rows, those with the least hash of their id; scores every whole text.
 
 Defined results: null and empty texts have no terms and get the score of the intercept; without labelled rows of
-both classes every score is the smoothed share of label 1; repeated rows give a row each; an empty table none.
+both classes every score is the smoothed share of label 1; a score of exactly 0.5 counts as 1; rows with equal hashes
+of their ids go into the sample by id and label; repeated rows give a row each; an empty table none; other columns are
+not read (``keep_good`` keeps them); texts are read whole, whatever their length.
 """
 
 from __future__ import annotations

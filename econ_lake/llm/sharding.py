@@ -7,7 +7,8 @@ differ by one row at most (law ``rows``), and the place of any row number can be
 DataFrame operations only.
 
 Defined results: a null text has no bytes; a null doc_id sorts first; repeated rows are rows of their own;
-an empty table gives no rows; other columns are not read.
+an empty table gives no rows; other columns are not read; texts are measured whole.  Equal texts (the contract's groups)
+needn't share a shard under the law ``rows``: they are told by text_crc32, and each row has a place of its own.
 """
 
 from __future__ import annotations

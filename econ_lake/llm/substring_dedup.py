@@ -18,7 +18,8 @@ A broadcast automaton would need a reference of bounded size, or as many passes
 shards; so the shards are dealt out by anchor, and only passages that can match are streamed along them.
 
 Defined results: a null or empty text has no words; a null doc_id is smaller than all others; rows with the same
-doc_id and text are one document (neither is earlier); different texts must have different ids; an empty table gives no rows; other columns are not read.
+doc_id and text are one document (neither is earlier); different texts must have different ids; an empty table gives
+no rows; other columns are not read; texts are read whole, whatever their length.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ data) would need as many rounds as they have different pieces, so they are merge
 places in which a merge touches its two neighbours only: n log n for n characters.
 
 Defined results: a null text counts as empty and has no tokens; a null doc_id stays null; repeated rows give
-a row each; an empty table gives no rows; other columns are not read.
+a row each; an empty table gives no rows; pairs of equal rank merge from the left; other columns are
+not read; texts are read whole, whatever their length.
 """
 
 from __future__ import annotations
