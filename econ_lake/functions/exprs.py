@@ -32,10 +32,18 @@ def parse_number(c: str | Column, strip_commas: bool = True) -> Column:
     NaN never gets in (it is NULL), infinities are kept.  ``try_cast`` alone
     would accept '1.0d' or 'nan', so a literal check guards it.
     """
+    return number_of(number_text(c, strip_commas))
+
+
+def number_text(c: str | Column, strip_commas: bool = True) -> Column:
+    """The text that ``number_of`` takes; as a column of its own it is cleaned once a row."""
     text = col(c).cast("string")
-    if strip_commas:
-        text = F.regexp_replace(text, ",", "")
-    text = strip(text)
+    return strip(F.replace(text, F.lit(","), F.lit("")) if strip_commas else text)
+
+
+def number_of(c: str | Column) -> Column:
+    """The number that a cleaned text stands for."""
+    text = col(c)
     finite = text.rlike(_NUMBER_RE)
     infinite = F.lower(text).rlike(_INF_RE)
     return (
@@ -47,7 +55,11 @@ def parse_number(c: str | Column, strip_commas: bool = True) -> Column:
 
 def parse_int_or_zero(c: str | Column) -> Column:
     """Exponent parse: number, missing -> 0, truncated toward zero."""
-    return F.coalesce(parse_number(c, strip_commas=False).try_cast("int"), F.lit(0))
+    return whole_or_zero(parse_number(c, strip_commas=False))
+
+
+def whole_or_zero(number: Column) -> Column:
+    return F.coalesce(number.try_cast("int"), F.lit(0))
 
 
 def parse_year(c: str | Column) -> Column:
@@ -79,7 +91,15 @@ def period_parts(c: str | Column) -> dict[str, Column]:
     The patterns are fixed by the payloads.  The whole (stripped, upper-cased) text must match; \\z anchors at the true
     end so a trailing newline cannot slip through.
     """
-    p = F.upper(strip(col(c).cast("string")))
+    return parts_of_period(period_text(c))
+
+
+def period_text(c: str | Column) -> Column:
+    """The text that ``parts_of_period`` takes; as a column of its own it is cleaned once a row."""
+    return F.upper(strip(col(c).cast("string")))
+
+
+def parts_of_period(p: Column) -> dict[str, Column]:
     is_a = p.rlike(r"^\d{4}\z")
     is_m = p.rlike(r"^\d{4}M(0[1-9]|1[0-2])\z")
     is_q = p.rlike(r"^\d{4}Q[1-4]\z")

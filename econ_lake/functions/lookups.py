@@ -6,7 +6,8 @@ states, 5 categories, 3 scenarios), so broadcasting it is always safe.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+
+from econ_lake.session import small_frame
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the published definitions for identical results).
@@ -77,19 +78,15 @@ SCENARIO_MATH_TOLERANCE = 1e-4
 
 
 def fips_frame(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("state_fips", T.StringType(), False),
-        T.StructField("state_abbrev", T.StringType(), False),
-    ])
-    return spark.createDataFrame(sorted(STATE_FIPS_TO_ABBR.items()), schema)
+    return small_frame(spark, sorted(STATE_FIPS_TO_ABBR.items()), "state_fips string, state_abbrev string")
 
 
 def rpp_category_frame(spark: SparkSession) -> DataFrame:
     schema = "line_code string, category_key string, category string"
-    return spark.createDataFrame(RPP_LINE_CATEGORIES, schema)
+    return small_frame(spark, RPP_LINE_CATEGORIES, schema)
 
 
 def crosswalk_frame(spark: SparkSession) -> DataFrame:
     schema = ("pce_source_table string, line_code string, category_key string, "
               "category string, mapping_method string")
-    return spark.createDataFrame(SPENDING_CROSSWALK, schema)
+    return small_frame(spark, SPENDING_CROSSWALK, schema)

@@ -68,17 +68,16 @@ def bea_silver(raw: DataFrame, catalog: DataFrame, presence: DataFrame | None =
         "dataset_id", "run_id", *[f"has_{f}" for f in OPTIONAL_FIELDS])
     rows = rows.join(presence, ["dataset_id", "run_id"])
 
-    per = X.period_parts(_field("TimePeriod"))
+    # texts that several columns come from are cleaned in a projection of their own, once a row
     rows = rows.select(
         *LINEAGE,
         F.substring(_field("GeoFips").cast("string"), 1, 2).alias("state_fips"),
         _field("GeoName").alias("geo_name"),
-        per["frequency"].alias("frequency"), per["year"].alias("year"),
-        per["month"].alias("month"), per["quarter"].alias("quarter"),
-        "_spec_table", "_spec_freq",
+        X.period_text(_field("TimePeriod")).alias("_period"),
+        "_spec_table", F.upper(X.strip(F.coalesce(F.col("_spec_freq"), F.lit("")))).alias("_requested"),
         _field("Code").alias("series_code"),
-        _field("DataValue").alias("_value_text"),
-        _field("UNIT_MULT").alias("_mult_text"),
+        X.number_text(_field("DataValue")).alias("_value_text"),
+        X.number_text(_field("UNIT_MULT"), strip_commas=False).alias("_mult_text"),
         _field("CL_UNIT").alias("unit"),
         F.when(F.col("has_NoteRef"), _field("NoteRef")).otherwise(F.lit("")).alias("note_ref"),
         F.coalesce(
@@ -90,11 +89,12 @@ def bea_silver(raw: DataFrame, catalog: DataFrame, presence: DataFrame | None =
     )
     # states + DC only (51-row fixed lookup)
     rows = rows.join(F.broadcast(fips_frame(spark)), "state_fips")
-    req = F.upper(X.strip(F.coalesce(F.col("_spec_freq"), F.lit(""))))
+    per = X.parts_of_period(F.col("_period"))
+    rows = rows.select("*", *[per[k].alias(k) for k in ("frequency", "year", "month", "quarter")])
     rows = rows.filter(F.col("frequency").isin("A", "M") & F.col("year").isNotNull()).filter(
-        F.when(req.isin("A", "M"), F.col("frequency") == req).otherwise(F.lit(True))
-    )
-    path = X.label_path(F.col("raw_description"))
+        F.when(F.col("_requested").isin("A", "M"), F.col("frequency") == F.col("_requested")).otherwise(F.lit(True)))
+    rows = rows.withColumn("_path", X.label_path(F.col("raw_description")))
+    path = F.col("_path")
     out = rows.select(
         *LINEAGE,
         "state_fips", "state_abbrev", "geo_name", "frequency",
@@ -108,9 +108,9 @@ def bea_silver(raw: DataFrame, catalog: DataFrame, presence: DataFrame | None =
         X.label_function_name(path).alias("function_name"),
         "raw_description",
         X.json_text_list(path).alias("hierarchy_path_json"),
-        X.parse_number("_value_text").alias("value"),
+        X.number_of("_value_text").alias("value"),
         "unit",
-        X.parse_int_or_zero("_mult_text").alias("unit_mult"),
+        X.whole_or_zero(X.number_of("_mult_text")).alias("unit_mult"),
         "note_ref",
     )
     return out

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job relies on.  AQE re-plans joins and coalesces shuffle
 # partitions at runtime; skew-join splits a hot key's partition.  The session
@@ -20,6 +22,8 @@ _BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a call site per column expression costs several round trips to the JVM each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -72,6 +76,14 @@ def scratch_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/tables"
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """Rows of a fixed lookup or of configuration, as one constant of the plan: no partition of Python objects is read."""
+    schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    told = json.dumps([dict(zip(schema.names, row, strict=True)) for row in rows])
+    kind = f"array<{schema.simpleString()}>"
+    return spark.sql("SELECT inline(from_json(:told, :kind))", args={"told": told, "kind": kind})
+
+
 def materialise(df, name: str = "t"):
     """Write ``df`` as Parquet under the shared scratch folder and read it back.
 

@@ -13,17 +13,17 @@ Two vintages per dataset: ``2026-03-04`` (final) and an earlier
 ``2026-03-03`` whose values are a preliminary estimate (net of discount for
 spending, whole units for order-based series).  Every vintage covers all rows.
 
-Scale notes: lineitem and orders are read once each.  lineitem is pre-aggregated
-per order (exchange on the order key, reused by the join with orders), then per
-(customer, year, month) before the customer join, so a customer holding a third
-of all orders collapses to a handful of rows before any shuffle on the customer
-key.  The resulting cells (nations x months) are stored once; every dataset's
-rows come from them.
+Scale notes: lineitem is read once, orders once for its sums and once for two narrow columns (customers per year).
+lineitem is pre-aggregated per order (exchange on the order key, reused by the join with orders).  Orders join their
+customers before they are summed: nearly every order is alone in its (customer, month), so summing per customer first
+would only shuffle the wide rows once more.  A customer with a third of all orders has one row on the other side of that
+join, so AQE splits its partition; the sums behind it leave each task as a few cells (nations x months).  The cells are
+stored once; every dataset's rows come from them, all series of one grain in one projection.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from econ_lake.session import materialise
@@ -114,7 +114,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Sums run on exact integer cents (codegen-friendly longs); the preliminary
     spending estimate nets each line's discount, rounded to the cent.
-    ``customers`` counts a customer in the first of its months of a year.
+    ``customers`` stands in a row of its own per (nationkey, year), without a month.
     """
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -125,14 +125,10 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("npx", F.expr("(px * (100 - disc) + 50) div 100"))
     per_order_aggs = []
     for table, line, rf, ls in SPENDING_LINES:
-        cond = F.lit(True)
-        if rf is not None:
-            cond = cond & (F.col("l_returnflag") == rf)
-        if ls is not None:
-            cond = cond & (F.col("l_linestatus") == ls)
-        per_order_aggs.append(F.sum(F.when(cond, F.col("px"))).alias(f"f_{table}_{line}"))
-        per_order_aggs.append(F.sum(F.when(cond, F.col("npx"))).alias(f"p_{table}_{line}"))
-    per_order = li.groupBy("l_orderkey").agg(*per_order_aggs)
+        tests = [f"{c} = '{v}'" for c, v in (("l_returnflag", rf), ("l_linestatus", ls)) if v is not None]
+        only = f" FILTER (WHERE {' AND '.join(tests)})" if tests else ""
+        per_order_aggs += [f"sum(px){only} AS f_{table}_{line}", f"sum(npx){only} AS p_{table}_{line}"]
+    per_order = li.groupBy("l_orderkey").agg(*map(F.expr, per_order_aggs))
 
     prio, amt = F.substring("o_orderpriority", 1, 1), _cents(F.col("o_totalprice"))
     orders = _read(spark, sf_dir, "orders").select(
@@ -143,40 +139,33 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.when(prio == p, 1).otherwise(0).alias(f"cnt_{p}") for p in "12345"],
     )
     sums = [c for c in (*orders.columns[4:], *per_order.columns[1:])]
-    by_cust = (
+    cust = _read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nationkey"))
+    monthly = _sums(
         orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-        .groupBy("o_custkey", "year", "month")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-    )
-    first = F.min("month").over(Window.partitionBy("o_custkey", "year"))
-    by_cust = by_cust.withColumn("customers", (F.col("month") == first).cast("int"))
-    cust = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return materialise(
-        by_cust.join(cust, by_cust.o_custkey == cust.c_custkey)
-        .groupBy(F.col("c_nationkey").alias("nationkey"), "year", "month")
-        .agg(*[F.sum(c).alias(c) for c in (*sums, "customers")]), "cells")
-
-
-def spending_cells(wide: DataFrame) -> DataFrame:
-    """(nationkey, year, month, table, line, final, prelim) money sums."""
-    each = F.array(*[
-        F.struct(F.lit(t).alias("table"), F.lit(ln).alias("line"),
-                 F.col(f"f_{t}_{ln}").alias("final"), F.col(f"p_{t}_{ln}").alias("prelim"))
-        for t, ln, _, _ in SPENDING_LINES
-    ])
-    return wide.select("nationkey", "year", "month", F.inline(each)).filter(F.col("final").isNotNull())
+        .join(cust, orders.o_custkey == cust.c_custkey), ["nationkey", "year", "month"], sums)
+    buyers = orders.select("o_custkey", "year").distinct()
+    yearly = (
+        buyers.join(cust, buyers.o_custkey == cust.c_custkey)
+        .groupBy("nationkey", "year").agg(F.count(F.lit(1)).alias("customers")))
+    return materialise(monthly.unionByName(yearly, allowMissingColumns=True), "cells")
+
+
+ORDER_CELLS = ["amt_all", "amt_f", *[f"{k}_{p}" for p in "12345" for k in ("amt", "cnt")], "customers"]
+SPENDING_CELLS = [f"{k}_{t}_{ln}" for t, ln, _, _ in SPENDING_LINES for k in "fp"]
+
+
+def _sums(wide: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    return wide.groupBy(*keys).agg(*[F.expr(f"sum({c}) AS {c}") for c in columns])
 
 
 def order_cells(wide: DataFrame) -> DataFrame:
     """Per (nationkey, year): order sums by priority, fulfilled sum, customers."""
-    names = ["amt_all", "amt_f", *[f"{k}_{p}" for p in "12345" for k in ("amt", "cnt")], "customers"]
-    return wide.groupBy("nationkey", "year").agg(*[F.sum(c).alias(c) for c in names])
+    return _sums(wide, ["nationkey", "year"], ORDER_CELLS)
 
 
-def _whole_units(cents: Column) -> Column:
+def _whole_units(cents: str) -> str:
     """Preliminary estimate in whole units: cents rounded half up to 100s."""
-    shifted = cents + 50
-    return shifted - F.pmod(shifted, F.lit(100))
+    return f"{cents} + 50 - pmod({cents} + 50, 100)"
 
 
 def _geo_fips(nationkey: Column) -> Column:
@@ -216,82 +205,58 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nationkey"), "n_name")
 
 
-def bea_raw_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
-    wide = cells(spark, sf_dir) if wide is None else wide
-    nation = _nations(spark, sf_dir)
-
-    spend = spending_cells(wide)
-    annual = spend.groupBy("nationkey", "year", "table", "line").agg(
-        F.sum("final").alias("final"), F.sum("prelim").alias("prelim"))
-    annual_rows = annual.join(nation, "nationkey").select(
-        F.when(F.col("table") == "SAPCE1", "pce_state_sapce1").otherwise("pce_state_sapce4").alias("dataset_id"),
-        _geo_fips(F.col("nationkey")).alias("GeoFips"), F.col("n_name").alias("GeoName"),
-        F.col("year").cast("string").alias("TimePeriod"), "table", "line", "final", "prelim",
-    )
-    # national (00000) and region (91000) aggregates: they must drop at the geo filter
-    totals = (
-        annual.filter(F.col("table") == "SAPCE1")
-        .groupBy("year", "table", "line").agg(F.sum("final").alias("final"), F.sum("prelim").alias("prelim"))
-    )
-    total_rows = totals.select(
-        F.lit("pce_state_sapce1").alias("dataset_id"),
-        F.explode(F.array(F.lit("00000"), F.lit("91000"))).alias("GeoFips"),
-        F.lit("United States *").alias("GeoName"),
-        F.col("year").cast("string").alias("TimePeriod"), "table", "line", "final", "prelim",
-    )
-    monthly = spend.filter(F.col("table") == "SAPCE4").join(nation, "nationkey")
-    monthly_rows = monthly.select(
-        F.lit("pce_state_sapce4_monthly").alias("dataset_id"),
-        _geo_fips(F.col("nationkey")).alias("GeoFips"), F.col("n_name").alias("GeoName"),
-        F.format_string("%dM%02d", F.col("year"), F.col("month")).alias("TimePeriod"),
-        "table", "line", "final", "prelim",
-    )
-    # quarterly and annual rows inside the monthly payload: both must drop
-    off_rows = (
-        monthly.filter(F.col("line") == "19")
-        .groupBy("nationkey", "n_name", "year", F.expr("(month + 2) div 3").alias("quarter"), "table", "line")
-        .agg(F.sum("final").alias("final"), F.sum("prelim").alias("prelim"))
-        .select(
-            F.lit("pce_state_sapce4_monthly").alias("dataset_id"),
-            _geo_fips(F.col("nationkey")).alias("GeoFips"), F.col("n_name").alias("GeoName"),
-            F.format_string("%dQ%d", F.col("year"), F.col("quarter")).alias("TimePeriod"),
-            "table", "line", "final", "prelim",
-        )
-    )
+def _each(rows: DataFrame, series: list[tuple[str, ...]]) -> DataFrame:
+    """The rows of several series from one wide row: (dataset, table, line, and as SQL name, condition, final,
+    prelim) each."""
+    each = ", ".join(
+        f"CASE WHEN {there} THEN struct('{dataset}' AS dataset_id, {name} AS GeoName, '{table}' AS table, "
+        f"'{line}' AS line, {final} AS final, {prelim} AS prelim) END"
+        for dataset, table, line, name, there, final, prelim in series)
+    return rows.selectExpr("GeoFips", "TimePeriod", f"inline(filter(array({each}), one -> one IS NOT NULL))")
 
-    oc = order_cells(wide).join(nation, "nationkey")
-    prio = F.array(*[
-        F.struct(F.lit(p).alias("line"), F.col(f"amt_{p}").alias("amt"), F.col(f"cnt_{p}").alias("cnt"))
-        for p in "12345"
-    ])
-    rpp = oc.select("nationkey", "n_name", "year", F.inline(prio)).filter(F.col("cnt") > 0)
-    avg_cents = F.expr("amt div cnt")
-    rpp_rows = rpp.select(
-        F.lit("state_regional_price_parities_sarpp").alias("dataset_id"),
-        _geo_fips(F.col("nationkey")).alias("GeoFips"), F.col("n_name").alias("GeoName"),
-        F.col("year").cast("string").alias("TimePeriod"), F.lit("SARPP").alias("table"), "line",
-        avg_cents.alias("final"), _whole_units(avg_cents).alias("prelim"),
-    )
-    gdp_rows = oc.select(
-        F.lit("state_gdp_sagdp1").alias("dataset_id"),
-        _geo_fips(F.col("nationkey")).alias("GeoFips"), F.concat(F.col("n_name"), F.lit(" *")).alias("GeoName"),
-        F.col("year").cast("string").alias("TimePeriod"), F.lit("SAGDP1").alias("table"), F.lit("3").alias("line"),
-        F.col("amt_all").alias("final"), _whole_units(F.col("amt_all")).alias("prelim"),
-    )
-    inc_rows = oc.filter(F.col("amt_f").isNotNull()).select(
-        F.lit("state_personal_transfer_receipts_sainc35").alias("dataset_id"),
-        _geo_fips(F.col("nationkey")).alias("GeoFips"), F.col("n_name").alias("GeoName"),
-        F.col("year").cast("string").alias("TimePeriod"), F.lit("SAINC35").alias("table"),
-        F.lit("2000").alias("line"),
-        F.col("amt_f").alias("final"), _whole_units(F.col("amt_f")).alias("prelim"),
-    )
 
-    cols = ["dataset_id", "GeoFips", "GeoName", "TimePeriod", "table", "line", "final", "prelim"]
-    each = (
-        annual_rows.select(cols).unionByName(total_rows.select(cols)).unionByName(monthly_rows.select(cols))
-        .unionByName(off_rows.select(cols)).unionByName(rpp_rows.select(cols))
-        .unionByName(gdp_rows.select(cols)).unionByName(inc_rows.select(cols))
-    )
+def _spending(dataset: str | None, name: str, lines: list[tuple]) -> list[tuple[str, ...]]:
+    """The spending series as ``_each`` takes them; without a dataset each goes to that of its table."""
+    return [(dataset or f"pce_state_{t.lower()}", t, ln, name, f"f_{t}_{ln} IS NOT NULL", f"f_{t}_{ln}",
+             f"p_{t}_{ln}") for t, ln, _, _ in lines]
+
+
+def bea_raw_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None,
+                 nation: DataFrame | None = None) -> DataFrame:
+    wide = cells(spark, sf_dir) if wide is None else wide
+    nation = _nations(spark, sf_dir) if nation is None else nation
+    name, year = "n_name", F.col("year").cast("string").alias("TimePeriod")
+    detail = [line for line in SPENDING_LINES if line[0] == "SAPCE4"]
+    named = wide.filter(F.col("month").isNotNull()).join(nation, "nationkey").withColumn(
+        "GeoFips", _geo_fips(F.col("nationkey")))
+
+    by_year = _sums(wide, ["nationkey", "year"], [*SPENDING_CELLS, *ORDER_CELLS]).join(nation, "nationkey").select(
+        "*", _geo_fips(F.col("nationkey")).alias("GeoFips"), year,
+        *[F.expr(f"CASE WHEN cnt_{p} > 0 THEN amt_{p} div cnt_{p} END").alias(f"avg_{p}") for p in "12345"])
+    annual_rows = _each(by_year, [
+        *_spending(None, name, SPENDING_LINES),
+        *[("state_regional_price_parities_sarpp", "SARPP", p, name, f"cnt_{p} > 0", f"avg_{p}",
+           _whole_units(f"avg_{p}")) for p in "12345"],
+        ("state_gdp_sagdp1", "SAGDP1", "3", "concat(n_name, ' *')", "true", "amt_all", _whole_units("amt_all")),
+        ("state_personal_transfer_receipts_sainc35", "SAINC35", "2000", name, "amt_f IS NOT NULL", "amt_f",
+         _whole_units("amt_f")),
+    ])
+    # national (00000) and region (91000) aggregates: they must drop at the geo filter
+    total_rows = _each(
+        _sums(wide, ["year"], SPENDING_CELLS).select(
+            "*", year, F.explode(F.array(F.lit("00000"), F.lit("91000"))).alias("GeoFips")),
+        _spending("pce_state_sapce1", "'United States *'", [x for x in SPENDING_LINES if x[0] == "SAPCE1"]))
+    monthly_rows = _each(
+        named.withColumn("TimePeriod", F.format_string("%dM%02d", F.col("year"), F.col("month"))),
+        _spending("pce_state_sapce4_monthly", name, detail))
+    # quarterly rows inside the monthly payload: they must drop
+    off_rows = _each(
+        _sums(named.withColumn("quarter", F.expr("(month + 2) div 3")),
+              ["nationkey", "n_name", "GeoFips", "year", "quarter"], ["f_SAPCE4_19", "p_SAPCE4_19"])
+        .withColumn("TimePeriod", F.format_string("%dQ%d", F.col("year"), F.col("quarter"))),
+        _spending("pce_state_sapce4_monthly", name, [line for line in detail if line[1] == "19"]))
+
+    each = annual_rows.unionByName(total_rows).unionByName(monthly_rows).unionByName(off_rows)
     unit_map = F.create_map(*[x for t, (u, _) in UNITS.items() for x in (F.lit(t), F.lit(u))])
     mult_map = F.create_map(*[x for t, (_, m) in UNITS.items() for x in (F.lit(t), F.lit(m))])
     each = _per_vintage(each)
@@ -310,39 +275,28 @@ def bea_raw_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None
     return _lineage(each.select("dataset_id", "vintage_tag", row.alias("row")), "bea")
 
 
-def census_raw_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
+def census_raw_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None,
+                    nation: DataFrame | None = None) -> DataFrame:
     wide = cells(spark, sf_dir) if wide is None else wide
-    oc = order_cells(wide).select("nationkey", "year", "customers").join(_nations(spark, sf_dir), "nationkey")
-    pop = oc.select(
-        F.lit("census_state_population").alias("dataset_id"),
-        F.create_map(
-            F.lit("NAME"), F.col("n_name"),
-            F.lit("B01003_001E"), F.col("customers").cast("string"),
-            F.lit("state"), (F.col("nationkey") + 1).cast("string"),  # un-padded on purpose
-            F.lit("YEAR"), F.col("year").cast("string"),
-        ).alias("row"),
-    )
+    nation = _nations(spark, sf_dir) if nation is None else nation
     supp = _read(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nationkey")).agg(
-        _money(F.sum(_cents(F.col("s_acctbal")))).alias("amount"))
-    fin = (
-        oc.select("nationkey", "n_name", "year")
-        .join(supp, "nationkey")
-        .select(
-            F.lit("census_state_gov_finance_federal_intergovernmental_revenue").alias("dataset_id"),
-            F.create_map(
-                F.lit("NAME"), F.col("n_name"),
-                F.lit("AMOUNT"), F.col("amount").cast("string"),
-                F.lit("state"), F.lpad((F.col("nationkey") + 1).cast("string"), 2, "0"),
-                F.lit("YEAR"), F.col("year").cast("string"),
-            ).alias("row"),
-        )
-    )
-    both = pop.unionByName(fin)
-    vint = both.select("*", F.explode(F.array(*[F.lit(v) for v in VINTAGES])).alias("vintage_tag"))
+        _money(F.sum(_cents(F.col("s_acctbal")))).alias("amount"), F.lit(True).alias("has_amount"))
+    both = _sums(wide, ["nationkey", "year"], ["customers"]).join(nation, "nationkey").join(supp, "nationkey", "left")
+    geo, year = [F.lit("NAME"), F.col("n_name")], [F.lit("YEAR"), F.col("year").cast("string")]
+    state = (F.col("nationkey") + 1).cast("string")
+    pop = F.struct(F.lit("census_state_population").alias("dataset_id"), F.create_map(
+        *geo, F.lit("B01003_001E"), F.col("customers").cast("string"),
+        F.lit("state"), state, *year).alias("row"))  # un-padded on purpose
+    fin = F.when(F.col("has_amount"), F.struct(
+        F.lit("census_state_gov_finance_federal_intergovernmental_revenue").alias("dataset_id"), F.create_map(
+            *geo, F.lit("AMOUNT"), F.col("amount").cast("string"),
+            F.lit("state"), F.lpad(state, 2, "0"), *year).alias("row")))
+    vint = both.select(F.inline(F.filter(F.array(pop, fin), lambda one: one.isNotNull()))).select(
+        "*", F.explode(F.array(*[F.lit(v) for v in VINTAGES])).alias("vintage_tag"))
     return _lineage(vint, "census")
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw payload rows: source, dataset_id, vintage_tag, run_id, load_seq, row."""
-    wide = cells(spark, sf_dir)
-    return bea_raw_rows(spark, sf_dir, wide).unionByName(census_raw_rows(spark, sf_dir, wide))
+    wide, nation = cells(spark, sf_dir), _nations(spark, sf_dir)
+    return bea_raw_rows(spark, sf_dir, wide, nation).unionByName(census_raw_rows(spark, sf_dir, wide, nation))

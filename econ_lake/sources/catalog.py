@@ -12,6 +12,8 @@ from typing import Any, NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from econ_lake.session import small_frame
+
 NEEDED = object()
 
 
@@ -127,7 +129,7 @@ def catalog_frame(spark: SparkSession, entries: list[dict[str, Any]] | None = No
             for rank, s in specs if s["enabled"] or not only_enabled]
     if not rows:
         raise ValueError("the catalog has no dataset to process")
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return small_frame(spark, rows, CATALOG_SCHEMA)
 
 
 def load_catalog_yaml(spark: SparkSession, path: str) -> DataFrame:
