@@ -27,6 +27,8 @@ GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 WINDOWS_AT_ONCE = 200_000
 #: So many distinct words of items are broadcast to count them; more are joined by shuffling the words alone.
 WORDS_AT_ONCE = 500_000
+#: So many keys of contaminated documents are broadcast to drop these; more are joined by shuffling the documents.
+KEYS_AT_ONCE = 500_000
 #: Closes the word list of each document, so that its row survives the join and tells the number of words.
 CLOSE = " end"
 
@@ -131,8 +133,13 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFra
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The documents that aren't contaminated, with all their columns."""
-    bad = hits(docs, benchmark, size).filter(contaminated()).select(
-        F.col("doc_id").alias("__llm_doc"), F.col("mark").alias("__llm_mark"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__llm_doc"])
-                     & (F.xxhash64(docs["text"]) == bad["__llm_mark"]), "left_anti")
+    """The documents that aren't contaminated, with all their columns.
+
+    What goes is written first, as keys alone, so that its number is known: texts need not be shuffled to drop it.
+    """
+    bad = stored(hits(docs, benchmark, size).filter(contaminated()).select(
+        F.col("doc_id").alias("__llm_doc"), F.col("mark").alias("__llm_mark")), "contaminated")
+    if bad.count() <= KEYS_AT_ONCE:
+        bad = F.broadcast(bad)
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__llm_doc"))
+                     & (F.xxhash64(docs["text"]) == F.col("__llm_mark")), "left_anti")

@@ -61,6 +61,24 @@ def test_hits_like_brute_force(spark, doc_frame, corpus, monkeypatch, at_once):
     assert clean.columns == doc_frame([]).columns
 
 
+@pytest.mark.parametrize("at_once", [500_000, 0])
+def test_contaminated_documents_go_without_a_shuffle_of_texts(spark, doc_frame, corpus, monkeypatch, at_once):
+    monkeypatch.setattr(decontaminate, "KEYS_AT_ONCE", at_once, raising=False)
+    pairs = [*corpus, (3, "one ONE"), (None, "one"), (None, None), (None, "nothing of it")]
+    items = benchmark_of(corpus)
+    known = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the documents are larger than any threshold
+    try:
+        clean = decontaminate.drop_contaminated(
+            doc_frame(pairs), spark.createDataFrame(items, "item_id long, text string"))
+        plan = clean._jdf.queryExecution().executedPlan().toString()
+        got = Counter(str(r.doc_id) for r in clean.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
+    assert ("Exchange hashpartitioning" in plan) == (at_once == 0), plan
+    assert got == Counter(str(k[0]) for k, n in brute_hits(pairs, items, 13).items() if not k[5] for _ in range(n))
+
+
 def test_no_items_and_no_documents(spark, doc_frame):
     none = spark.createDataFrame([], "item_id long, text string")
     rows = decontaminate.report(doc_frame([(1, "a b"), (2, None)]), none).collect()
